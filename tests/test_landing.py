@@ -1,0 +1,108 @@
+import pytest
+from conftest import INVOICE_COLUMNS, invoice
+from pyspark.sql import functions as F
+
+from daybook.operators import already_processed, earliest_file, latest_file, pending_files
+from daybook.sources import MissingFolderError, export_days, list_files, read_days
+
+
+def test_listing(spark, shop):
+    shop.day("2010-12-01", 2)
+    shop.file("2010-12-02.csv", [])
+    shop.file("junk.csv", [])
+    (shop.root / "inbound" / "2010-12-03.csv").touch()
+    (shop.root / "inbound" / "old").mkdir()
+    shop.day("2010-11-30", 2, folder="inbound/old")
+    files = list_files(spark, str(shop.root / "inbound"))
+    listed = {(r["file_name"], r["file_value"]) for r in files.collect()}
+    assert listed == {
+        ("2010-12-01.csv", 20101201),
+        ("2010-12-02.csv", 20101202),
+        ("junk.csv", None),
+    }
+    assert latest_file(files).first()[0] == "2010-12-02.csv"
+    assert earliest_file(files).first()[0] == "2010-12-01.csv"
+
+
+def test_listing_reads_no_content(spark, shop):
+    files = list_files(spark, str(shop.root / "inbound"))
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan
+
+
+def test_empty_and_missing_folder(spark, shop):
+    files = list_files(spark, str(shop.root / "inbound"))
+    assert files.count() == 0
+    assert latest_file(files).first()[0] is None
+    with pytest.raises(MissingFolderError):
+        list_files(spark, str(shop.root / "nowhere"))
+
+
+def test_scan_is_all_string_with_the_key_last(spark, shop):
+    rows = [
+        invoice(1, "2010-12-02 07:48:00", description="X, Y"),
+        invoice(2, "bad", description='SAY "HI"', customer=""),
+    ]
+    shop.file("2010-12-02.csv", rows)
+    batch = read_days(spark, str(shop.root / "inbound"), "InvoiceDate", INVOICE_COLUMNS)
+    assert batch.columns == [*INVOICE_COLUMNS, "datestr"]
+    assert dict(batch.dtypes) == {**dict.fromkeys(INVOICE_COLUMNS, "string"), "datestr": "int"}
+    got = {r["InvoiceNo"]: r for r in batch.collect()}
+    assert (got["1"]["Description"], got["1"]["datestr"]) == ("X, Y", 20101202)
+    assert (got["2"]["Description"], got["2"]["CustomerID"], got["2"]["datestr"]) == (
+        'SAY "HI"',
+        None,
+        None,
+    )
+
+
+def test_header_comes_from_the_first_file(spark, shop):
+    shop.day("2010-12-01", 1)
+    batch = read_days(spark, str(shop.root / "inbound" / "2010-12-01.csv"), "InvoiceDate")
+    assert batch.columns == [*INVOICE_COLUMNS, "datestr"]
+
+
+def test_another_header_fails_the_scan(spark, shop):
+    shop.day("2010-12-01", 1)
+    turned = INVOICE_COLUMNS[::-1]
+    row = invoice(1, "2010-12-02 08:00:00")[::-1]
+    shop.file("2010-12-02.csv", [row], columns=turned)
+    batch = read_days(spark, str(shop.root / "inbound"), "InvoiceDate", INVOICE_COLUMNS)
+    with pytest.raises(Exception, match="header"):
+        batch.collect()
+
+
+def test_checks_over_files(spark):
+    files = spark.createDataFrame(
+        [("2010-12-01.csv", 20101201), ("2010-12-02.csv", 20101202), ("junk.csv", None)],
+        "file_name string, file_value int",
+    )
+
+    def flags(mark):
+        high = spark.createDataFrame([(mark,)], "high_water int")
+        return {r[0]: r[2] for r in already_processed(files, high).collect()}
+
+    assert flags(20101201) == {"2010-12-01.csv": True, "2010-12-02.csv": False}
+    assert flags(None) == {"2010-12-01.csv": False, "2010-12-02.csv": False}
+    loaded = spark.createDataFrame([(20101202,), (None,)], "datestr int")
+    assert [r["file_name"] for r in pending_files(files, loaded).collect()] == ["2010-12-01.csv"]
+
+
+def test_export_splits_a_day_too_large_for_one_task(spark, tmp_path):
+    day = F.when(F.col("id") % 3 == 0, "2024-01-01").otherwise(
+        F.date_add(F.lit("2024-01-02").cast("date"), (F.col("id") % 50).cast("int"))
+    )
+    wide = F.sha2(F.col("id").cast("string"), 512)
+    rows = spark.range(60_000).select("id", day.cast("timestamp_ntz").alias("ts"), wide.alias("w"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        export_days(rows.repartition(16), F.col("ts"), str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = list_files(spark, str(tmp_path / "out" / "inbound"))
+    assert files.where("file_value = 20240101").count() > 3
+    assert files.where("file_value is null").count() == 0
+    back = read_days(spark, str(tmp_path / "out" / "inbound"), "ts", ["id", "ts", "w"])
+    assert back.count() == 60_000
+    assert back.select("id").distinct().count() == 60_000
+    assert back.where("datestr = 20240101").count() == 20_000

@@ -1,0 +1,86 @@
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from daybook.operators import (
+    batch_date_range,
+    day_profile,
+    duplicate_profile,
+    high_water_mark,
+    load_profile,
+    loaded_partitions,
+    partition_counts,
+    post_load_report,
+    preview,
+)
+
+SCHEMA = "a string, b string, datestr int"
+ROWS = [
+    ("x", None, 20240101),
+    ("x", None, 20240101),
+    ("x", "1", 20240101),
+    ("x", None, 20240102),
+    (None, None, None),
+    (None, None, None),
+]
+
+
+def pairs(frame):
+    return {tuple(r) for r in frame.collect()}
+
+
+def test_over_days(spark):
+    rows = spark.createDataFrame(ROWS, SCHEMA)
+    assert pairs(partition_counts(rows)) == {(20240101, 3), (20240102, 1), (None, 2)}
+    assert pairs(loaded_partitions(rows)) == {(20240101,), (20240102,), (None,)}
+    assert pairs(high_water_mark(rows)) == {(20240102,)}
+    assert pairs(batch_date_range(rows)) == {(20240101, 20240102, 2)}
+    assert [tuple(r) for r in preview(rows.where("datestr is not null"), 1, "b", "datestr").collect()] == [
+        ("x", None, 20240101)
+    ]
+
+
+def test_nulls_compare_equal(spark):
+    rows = spark.createDataFrame(ROWS, SCHEMA)
+    assert pairs(load_profile(rows)) == {(6, 4)}
+    assert pairs(duplicate_profile(rows)) == {(20240101, 1), (None, 1)}
+    assert pairs(day_profile(rows, ["a"])) == {(20240101, 3, 1), (20240102, 1, 1), (None, 2, 1)}
+
+
+def test_report(spark):
+    assert pairs(post_load_report(spark.createDataFrame(ROWS, SCHEMA))) == {
+        ("rows", 20240101, 3),
+        ("rows", 20240102, 1),
+        ("rows", None, 2),
+        ("total", None, 6),
+        ("unique", None, 4),
+    }
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert pairs(post_load_report(empty)) == {("total", None, 0), ("unique", None, 0)}
+    assert pairs(load_profile(empty)) == {(0, 0)}
+    assert pairs(high_water_mark(empty)) == {(None,)}
+    assert pairs(batch_date_range(empty)) == {(None, None, 0)}
+
+
+texts = st.sampled_from(["", "p", "q", None])
+days = st.sampled_from([20240101, 20240102, None])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(texts, texts, days), max_size=40))
+def test_profile_against_counting(spark, rows):
+    frame = spark.createDataFrame(rows, SCHEMA)
+    copies = Counter(rows)
+    assert pairs(load_profile(frame)) == {(len(rows), len(copies))}
+    surplus = Counter()
+    for row, n in copies.items():
+        surplus[row[2]] += n - 1
+    assert pairs(duplicate_profile(frame)) == {(d, n) for d, n in surplus.items() if n}
+    report = {(m, d): v for m, d, v in pairs(post_load_report(frame))}
+    assert report["total", None] == len(rows) and report["unique", None] == len(copies)
+    per_day = Counter(row[2] for row in rows)
+    assert {d: v for (m, d), v in report.items() if m == "rows"} == dict(per_day)
