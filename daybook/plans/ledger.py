@@ -6,10 +6,9 @@ Written after the data. A job that dies in between loads its files again, which
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.plans.spec import LoadSpec
@@ -54,9 +53,12 @@ def start(spark: SparkSession, spec: LoadSpec, created: bool) -> None:
         loaded_files(spark, spec).write.mode("ignore").parquet(spec.ledger_path)
 
 
-def record(spark: SparkSession, spec: LoadSpec, files: Iterable[Row], origin: str) -> None:
+def record(spark: SparkSession, spec: LoadSpec, files: pa.Table, origin: str) -> None:
     """Add the files of one finished load."""
-    rows = [(f["file_name"], f["file_value"], origin) for f in files]
-    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(
-        spec.ledger_path
+    (
+        spark.createDataFrame(files.select(["file_name", "file_value"]))
+        .withColumn("origin", F.lit(origin))
+        .coalesce(1)
+        .write.mode("append")
+        .parquet(spec.ledger_path)
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,25 +60,24 @@ def run(
     """
     inbound = list_files(spark, spec.inbound)
     if not table_exists(spark, spec.table):
-        files = _only_latest(inbound, spec)
-        return load_files(spark, spec, files) if _any(files) else LoadResult("no_files")
+        return load_files(spark, spec, _only_latest(inbound, spec))
 
     loaded = ledger.loaded_files(spark, spec)
     if spec.check == "ledger":
-        files = ledger.without_loaded(_only_latest(inbound, spec), loaded)
+        pending = ledger.without_loaded(_only_latest(inbound, spec), loaded)
     else:
-        files = _past_high_water(spark, spec, inbound, loaded)
-    if _any(files):
-        return load_files(spark, spec, files, pre_status=pre_status)
+        pending = _past_high_water(spark, spec, inbound, loaded)
+    done = load_files(spark, spec, pending, pre_status=pre_status)
+    if done.status != "no_files":
+        return done
     if not request_load:
         return LoadResult("already_loaded")
     if spec.staging is None:
         raise ValueError("a requested load needs a staging folder")
     staged = ledger.without_loaded(keyed(list_files(spark, spec.staging)), loaded)
-    files = _on_day(staged, staged.agg(F.min("file_value")))
-    if not _any(files):
-        return LoadResult("nothing_staged")
-    return load_files(spark, spec, files, origin=ledger.STAGING, pre_status=pre_status)
+    pending = _on_day(staged, staged.agg(F.min("file_value")))
+    done = load_files(spark, spec, pending, origin=ledger.STAGING, pre_status=pre_status)
+    return done if done.status != "no_files" else LoadResult("nothing_staged")
 
 
 def load_files(
@@ -93,19 +93,17 @@ def load_files(
     Counts are observed on the write itself; the batch is read once, and once
     more only if some rows have to be quarantined.
     """
+    chosen = _snapshot(files)
     created = not table_exists(spark, spec.table)
-    if spec.mode == "replace" and not created:
-        files = _whole_days(spark, spec, files, origin)
-    # One snapshot serves the read and the ledger: a file that lands meanwhile
-    # must not be recorded as loaded. The driver holds names, as the scan does.
-    chosen = keyed(files).select("path", "file_name", "file_value").collect()
-    if not chosen:
+    if spec.mode == "replace" and not created and chosen.num_rows:
+        chosen = _whole_days(spark, spec, chosen, origin)
+    if not chosen.num_rows:
         return LoadResult("no_files")
 
     before: list[Row] = []
     if pre_status and not created:
         before = partition_counts(spark.table(spec.table)).orderBy(DAY).collect()
-    batch = _read_batch(spark, spec, [f["path"] for f in chosen], created)
+    batch = _read_batch(spark, spec, chosen["path"].to_pylist(), created)
     counts = Observation()
     if spec.mode == "append":
         good = batch.observe(counts, *_metrics(F.lit(True)))
@@ -122,16 +120,15 @@ def load_files(
     else:
         writes.replace_days(good, spec)
     seen = counts.get
-    strays = seen["strays"]
-    if strays:
+    if seen["strays"]:
         writes.quarantine(batch.where(~own_day), spec)
     ledger.record(spark, spec, chosen, origin)
     status = "created" if created else {"append": "appended", "replace": "replaced"}[spec.mode]
     return LoadResult(
         status=status,
-        files=tuple(sorted(f["file_name"] for f in chosen)),
+        files=tuple(sorted(chosen["file_name"].to_pylist())),
         rows=seen["good"],
-        quarantined=strays,
+        quarantined=seen["strays"],
         null_keys=seen["null_keys"],
         min_datestr=seen["min_datestr"],
         max_datestr=seen["max_datestr"],
@@ -139,6 +136,15 @@ def load_files(
     )
 
 
+def _snapshot(files: DataFrame) -> pa.Table:
+    """The file list as it is now, on the driver, where the scan keeps it as well.
+
+    One snapshot serves the read and the ledger: a file that lands in between
+    must not be recorded as loaded.
+    """
+    return keyed(files).select("path", "file_name", "file_value").toArrow()
+
+
 def _metrics(good):
     return (
         F.count_if(good).alias("good"),
@@ -170,10 +176,6 @@ def _read_batch(
     return batch.withColumn(writes.SOURCE_DAY, file_key(SOURCE_FILE))
 
 
-def _any(files: DataFrame) -> bool:
-    return not keyed(files).isEmpty()
-
-
 def _on_day(files: DataFrame, day: DataFrame) -> DataFrame:
     return files.where(F.col("file_value") == day.scalar())
 
@@ -200,9 +202,9 @@ def _past_high_water(
 
 
 def _whole_days(
-    spark: SparkSession, spec: LoadSpec, files: DataFrame, origin: str
-) -> DataFrame:
-    """All files of the days of ``files``: replacing a day needs all of it.
+    spark: SparkSession, spec: LoadSpec, chosen: pa.Table, origin: str
+) -> pa.Table:
+    """All files of the days of ``chosen``: replacing a day needs all of it.
 
     That is what lies in the folders loaded from, and what the days were loaded
     from before, wherever it lies.
@@ -210,7 +212,7 @@ def _whole_days(
     folders, others = spec.inbound, spec.staging
     if origin == ledger.STAGING:
         folders, others = others, folders
-    days = keyed(files).select("file_value").distinct()
+    days = spark.createDataFrame(chosen.select(["file_value"])).distinct()
     recorded = (
         ledger.loaded_files(spark, spec)
         .where(F.col("file_name").isNotNull())
@@ -223,8 +225,10 @@ def _whole_days(
         elsewhere = list_files(spark, others).join(recorded, "file_name", "left_semi")
         elsewhere = elsewhere.join(whole, "file_name", "left_anti")
         whole = whole.unionByName(elsewhere)
+    whole = _snapshot(whole)
+    names = spark.createDataFrame(whole.select(["file_name"]))
     gone = (
-        recorded.join(whole, "file_name", "left_anti")
+        recorded.join(names, "file_name", "left_anti")
         .agg(F.count("*").alias("n"), F.min("file_name").alias("example"))
         .first()
     )
