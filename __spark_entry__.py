@@ -277,6 +277,14 @@ def already_loaded_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_counts(result_of(spark, spec))
 
 
+def already_loaded_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With nothing to load, a run reports on the table as it is."""
+    root = landing(spark, sf_dir)
+    spec = event_spec(spark, root, inbound=both_folders(root))
+    run(spark, spec)
+    return run(spark, spec).report
+
+
 def requested_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inbound days, then one staged day on request."""
     spec = event_spec(spark, landing(spark, sf_dir))
@@ -365,6 +373,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_append": incremental_append,
         "pre_write_status": pre_write_status,
         "already_loaded_noop": already_loaded_noop,
+        "already_loaded_report": already_loaded_report,
         "requested_load": requested_load,
         "duplicate_append": duplicate_append,
         "mixed_days_append": mixed_days_append,
@@ -458,6 +467,11 @@ def oracle_sql() -> dict[str, str]:
             FROM events WHERE {_LANDED} GROUP BY 2
             UNION ALL SELECT 'incoming', NULL, count(*) FROM events WHERE {_STAGED}""",
         "already_loaded_noop": _ALL_COUNTS,
+        "already_loaded_report": f"""
+            SELECT 'rows' AS metric, {_DS} AS datestr, count(*) AS value
+            FROM events GROUP BY 2
+            UNION ALL SELECT 'total', NULL, count(*) FROM events
+            UNION ALL SELECT 'unique', NULL, count(*) FROM (SELECT DISTINCT * FROM events)""",
         "requested_load": f"""
             {_COUNTS} WHERE {_LANDED} OR CAST(ts AS DATE) =
               (SELECT min(CAST(ts AS DATE)) FROM events WHERE {_STAGED})

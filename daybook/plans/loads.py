@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import file_key
-from daybook.operators import high_water_mark, partition_counts
+from daybook.operators import high_water_mark, partition_counts, post_load_report
 from daybook.operators.files import keyed
 from daybook.plans import ledger, writes
 from daybook.plans.spec import LoadSpec
@@ -35,6 +35,8 @@ class LoadResult:
     quarantined rows kept aside because they lack their file's day
     null_keys   rows without a readable day, wherever they went
     before      (datestr, row_count) ahead of the write, if asked for
+    report      rows per day, total and unique rows of the table, not yet
+                computed: if asked for, and always if there was nothing to load
     """
 
     status: str
@@ -45,6 +47,7 @@ class LoadResult:
     min_datestr: int | None = None
     max_datestr: int | None = None
     before: list[Row] = field(default_factory=list)
+    report: DataFrame | None = None
 
 
 def run(
@@ -52,12 +55,22 @@ def run(
     spec: LoadSpec,
     request_load: bool = False,
     pre_status: bool = False,
+    report: bool = False,
 ) -> LoadResult:
     """Load what is pending in the inbound folders.
 
     If nothing is, ``request_load`` takes the next staged day instead. The flag
     has no effect as long as an inbound file is pending.
     """
+    done = _run(spark, spec, request_load, pre_status)
+    if done.status == "already_loaded" or (report and table_exists(spark, spec.table)):
+        done = replace(done, report=post_load_report(spark.table(spec.table)))
+    return done
+
+
+def _run(
+    spark: SparkSession, spec: LoadSpec, request_load: bool, pre_status: bool
+) -> LoadResult:
     inbound = list_files(spark, spec.inbound)
     if not table_exists(spark, spec.table):
         return load_files(spark, spec, _only_latest(inbound, spec))
@@ -104,13 +117,14 @@ def load_files(
     if pre_status and not created:
         before = partition_counts(spark.table(spec.table)).orderBy(DAY).collect()
     batch = _read_batch(spark, spec, chosen["path"].to_pylist(), created)
-    counts = Observation()
-    if spec.mode == "append":
-        good = batch.observe(counts, *_metrics(F.lit(True)))
-    else:
+    own_day = F.lit(True)
+    if spec.mode == "replace":
         own_day = F.coalesce(F.col(DAY) == F.col(writes.SOURCE_DAY), F.lit(False))
-        good = batch.observe(counts, *_metrics(own_day)).where(own_day)
-        good = good.drop(SOURCE_FILE, writes.SOURCE_DAY)
+    # Observed after the shuffle, if there is one: what the write's own tasks
+    # count is counted once, also when a lost executor's shuffle output is redone.
+    counts = Observation()
+    good = writes.layout(batch, spec).observe(counts, *_metrics(own_day)).where(own_day)
+    good = good.drop(SOURCE_FILE, writes.SOURCE_DAY)
 
     ledger.start(spark, spec, created)
     if created:
@@ -158,16 +172,14 @@ def _metrics(good):
 def _read_batch(
     spark: SparkSession, spec: LoadSpec, paths: Sequence[str], created: bool
 ) -> DataFrame:
-    """The files' rows in the table's column order (the first header's, if new).
+    """The files' rows in the table's column order (the header's, if it is new).
 
-    A single file is read by its own header and aligned by name. Of several
-    files each must have the expected header, or the read fails.
+    Columns are matched by name against the first file's header; a file with
+    another header than that fails the read.
     """
-    if created:
-        header = columns = [c for c in header_of(spark, min(paths)) if c != DAY]
-    else:
-        columns = [c for c in spark.table(spec.table).columns if c != DAY]
-        header = header_of(spark, paths[0]) if len(paths) == 1 else columns
+    header = header_of(spark, min(paths))
+    known = header if created else spark.table(spec.table).columns
+    columns = [c for c in known if c != DAY]
     if spec.mode == "append":
         batch = read_days(spark, paths, spec.day_column, header)
         return writes.align(batch, [*columns, DAY])
@@ -219,22 +231,25 @@ def _whole_days(
         .join(days, "file_value", "left_semi")
         .select("file_name")
         .distinct()
+        .toArrow()
     )
-    whole = list_files(spark, folders).join(days, "file_value", "left_semi")
-    if others is not None:
-        elsewhere = list_files(spark, others).join(recorded, "file_name", "left_semi")
-        elsewhere = elsewhere.join(whole, "file_name", "left_anti")
-        whole = whole.unionByName(elsewhere)
-    whole = _snapshot(whole)
-    names = spark.createDataFrame(whole.select(["file_name"]))
-    gone = (
-        recorded.join(names, "file_name", "left_anti")
-        .agg(F.count("*").alias("n"), F.min("file_name").alias("example"))
-        .first()
-    )
-    if gone["n"]:
+    whole = _snapshot(list_files(spark, folders).join(days, "file_value", "left_semi"))
+    gone = _not_among(spark, recorded, whole)
+    if gone.num_rows and others is not None:
+        absent = spark.createDataFrame(gone)
+        elsewhere = list_files(spark, others).join(absent, "file_name", "left_semi")
+        whole = pa.concat_tables([whole, _snapshot(elsewhere)])
+        gone = _not_among(spark, gone, whole)
+    if gone.num_rows:
         raise IncompleteDayError(
-            f"{gone['n']} files of the days to replace are gone, such as {gone['example']}; "
-            "put them back, or load the new files with mode='append'"
+            f"{gone.num_rows} files of the days to replace are gone, such as "
+            f"{gone['file_name'][0]}; put them back, or load the new files with mode='append'"
         )
     return whole
+
+
+def _not_among(spark: SparkSession, names: pa.Table, files: pa.Table) -> pa.Table:
+    if not names.num_rows:
+        return names
+    present = spark.createDataFrame(files.select(["file_name"]))
+    return spark.createDataFrame(names).join(present, "file_name", "left_anti").toArrow()

@@ -36,8 +36,7 @@ def layout(batch: DataFrame, spec: LoadSpec) -> DataFrame:
 def create_table(batch: DataFrame, spec: LoadSpec) -> None:
     """A new external table, partitioned by day."""
     (
-        layout(batch, spec)
-        .write.format(spec.fmt)
+        batch.write.format(spec.fmt)
         .mode("overwrite")
         .partitionBy(DAY)
         .option("path", spec.location)
@@ -47,7 +46,7 @@ def create_table(batch: DataFrame, spec: LoadSpec) -> None:
 
 def append_rows(batch: DataFrame, spec: LoadSpec) -> None:
     """Add rows to an existing table."""
-    layout(batch, spec).write.insertInto(spec.table)
+    batch.write.insertInto(spec.table)
 
 
 def replace_days(batch: DataFrame, spec: LoadSpec) -> None:
@@ -57,7 +56,7 @@ def replace_days(batch: DataFrame, spec: LoadSpec) -> None:
     would empty the whole table, so the mode is set on the session.
     """
     with _dynamic_overwrite(batch.sparkSession):
-        layout(batch, spec).write.mode("overwrite").insertInto(spec.table)
+        batch.write.mode("overwrite").insertInto(spec.table)
 
 
 def quarantine(strays: DataFrame, spec: LoadSpec) -> None:
