@@ -144,7 +144,7 @@ def post_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_date_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(".csv"))
+    name = F.concat(F.col("ts").cast("date").cast("string"), F.lit(".csv"))
     names = table(spark, sf_dir, "events").select(name.alias("file_name")).distinct()
     return names.select("file_name", file_key("file_name").alias("file_value"))
 

@@ -23,13 +23,20 @@ STAGING = "staging"
 TABLE = "table"  # a day that was in the table before it had a ledger; no file name
 
 
-def loaded_files(spark: SparkSession, spec: LoadSpec) -> DataFrame:
-    """The ledger, or, for a table that has none yet, a line per loaded day."""
+def _written(spark: SparkSession, spec: LoadSpec) -> DataFrame | None:
     try:
         return spark.read.schema(SCHEMA).parquet(spec.ledger_path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def loaded_files(spark: SparkSession, spec: LoadSpec) -> DataFrame:
+    """The ledger, or, for a table that has none yet, a line per loaded day."""
+    written = _written(spark, spec)
+    if written is not None:
+        return written
     return partition_keys(spark, spec.table).select(
         F.lit(None).cast("string").alias("file_name"),
         F.col(DAY).alias("file_value"),
@@ -47,10 +54,11 @@ def without_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
 def start(spark: SparkSession, spec: LoadSpec, created: bool) -> None:
     """Before data is written: forget the ledger of an earlier table of that place,
     or, for a table without a ledger, note the days it already holds."""
-    if created:
-        spark.createDataFrame([], SCHEMA).write.mode("overwrite").parquet(spec.ledger_path)
-    else:
-        loaded_files(spark, spec).write.mode("ignore").parquet(spec.ledger_path)
+    written = _written(spark, spec)
+    if created and written is not None:
+        written.where("false").write.mode("overwrite").parquet(spec.ledger_path)
+    elif not created and written is None:
+        loaded_files(spark, spec).write.parquet(spec.ledger_path)
 
 
 def record(spark: SparkSession, spec: LoadSpec, files: pa.Table, origin: str) -> None:

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import file_key
@@ -123,7 +124,7 @@ def load_files(
     # Observed after the shuffle, if there is one: what the write's own tasks
     # count is counted once, also when a lost executor's shuffle output is redone.
     counts = Observation()
-    good = writes.layout(batch, spec).observe(counts, *_metrics(own_day)).where(own_day)
+    good = writes.layout(batch, spec).observe(counts, *_metrics(own_day, spec)).where(own_day)
     good = good.drop(SOURCE_FILE, writes.SOURCE_DAY)
 
     ledger.start(spark, spec, created)
@@ -134,8 +135,14 @@ def load_files(
     else:
         writes.replace_days(good, spec)
     seen = counts.get
-    if seen["strays"]:
-        writes.quarantine(batch.where(~own_day), spec)
+    if spec.mode == "replace":
+        if not created:
+            _clear_emptied(spark, spec, chosen, seen["days"])
+        if seen["strays"]:
+            days = pa.array(seen["stray_days"], pa.int32())
+            odd = chosen.filter(pc.is_in(chosen["file_value"], days))
+            batch = _read_batch(spark, spec, odd["path"].to_pylist(), created=False)
+            writes.quarantine(batch.where(~own_day), spec)
     ledger.record(spark, spec, chosen, origin)
     status = "created" if created else {"append": "appended", "replace": "replaced"}[spec.mode]
     return LoadResult(
@@ -159,14 +166,30 @@ def _snapshot(files: DataFrame) -> pa.Table:
     return keyed(files).select("path", "file_name", "file_value").toArrow()
 
 
-def _metrics(good):
-    return (
+def _metrics(good: Column, spec: LoadSpec) -> list[Column]:
+    metrics = [
         F.count_if(good).alias("good"),
         F.count_if(~good).alias("strays"),
         F.count_if(F.col(DAY).isNull()).alias("null_keys"),
         F.min(F.when(good, F.col(DAY))).alias("min_datestr"),
         F.max(F.when(good, F.col(DAY))).alias("max_datestr"),
-    )
+    ]
+    if spec.mode == "replace":  # sets of file days, as many as days are loaded
+        day = F.col(writes.SOURCE_DAY)
+        metrics.append(F.collect_set(F.when(good, day)).alias("days"))
+        metrics.append(F.collect_set(F.when(~good, day)).alias("stray_days"))
+    return metrics
+
+
+def _clear_emptied(
+    spark: SparkSession, spec: LoadSpec, chosen: pa.Table, filled: list[int]
+) -> None:
+    """Empty the days whose files no longer hold a row of theirs."""
+    emptied = set(chosen["file_value"].to_pylist()) - set(filled)
+    if emptied:
+        held = partition_keys(spark, spec.table).where(F.col(DAY).isin(*emptied)).collect()
+        for row in held:
+            writes.clear_day(spark, spec, row[DAY])
 
 
 def _read_batch(

@@ -59,6 +59,16 @@ def replace_days(batch: DataFrame, spec: LoadSpec) -> None:
         batch.write.mode("overwrite").insertInto(spec.table)
 
 
+def clear_day(spark: SparkSession, spec: LoadSpec, day: int) -> None:
+    """Replace a day by nothing: a dynamic overwrite leaves days without rows alone."""
+    blanks = ", ".join("NULL" for c in spark.table(spec.table).columns if c != DAY)
+    name, part = {"name": spec.table}, f"PARTITION ({DAY} = {day:d})"
+    spark.sql(
+        f"INSERT OVERWRITE TABLE IDENTIFIER(:name) {part} SELECT {blanks} FROM range(0)", args=name
+    )
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS {part}", args=name)
+
+
 def quarantine(strays: DataFrame, spec: LoadSpec) -> None:
     """Keep rows that do not belong to their file's day, by file day, replaceable too."""
     (

@@ -28,7 +28,7 @@ def export_days(
     parts = f"{root}/_parts"
     (
         df.withColumn("_folder", folder if folder is not None else F.lit("inbound"))
-        .withColumn("_day", F.date_format(day, "yyyy-MM-dd"))
+        .withColumn("_day", day.cast("date").cast("string"))
         .hint("rebalance", F.col("_folder"), F.col("_day"))
         .write.partitionBy("_folder", "_day")
         .option("header", True)

@@ -268,6 +268,39 @@ def test_replace_mode_quarantines_rows_of_other_days(spark, shop):
     assert kept.count() == 2
 
 
+def test_a_day_whose_file_lost_its_rows_is_emptied(spark, shop):
+    shop.day("2010-12-01", 3)
+    shop.day("2010-12-02", 2)
+    run(spark, shop.spec())
+    shop.file("2010-12-02.csv", [])
+    load_files(spark, shop.spec(), inbound(spark, shop.spec(), "2010-12-02.csv"))
+    assert shop.counts() == {20101201: 3}
+    shop.file("2010-12-01.csv", [invoice(1, "2010-12-05 08:00:00")])
+    done = load_files(spark, shop.spec(), list_files(spark, shop.spec().inbound))
+    assert (done.rows, done.quarantined, shop.counts()) == (0, 1, {})
+    assert {r[0] for r in partition_keys(spark, shop.table).collect()} == set()
+
+
+def test_only_files_with_strays_are_read_again(spark, shop, monkeypatch):
+    from daybook.plans import loads
+
+    read, original = [], loads._read_batch
+
+    def noting(session, spec, paths, created):
+        read.append(paths)
+        return original(session, spec, paths, created)
+
+    monkeypatch.setattr(loads, "_read_batch", noting)
+    shop.day("2010-12-01", 3)
+    shop.file("2010-12-02.csv", [invoice(1, "2010-12-03 08:00:00"), invoice(2, "2010-12-02")])
+    done = run(spark, shop.spec())
+    assert (done.rows, done.quarantined) == (4, 1)
+    assert [[p.rsplit("/", 1)[1] for p in paths] for paths in read] == [
+        ["2010-12-01.csv", "2010-12-02.csv"],
+        ["2010-12-02.csv"],
+    ]
+
+
 def test_header_only_file(spark, shop):
     shop.day("2010-12-01", 3)
     run(spark, shop.spec())
