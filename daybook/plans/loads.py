@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
@@ -117,7 +116,7 @@ def load_files(
     before: list[Row] = []
     if pre_status and not created:
         before = partition_counts(spark.table(spec.table)).orderBy(DAY).collect()
-    batch = _read_batch(spark, spec, chosen["path"].to_pylist(), created)
+    batch = _read_batch(spark, spec, chosen, created)
     own_day = F.lit(True)
     if spec.mode == "replace":
         own_day = F.coalesce(F.col(DAY) == F.col(writes.SOURCE_DAY), F.lit(False))
@@ -141,7 +140,7 @@ def load_files(
         if seen["strays"]:
             days = pa.array(seen["stray_days"], pa.int32())
             odd = chosen.filter(pc.is_in(chosen["file_value"], days))
-            batch = _read_batch(spark, spec, odd["path"].to_pylist(), created=False)
+            batch = _read_batch(spark, spec, odd, created=False)
             writes.quarantine(batch.where(~own_day), spec)
     ledger.record(spark, spec, chosen, origin)
     status = "created" if created else {"append": "appended", "replace": "replaced"}[spec.mode]
@@ -193,13 +192,15 @@ def _clear_emptied(
 
 
 def _read_batch(
-    spark: SparkSession, spec: LoadSpec, paths: Sequence[str], created: bool
+    spark: SparkSession, spec: LoadSpec, files: pa.Table, created: bool
 ) -> DataFrame:
     """The files' rows in the table's column order (the header's, if it is new).
 
     Columns are matched by name against the first file's header; a file with
-    another header than that fails the read.
+    another header than that fails the read. In replace mode each row also has
+    its file's name and day; the day of files of one day is a literal.
     """
+    paths, days = files["path"].to_pylist(), pc.unique(files["file_value"])
     header = header_of(spark, min(paths))
     known = header if created else spark.table(spec.table).columns
     columns = [c for c in known if c != DAY]
@@ -208,7 +209,8 @@ def _read_batch(
         return writes.align(batch, [*columns, DAY])
     batch = read_days(spark, paths, spec.day_column, header, SOURCE_FILE)
     batch = writes.align(batch, [*columns, SOURCE_FILE, DAY])
-    return batch.withColumn(writes.SOURCE_DAY, file_key(SOURCE_FILE))
+    day = F.lit(days[0].as_py()) if len(days) == 1 else file_key(SOURCE_FILE)
+    return batch.withColumn(writes.SOURCE_DAY, day)
 
 
 def _on_day(files: DataFrame, day: DataFrame) -> DataFrame:
