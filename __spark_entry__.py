@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import LoadSpec, load_files, run
@@ -56,7 +56,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_datestr(table(spark, sf_dir, "events"), "ts")
 
 
-def is_landed(rows: DataFrame) -> F.Column:
+def is_landed(rows: DataFrame) -> Column:
     """Not among the last days, which are staged."""
     day = F.col("ts").cast("date")
     return day <= rows.agg(F.date_sub(F.max(day), STAGED_DAYS)).scalar()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daybook.plans.spec import LoadSpec
 from daybook.sources import partition_keys
-from daybook.sources.landing import DAY
+from daybook.sources.landing import DAY, file_frame
 
 SCHEMA = "file_name string, file_value int, origin string"
 
@@ -64,7 +64,7 @@ def start(spark: SparkSession, spec: LoadSpec, created: bool) -> None:
 def record(spark: SparkSession, spec: LoadSpec, files: pa.Table, origin: str) -> None:
     """Add the files of one finished load."""
     (
-        spark.createDataFrame(files.select(["file_name", "file_value"]))
+        file_frame(spark, files.select(["file_name", "file_value"]))
         .withColumn("origin", F.lit(origin))
         .coalesce(1)
         .write.mode("append")

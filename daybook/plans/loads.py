@@ -14,7 +14,8 @@ from daybook.operators import high_water_mark, partition_counts, post_load_repor
 from daybook.operators.files import keyed
 from daybook.plans import ledger, writes
 from daybook.plans.spec import LoadSpec
-from daybook.sources.landing import DAY, header_of, list_files, read_days
+from daybook.settings import setting
+from daybook.sources.landing import DAY, file_frame, header_of, list_files, read_days
 from daybook.sources.tables import partition_keys, table_exists
 
 SOURCE_FILE = "_source_file"
@@ -160,9 +161,13 @@ def _snapshot(files: DataFrame) -> pa.Table:
     """The file list as it is now, on the driver, where the scan keeps it as well.
 
     One snapshot serves the read and the ledger: a file that lands in between
-    must not be recorded as loaded.
+    must not be recorded as loaded. Listing opens no file, so it needs no task per
+    file, however large the files are.
     """
-    return keyed(files).select("path", "file_name", "file_value").toArrow()
+    spark = files.sparkSession
+    tasks = str(spark.sparkContext.defaultParallelism)
+    with setting(spark, "spark.sql.files.maxPartitionNum", tasks):
+        return keyed(files).select("path", "file_name", "file_value").toArrow()
 
 
 def _metrics(good: Column, spec: LoadSpec) -> list[Column]:
@@ -243,13 +248,13 @@ def _whole_days(
 ) -> pa.Table:
     """All files of the days of ``chosen``: replacing a day needs all of it.
 
-    That is what lies in the folders loaded from, and what the days were loaded
-    from before, wherever it lies.
+    That is ``chosen``, what else lies in the folders loaded from, and what the
+    days were loaded from before, wherever it lies.
     """
     folders, others = spec.inbound, spec.staging
     if origin == ledger.STAGING:
         folders, others = others, folders
-    days = spark.createDataFrame(chosen.select(["file_value"])).distinct()
+    days = file_frame(spark, chosen.select(["file_value"])).distinct()
     recorded = (
         ledger.loaded_files(spark, spec)
         .where(F.col("file_name").isNotNull())
@@ -258,10 +263,16 @@ def _whole_days(
         .distinct()
         .toArrow()
     )
-    whole = _snapshot(list_files(spark, folders).join(days, "file_value", "left_semi"))
+    names = file_frame(spark, chosen.select(["file_name"]))
+    same_day = (
+        list_files(spark, folders)
+        .join(days, "file_value", "left_semi")
+        .join(names, "file_name", "left_anti")
+    )
+    whole = pa.concat_tables([chosen, _snapshot(same_day)])
     gone = _not_among(spark, recorded, whole)
     if gone.num_rows and others is not None:
-        absent = spark.createDataFrame(gone)
+        absent = file_frame(spark, gone)
         elsewhere = list_files(spark, others).join(absent, "file_name", "left_semi")
         whole = pa.concat_tables([whole, _snapshot(elsewhere)])
         gone = _not_among(spark, gone, whole)
@@ -276,5 +287,5 @@ def _whole_days(
 def _not_among(spark: SparkSession, names: pa.Table, files: pa.Table) -> pa.Table:
     if not names.num_rows:
         return names
-    present = spark.createDataFrame(files.select(["file_name"]))
-    return spark.createDataFrame(names).join(present, "file_name", "left_anti").toArrow()
+    present = file_frame(spark, files.select(["file_name"]))
+    return file_frame(spark, names).join(present, "file_name", "left_anti").toArrow()

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.plans.spec import LoadSpec
+from daybook.settings import setting
 from daybook.sources.landing import DAY
 
 SOURCE_DAY = "_source_day"
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class SchemaMismatchError(ValueError):
@@ -55,7 +52,7 @@ def replace_days(batch: DataFrame, spec: LoadSpec) -> None:
     ``insertInto`` ignores the writer's own partitionOverwriteMode option and
     would empty the whole table, so the mode is set on the session.
     """
-    with _dynamic_overwrite(batch.sparkSession):
+    with setting(batch.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         batch.write.mode("overwrite").insertInto(spec.table)
 
 
@@ -77,13 +74,3 @@ def quarantine(strays: DataFrame, spec: LoadSpec) -> None:
         .partitionBy(SOURCE_DAY)
         .parquet(spec.quarantine_path)
     )
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,15 @@ def list_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
     return describe_files(raw)
 
 
+def file_frame(spark: SparkSession, files: pa.Table) -> DataFrame:
+    """A file list from the driver as a DataFrame.
+
+    Chunks are joined first: of a table with an empty chunk, ``createDataFrame``
+    takes only the rows ahead of it.
+    """
+    return spark.createDataFrame(files.combine_chunks())
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names in the first line of one CSV file."""
     return spark.read.csv(path, header=True).columns

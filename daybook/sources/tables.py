@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +16,13 @@ def partition_keys(spark: SparkSession, table: str) -> DataFrame:
     """Distinct non-NULL ``datestr`` of a table.
 
     Comes from the catalog, which costs the number of partitions and not the
-    number of rows. A table that is not partitioned is scanned instead.
+    number of rows. A table that is not partitioned by day is scanned instead.
     """
-    try:
+    columns = spark.catalog.listColumns(table)
+    if any(c.name == DAY and c.isPartition for c in columns):
         listed = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": table})
-    except AnalysisException:
-        keys = spark.table(table).select(DAY)
-    else:
         key = F.regexp_extract("partition", rf"(?:^|/){DAY}=(\d+)", 1)
         keys = listed.select(key.try_cast("int").alias(DAY))
+    else:
+        keys = spark.table(table).select(DAY)
     return keys.where(F.col(DAY).isNotNull()).distinct()

@@ -1,9 +1,11 @@
+import pyarrow as pa
 import pytest
 from conftest import INVOICE_COLUMNS, invoice
 from pyspark.sql import functions as F
 
 from daybook.operators import already_processed, earliest_file, latest_file, pending_files
 from daybook.sources import MissingFolderError, export_days, list_files, read_days
+from daybook.sources.landing import file_frame
 
 
 def test_listing(spark, shop):
@@ -56,6 +58,13 @@ def test_scan_is_all_string_with_the_key_last(spark, shop):
     )
 
 
+def test_file_frame_keeps_rows_after_an_empty_chunk(spark):
+    names = pa.table({"file_name": ["a", "b", "c"]})
+    chunked = pa.concat_tables([names.slice(0, 1), names.slice(0, 0), names.slice(1)])
+    assert {r[0] for r in file_frame(spark, chunked).collect()} == {"a", "b", "c"}
+    assert file_frame(spark, names.slice(0, 0)).count() == 0
+
+
 def test_header_comes_from_the_first_file(spark, shop):
     shop.day("2010-12-01", 1)
     batch = read_days(spark, str(shop.root / "inbound" / "2010-12-01.csv"), "InvoiceDate")

@@ -4,6 +4,7 @@ import shutil
 
 import pytest
 from conftest import INVOICE_COLUMNS, invoice
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from daybook import LoadSpec, load_files, run
@@ -376,6 +377,50 @@ def test_other_formats(spark, shop, fmt):
     assert shop.counts() == {20101201: 3, 20101202: 2}
 
 
+def test_avro_is_passed_on(spark, shop):
+    shop.day("2010-12-01", 1)
+    with pytest.raises(AnalysisException, match="(?i)avro"):
+        run(spark, shop.spec(fmt="avro"))
+
+
+def test_files_from_another_folder(spark, shop):
+    shop.day("2010-12-01", 1)
+    run(spark, shop.spec())
+    (shop.root / "elsewhere").mkdir()
+    shop.day("2010-12-02", 2, folder="elsewhere")
+    shop.day("2010-12-01", 3, folder="elsewhere", first=100, suffix=".1.csv")
+    given = list_files(spark, str(shop.root / "elsewhere"))
+    assert load_files(spark, shop.spec(), given).rows == 6
+    assert shop.counts() == {20101201: 4, 20101202: 2}
+
+
+def test_counts_ledger_and_table_agree(spark, shop):
+    for day, n in (("2010-12-01", 3), ("2010-12-02", 2), ("2010-12-05", 4)):
+        shop.day(day, n)
+        done = run(spark, shop.spec(), report=True)
+    report = {(r["metric"], r["datestr"]): r["value"] for r in done.report.collect()}
+    per_day = {day: n for (metric, day), n in report.items() if metric == "rows"}
+    assert per_day == shop.counts()
+    assert sum(per_day.values()) == report["total", None] == report["unique", None] == 9
+    ledger = spark.read.parquet(shop.spec().ledger_path)
+    assert {r["file_value"] for r in ledger.collect()} == set(per_day)
+    assert {r[0] for r in partition_keys(spark, shop.table).collect()} == set(per_day)
+
+
+def test_report_when_there_is_nothing_to_load(spark, shop):
+    shop.day("2010-12-01", 3)
+    assert run(spark, shop.spec()).report is None
+    lines = {tuple(r) for r in run(spark, shop.spec()).report.collect()}
+    assert lines == {("rows", 20101201, 3), ("total", None, 3), ("unique", None, 3)}
+
+
+@pytest.mark.parametrize("layout", ["", "PARTITIONED BY (Country)"])
+def test_days_of_a_table_not_partitioned_by_day(spark, shop, layout):
+    spark.sql(f"CREATE TABLE {shop.table} (datestr int, Country string) USING parquet {layout}")
+    spark.sql(f"INSERT INTO {shop.table} VALUES (20101201, 'x'), (20101202, 'y'), (NULL, 'y')")
+    assert {r[0] for r in partition_keys(spark, shop.table).collect()} == {20101201, 20101202}
+
+
 def test_unknown_settings():
     for wrong in ({"mode": "x"}, {"check": "x"}, {"table": ""}, {"location": ""}):
         with pytest.raises(ValueError):
