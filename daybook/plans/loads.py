@@ -14,7 +14,7 @@ from daybook.operators import high_water_mark, partition_counts, post_load_repor
 from daybook.operators.files import keyed
 from daybook.plans import ledger, writes
 from daybook.plans.spec import LoadSpec
-from daybook.settings import setting
+from daybook.settings import files_in_few_tasks, listing_in_few_tasks
 from daybook.sources.landing import DAY, file_frame, header_of, list_files, read_days
 from daybook.sources.tables import partition_keys, table_exists
 
@@ -107,6 +107,13 @@ def load_files(
     Counts are observed on the write itself; the batch is read once, and once
     more only if some rows have to be quarantined.
     """
+    with listing_in_few_tasks(spark):
+        return _load_files(spark, spec, files, origin, pre_status)
+
+
+def _load_files(
+    spark: SparkSession, spec: LoadSpec, files: DataFrame, origin: str, pre_status: bool
+) -> LoadResult:
     chosen = _snapshot(files)
     created = not table_exists(spark, spec.table)
     if spec.mode == "replace" and not created and chosen.num_rows:
@@ -161,12 +168,9 @@ def _snapshot(files: DataFrame) -> pa.Table:
     """The file list as it is now, on the driver, where the scan keeps it as well.
 
     One snapshot serves the read and the ledger: a file that lands in between
-    must not be recorded as loaded. Listing opens no file, so it needs no task per
-    file, however large the files are.
+    must not be recorded as loaded.
     """
-    spark = files.sparkSession
-    tasks = str(spark.sparkContext.defaultParallelism)
-    with setting(spark, "spark.sql.files.maxPartitionNum", tasks):
+    with files_in_few_tasks(files.sparkSession):
         return keyed(files).select("path", "file_name", "file_value").toArrow()
 
 

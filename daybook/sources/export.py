@@ -11,6 +11,8 @@ from multiprocessing.pool import ThreadPool
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.settings import files_in_few_tasks, listing_in_few_tasks
+
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -36,13 +38,14 @@ def export_days(
         .option("timestampFormat", TIMESTAMP_FORMAT)
         .csv(parts)
     )
-    written = (
-        spark.read.format("binaryFile")
-        .load(parts)
-        .select("path", "_folder", F.col("_day").cast("string").alias("_day"))
-        .orderBy("path")
-        .collect()
-    )
+    with listing_in_few_tasks(spark), files_in_few_tasks(spark):
+        written = (
+            spark.read.format("binaryFile")
+            .load(parts)
+            .select("path", "_folder", F.col("_day").cast("string").alias("_day"))
+            .orderBy("path")
+            .collect()
+        )
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     base = hadoop.Path(root)
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

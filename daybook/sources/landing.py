@@ -42,7 +42,7 @@ def list_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
     Sub-folders are left out, and so are zero-byte files and names starting with
     ``_`` or ``.``; a file with only a header is listed.
     """
-    paths = [folders] if isinstance(folders, str) else list(folders)
+    paths = [folders] if isinstance(folders, str) else list(dict.fromkeys(folders))
     try:
         raw = spark.read.format("binaryFile").load(paths)
     except AnalysisException as error:
