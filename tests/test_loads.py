@@ -49,6 +49,13 @@ def test_missing_and_empty_inbound(spark, shop):
     assert run(spark, shop.spec()).status == "no_files"
 
 
+def test_missing_database(spark, shop):
+    shop.day("2010-12-01", 1)
+    with pytest.raises(AnalysisException, match="nowhere"):
+        run(spark, shop.spec(table="nowhere.t"))
+    assert not spark.catalog.databaseExists("nowhere")
+
+
 def test_a_table_made_anew_forgets_the_old_ledger(spark, shop):
     shop.day("2010-12-01", 3)
     run(spark, shop.spec())
