@@ -7,13 +7,12 @@ Written after the data. A job that dies in between loads its files again, which
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.plans.spec import LoadSpec
 from daybook.sources import partition_keys
-from daybook.sources.landing import DAY, file_frame
+from daybook.sources.landing import DAY, file_frame, read_if_there
 
 SCHEMA = "file_name string, file_value int, origin string"
 
@@ -24,12 +23,7 @@ TABLE = "table"  # a day that was in the table before it had a ledger; no file n
 
 
 def _written(spark: SparkSession, spec: LoadSpec) -> DataFrame | None:
-    try:
-        return spark.read.schema(SCHEMA).parquet(spec.ledger_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return read_if_there(spark.read.schema(SCHEMA), spec.ledger_path)
 
 
 def loaded_files(spark: SparkSession, spec: LoadSpec) -> DataFrame:

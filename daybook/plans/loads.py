@@ -143,8 +143,10 @@ def _load_files(
         writes.replace_days(good, spec)
     seen = counts.get
     if spec.mode == "replace":
+        loaded_days = set(chosen["file_value"].to_pylist())
         if not created:
-            _clear_emptied(spark, spec, chosen, seen["days"])
+            _clear_emptied(spark, spec, loaded_days - set(seen["days"]))
+        writes.clear_quarantine(spark, spec, loaded_days - set(seen["stray_days"]))
         if seen["strays"]:
             days = pa.array(seen["stray_days"], pa.int32())
             odd = chosen.filter(pc.is_in(chosen["file_value"], days))
@@ -189,13 +191,10 @@ def _metrics(good: Column, spec: LoadSpec) -> list[Column]:
     return metrics
 
 
-def _clear_emptied(
-    spark: SparkSession, spec: LoadSpec, chosen: pa.Table, filled: list[int]
-) -> None:
-    """Empty the days whose files no longer hold a row of theirs."""
-    emptied = set(chosen["file_value"].to_pylist()) - set(filled)
-    if emptied:
-        held = partition_keys(spark, spec.table).where(F.col(DAY).isin(*emptied)).collect()
+def _clear_emptied(spark: SparkSession, spec: LoadSpec, days: set[int]) -> None:
+    """Empty the loaded days whose files no longer hold a row of theirs."""
+    if days:
+        held = partition_keys(spark, spec.table).where(F.col(DAY).isin(*days)).collect()
         for row in held:
             writes.clear_day(spark, spec, row[DAY])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.plans.spec import LoadSpec
 from daybook.settings import setting
-from daybook.sources.landing import DAY
+from daybook.sources.landing import DAY, read_if_there
 
 SOURCE_DAY = "_source_day"
 
@@ -74,3 +74,16 @@ def quarantine(strays: DataFrame, spec: LoadSpec) -> None:
         .partitionBy(SOURCE_DAY)
         .parquet(spec.quarantine_path)
     )
+
+
+def clear_quarantine(spark: SparkSession, spec: LoadSpec, days: set[int]) -> None:
+    """Forget the rows kept from earlier loads of days that have none to keep now."""
+    kept = read_if_there(spark.read.format("parquet"), spec.quarantine_path)
+    if kept is None or not days:
+        return
+    held = kept.where(F.col(SOURCE_DAY).isin(*days)).select(SOURCE_DAY).distinct()
+    for row in held.collect():
+        empty = kept.where("false").drop(SOURCE_DAY)
+        empty.write.mode("overwrite").parquet(
+            f"{spec.quarantine_path}/{SOURCE_DAY}={row[SOURCE_DAY]}"
+        )

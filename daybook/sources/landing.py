@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,16 @@ class MissingFolderError(FileNotFoundError):
     """A landing or staging folder does not exist."""
 
 
+def read_if_there(reader: DataFrameReader, path: str | Sequence[str]) -> DataFrame | None:
+    """``reader.load(path)``, or None if the path does not exist."""
+    try:
+        return reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def describe_files(raw: DataFrame) -> DataFrame:
     """(path, file_name, file_value, length) of a ``binaryFile`` frame, batch or stream.
 
@@ -43,12 +53,9 @@ def list_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
     ``_`` or ``.``; a file with only a header is listed.
     """
     paths = [folders] if isinstance(folders, str) else list(dict.fromkeys(folders))
-    try:
-        raw = spark.read.format("binaryFile").load(paths)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise MissingFolderError(f"no such folder among {paths}") from error
-        raise
+    raw = read_if_there(spark.read.format("binaryFile"), paths)
+    if raw is None:
+        raise MissingFolderError(f"no such folder among {paths}")
     return describe_files(raw)
 
 

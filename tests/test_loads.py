@@ -309,6 +309,26 @@ def test_only_files_with_strays_are_read_again(spark, shop, monkeypatch):
     ]
 
 
+def test_quarantine_holds_what_the_last_load_left_over(spark, shop):
+    spec = shop.spec()
+
+    def kept():
+        rows = spark.read.parquet(spec.quarantine_path).collect()
+        return {(r["InvoiceNo"], r["_source_day"]) for r in rows}
+
+    for day in ("01", "02"):
+        shop.file(f"2010-12-{day}.csv", [invoice(1, f"2010-12-{day}"), invoice(2, "bad")])
+    run(spark, spec)
+    assert kept() == {("2", 20101201), ("2", 20101202)}
+    shop.day("2010-12-01", 3)
+    load_files(spark, spec, inbound(spark, spec, "2010-12-01.csv"))
+    assert kept() == {("2", 20101202)}
+    shop.file("2010-12-02.csv", [invoice(7, "bad")])
+    load_files(spark, spec, inbound(spark, spec, "2010-12-02.csv"))
+    assert kept() == {("7", 20101202)}
+    assert shop.counts() == {20101201: 3}
+
+
 def test_header_only_file(spark, shop):
     shop.day("2010-12-01", 3)
     run(spark, shop.spec())
