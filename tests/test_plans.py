@@ -124,4 +124,7 @@ def test_a_repeated_row_is_counted_before_the_shuffle(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("a"),
         F.lit(20240101).alias("datestr"),
     )
-    assert tuple(load_profile(rows).first()) == (300_000, 200_001)
+    profile = load_profile(rows)
+    below_the_shuffle = physical(profile).rsplit("Exchange hashpartitioning", 1)[1]
+    assert "partial_count(1)" in below_the_shuffle
+    assert tuple(profile.first()) == (300_000, 200_001)
