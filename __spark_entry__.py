@@ -39,6 +39,17 @@ from daybook.sources.landing import DAY, with_datestr
 from daybook.streaming import drain_staged, ingest_new
 from daybook.workspace import scratch_folder
 
+try:
+    import corpus_pipeline
+    from daybook.llm.queries import ORACLE_SQL as LLM_SQL
+    from daybook.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "daybook.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 STAGED_DAYS = 10
 EVENT_TYPES = ["user_id", "event_type"]
@@ -401,6 +412,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mixed_days_append": mixed_days_append,
         "stream_ingest": stream_ingest,
         "stage_and_archive": stage_and_archive,
+        **LLM_QUERIES,
     }
 
 
@@ -505,4 +517,5 @@ def oracle_sql() -> dict[str, str]:
         "mixed_days_append": _ALL_COUNTS,
         "stream_ingest": _ALL_COUNTS,
         "stage_and_archive": _ALL_COUNTS,
+        **LLM_SQL,
     }

@@ -9,18 +9,27 @@ from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_own_roots: dict[str, str] = {}
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder, kept in the
-    session's setting from then on; a cluster without it is an error, because a
-    machine-local folder is not visible to the other machines.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a temporary folder, the same one
+    for as long as the application runs; a cluster without it is an error,
+    because a machine-local folder is not visible to the other machines.
     """
     root = spark.conf.get(SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="daybook-")
-        spark.conf.set(SETTING, root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {SETTING} to a folder all executors can reach")
+    application = spark.sparkContext.applicationId
+    if application not in _own_roots:
+        _own_roots[application] = tempfile.mkdtemp(prefix="daybook-")
+    return _own_roots[application]
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder name under the scratch root."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
