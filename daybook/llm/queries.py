@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.llm.common import table
+from daybook.llm.mix import mixed
+from daybook.llm.shard import shuffled_into_shards
 from daybook.llm.simhash import simhash_groups
 
 
@@ -12,8 +15,33 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, most=4)
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32("text").alias("text_crc32"),
+    )
+    dealt = shuffled_into_shards(rows, ["doc_id", "size", "text_crc32"], shards=16)
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixed(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 QUERIES = {
     "op6_simhash": op6_simhash,
+    "op8_shards": op8_shards,
+    "op10_mix": op10_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {}
