@@ -6,11 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.common import table
+from daybook.llm.language import held_out, train, with_language
 from daybook.llm.mix import mixed
 from daybook.llm.shard import shuffled_into_shards
 from daybook.llm.simhash import simhash_groups
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = train(documents.where(~held_out()))
+    predicted = with_language(documents.select("doc_id", "text"), model)
+    return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, most=4)
 
@@ -39,6 +47,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_language": op4_language,
     "op6_simhash": op6_simhash,
     "op8_shards": op8_shards,
     "op10_mix": op10_mix,
