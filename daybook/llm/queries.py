@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.common import table
+from daybook.llm.embedding import near_vectors
 from daybook.llm.language import held_out, train, with_language
 from daybook.llm.mix import mixed
 from daybook.llm.shard import shuffled_into_shards
@@ -41,6 +42,10 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixed(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -50,6 +55,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op6_simhash": op6_simhash,
     "op8_shards": op8_shards,
+    "op9_vectors": op9_vectors,
     "op10_mix": op10_mix,
 }
 
