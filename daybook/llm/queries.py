@@ -5,12 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.chat import collapsed
 from daybook.llm.common import table
 from daybook.llm.embedding import near_vectors
 from daybook.llm.language import held_out, train, with_language
 from daybook.llm.mix import mixed
 from daybook.llm.shard import shuffled_into_shards
 from daybook.llm.simhash import simhash_groups
+from daybook.llm.url_filter import judged, rules_of
+from daybook.llm.warc import page_records, read_warc, write_warc
+from daybook.workspace import scratch_folder
+
+URL_ALLOW = ["com/", "www.example.com/en/"]
+URL_BLOCK = ["example.com/en/", "net/es/", "net/fr/"]
+
+
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = rules_of(spark, URL_ALLOW, URL_BLOCK)
+    verdicts = judged(table(spark, sf_dir, "pages"), rules)
+    return verdicts.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths and digests of responses are taken from the payloads as read back, those of
+    revisits, whose payload is not stored again, from their headers."""
+    path = scratch_folder(spark, "warc")
+    write_warc(page_records(table(spark, sf_dir, "pages")), path)
+    page = lambda c: F.regexp_extract(c, r"\Aurn:page:(.+)\z", 1).try_cast("long")
+    full = read_warc(spark, path, "record_id string, record_type string, payload binary")
+    full = full.where("record_type = 'response'").select(
+        page("record_id").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast("long").alias("refers_to"),
+    )
+    heads = "record_id string, record_type string, payload_digest string, refers_to string, payload_length long"
+    again = read_warc(spark, path, heads).where("record_type = 'revisit'").select(
+        page("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+    return full.union(again)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +58,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapsed(table(spark, sf_dir, "conversations"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, most=4)
 
@@ -52,11 +94,76 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_urls": op1_urls,
+    "op2_warc": op2_warc,
     "op4_language": op4_language,
+    "op5_chat": op5_chat,
     "op6_simhash": op6_simhash,
     "op8_shards": op8_shards,
     "op9_vectors": op9_vectors,
     "op10_mix": op10_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    # pages with a canonical link to an absolute url, any order of its attributes
+    "op1_urls": r"""
+        WITH RECURSIVE rules(rule, action, host, path) AS (VALUES
+            ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
+            ('www.example.com/en/', 'allow', 'www.example.com', '/en/'),
+            ('net/es/', 'block', 'net', '/es/'), ('net/fr/', 'block', 'net', '/fr/')),
+        raw AS (
+            SELECT page_id, url, regexp_extract(html, '(?is)<link\b[^>]*\brel=["'']?canonical\b[^>]*>') AS tag
+            FROM pages),
+        links AS (
+            SELECT regexp_replace(url, '#.*', '') AS a,
+                   regexp_extract(tag, '(?is)\bhref=["'']?(https?://[^"''\s>#]*)', 1) AS b
+            FROM raw WHERE tag <> ''),
+        edges AS (
+            SELECT a, b FROM links WHERE b <> '' UNION SELECT b, a FROM links WHERE b <> ''),
+        urls AS (
+            SELECT DISTINCT url FROM pages UNION SELECT a FROM edges UNION SELECT b FROM edges),
+        parts AS (
+            SELECT url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM urls),
+        fits AS (
+            SELECT p.url, r.rule, r.action, row_number() OVER (
+                       PARTITION BY p.url ORDER BY length(r.rule) DESC, r.action) AS nth
+            FROM parts p JOIN rules r
+              ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)),
+        reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+        blocked AS (
+            SELECT DISTINCT r.a FROM reach r JOIN fits f ON f.nth = 1 AND f.action = 'block'
+              AND regexp_replace(f.url, '#.*', '') = r.b)
+        SELECT g.page_id, p.host, p.path, f.rule,
+               coalesce(f.action, CASE WHEN b.a IS NOT NULL THEN 'block' END, 'allow') AS verdict
+        FROM pages g JOIN parts p ON g.url IS NOT DISTINCT FROM p.url
+        LEFT JOIN fits f ON f.url = g.url AND f.nth = 1
+        LEFT JOIN blocked b ON b.a = regexp_replace(g.url, '#.*', '')""",
+    "op2_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        k AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+        f AS (SELECT *, CASE WHEN payload_bytes >= 1000
+                        THEN max(page_id) OVER (PARTITION BY payload_digest) END AS first FROM k)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM f""",
+    "op5_chat": """
+        WITH t AS (
+            SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+        n AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       role NULLS FIRST, text NULLS FIRST) - 1 AS place FROM t),
+        p AS (
+            SELECT *, list({'role': role, 'text': text}) OVER (
+                       PARTITION BY conv_id ORDER BY place) AS prefix FROM n),
+        e AS (SELECT conv_id, max(place) AS place, arg_max(prefix, place) AS prefix FROM p GROUP BY 1),
+        u AS (SELECT min(conv_id) AS conv_id, prefix FROM e GROUP BY prefix),
+        inside AS (SELECT DISTINCT p.prefix FROM p JOIN e USING (conv_id) WHERE p.place < e.place),
+        kept AS (SELECT conv_id FROM u ANTI JOIN inside USING (prefix))
+        SELECT conv_id, place, role,
+               '<|' || coalesce(role, '') || '|>\n' || coalesce(text, '') || '<|end|>\n' AS rendered
+        FROM n SEMI JOIN kept USING (conv_id)""".replace("\\n", "\n"),
+}
