@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.chat import collapsed
 from daybook.llm.common import table
+from daybook.llm.decontaminate import leaking_documents
 from daybook.llm.embedding import near_vectors
 from daybook.llm.language import held_out, train, with_language
 from daybook.llm.mix import mixed
@@ -51,6 +52,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.union(again)
 
 
+def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return leaking_documents(documents, benchmark)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = train(documents.where(~held_out()))
@@ -96,6 +102,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_warc": op2_warc,
+    "op3_leaks": op3_leaks,
     "op4_language": op4_language,
     "op5_chat": op5_chat,
     "op6_simhash": op6_simhash,
