@@ -13,6 +13,7 @@ from daybook.llm.language import held_out, train, with_language
 from daybook.llm.mix import mixed
 from daybook.llm.shard import shuffled_into_shards
 from daybook.llm.simhash import simhash_groups
+from daybook.llm.suffix_dedup import without_repeats
 from daybook.llm.url_filter import judged, rules_of
 from daybook.llm.warc import page_records, read_warc, write_warc
 from daybook.workspace import scratch_folder
@@ -72,6 +73,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=4, most=4)
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    return cut.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        (F.coalesce(F.octet_length("text"), F.lit(0)) - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("runs").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -106,6 +118,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_chat": op5_chat,
     "op6_simhash": op6_simhash,
+    "op7_repeats": op7_repeats,
     "op8_shards": op8_shards,
     "op9_vectors": op9_vectors,
     "op10_mix": op10_mix,
