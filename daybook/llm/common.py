@@ -67,3 +67,10 @@ def with_running_total(
         .withColumn(name, (F.col("_base") + F.col("_inside")).cast("long"))
         .drop("_slice", "_weight", "_inside", "_base", "_of_slice", *[f"_of_{g}" for g in groups])
     )
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row, null and empty apart; map columns do not count."""
+    columns = [f.name for f in df.schema.fields if not f.dataType.simpleString().startswith("map")]
+    parts = [x for c in columns for x in (df[c].isNull(), df[c])]
+    return [F.xxhash64(F.lit(k), *parts) for k in range(2)]

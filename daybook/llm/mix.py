@@ -9,10 +9,12 @@ pass over the source, says which block a slot takes.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import saved, slice_bits, unit, with_running_total
+from daybook.llm.common import row_hashes, saved, slice_bits, unit, with_running_total
 from daybook.llm.draws import permuted
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +24,7 @@ BLOCK_WORDS = 32
 SHARDS = 8
 SLOTS_PER_ROW = 10_000
 """Slots that one row is spread into, which bounds the arrays."""
+SLOTS_PER_TASK = 100_000
 
 
 def word_count(text: str) -> Column:
@@ -115,6 +118,7 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int, passes:
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         "number",
         "blocks",
+        "want",
         F.floor("want").cast("long").alias("sure"),
         (F.col("want") - F.floor("want")).alias("part"),
     )
@@ -132,7 +136,10 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int, passes:
     runs = counts.where("n > 0").select(
         "shard", "number", "blocks", "n", "first",
         F.explode(F.expr(f"sequence(0L, (n - 1) div {SLOTS_PER_ROW})")).alias("run"),
-    ).repartition("shard", "number", "run")
+    )
+    # few bytes that become many rows: the number of tasks follows the rows
+    total = rows.agg(F.sum("want")).first()[0] or 0.0
+    runs = runs.repartition(math.ceil(total / SLOTS_PER_TASK) or 1, "shard", "number", "run")
     low = F.col("first") + F.col("run") * SLOTS_PER_ROW
     high = F.least(low + SLOTS_PER_ROW, F.col("first") + F.col("n")) - 1
     out = runs.select("shard", "number", "blocks", F.explode(F.sequence(low, high)).alias("slot"))
@@ -152,10 +159,10 @@ def mixed(
     shards: int = SHARDS,
     seed: int = 10,
 ) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)``, a row per document.
+    """``(doc_id, source, size, source_size, target, taken, copies)``, a row per document.
 
     ``size`` is its number of words, ``taken`` the words the mix takes of it, at most
-    ``passes`` times as many. Null and empty texts have size 0 and give nothing; a null
+    ``passes`` times as many, and ``copies`` how often it takes the first word. Null and empty texts have size 0 and give nothing; a null
     source is a source, the last one; rows that repeat count each; other columns play no part.
     """
     rows = documents.select(
@@ -174,13 +181,20 @@ def mixed(
     drawn = slots(targets, block_words, shards, seed, passes).groupBy("number", "block").agg(
         F.count("*").alias("times")
     )
+    # a table of known size, or the join would be planned by the size of what the rows come from
     drawn = drawn.select(F.col("number").alias("_number"), F.col("block").alias("_block"), "times")
+    drawn = saved(drawn, "draws")
     taken = (
         pieces.join(drawn, [F.col("number") == F.col("_number"), F.col("block") == F.col("_block")])
         .groupBy("number", "start")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+        .agg(
+            F.sum(F.col("words") * F.col("times")).alias("taken"),
+            F.max(F.when(F.expr(f"block = start div {block_words}"), F.col("times"))).alias("copies"),
+        )
+    )
+    taken = taken.select(
+        F.col("number").alias("_number"), F.col("start").alias("_start"), "taken", "copies"
     )
-    taken = taken.select(F.col("number").alias("_number"), F.col("start").alias("_start"), "taken")
     same = [
         F.col("number") == F.col("_number"),
         F.col("start") == F.col("_start"),
@@ -189,4 +203,27 @@ def mixed(
     return rows.join(taken, same, "left").select(
         "doc_id", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("copies", F.lit(0)).cast("long").alias("copies"),
     )
+
+
+def mixed_documents(
+    documents: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    passes: int = MOST_PASSES,
+    block_words: int = BLOCK_WORDS,
+    shards: int = SHARDS,
+    seed: int = 10,
+) -> DataFrame:
+    """``documents`` as the mix takes them: each as often as the block of its first word, so
+    with the expected number of its source, from none to ``passes`` times. A text without
+    words is in no block and goes."""
+    first, second = row_hashes(documents)
+    rows = documents.withColumn("_row", F.struct(first.alias("a"), second.alias("b")))
+    mix = mixed(rows.select(F.col("_row").alias("doc_id"), "source", "text"), weights, passes, block_words, shards, seed)
+    # rows alike in everything share a hash: what they get is added up and dealt to one of them
+    copies = mix.groupBy(F.col("doc_id").alias("_of")).agg(F.sum("copies").alias("_copies"))
+    copies = copies.where("_copies > 0")
+    rows = rows.dropDuplicates(["_row"]).join(copies, F.col("_row") == F.col("_of"))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_time")
+    return rows.select(*documents.columns, times).drop("_time")
