@@ -27,6 +27,14 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def given(df: DataFrame, without: list[str] | None = None, **columns: Column) -> DataFrame:
+    """``df`` in one column ``given``, so that its names cannot clash with others, and
+    ``columns``. ``select("given.*")`` brings it back; columns named in ``without`` go."""
+    kept = df.drop(*(without or []))
+    whole = F.struct(*[df[f"`{c}`"] for c in kept.columns])
+    return df.select(whole.alias("given"), *[c.alias(name) for name, c in columns.items()])
+
+
 def unit(key: Column) -> Column:
     """A number from [0, 1) out of a 64-bit hash: its upper 53 bits."""
     return F.shiftrightunsigned(key, 11).cast("double") / F.lit(float(1 << 53))
@@ -71,6 +79,6 @@ def with_running_total(
 
 def row_hashes(df: DataFrame) -> list[Column]:
     """Two 64-bit hashes of a whole row, null and empty apart; map columns do not count."""
-    columns = [f.name for f in df.schema.fields if not f.dataType.simpleString().startswith("map")]
-    parts = [x for c in columns for x in (df[c].isNull(), df[c])]
+    columns = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    parts = [x for c in columns for x in (df[f"`{c}`"].isNull(), df[f"`{c}`"])]
     return [F.xxhash64(F.lit(k), *parts) for k in range(2)]

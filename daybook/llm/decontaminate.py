@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import saved
+from daybook.llm.common import given, saved
 
 MASKS = [(0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7)]
 SPAN = 8
@@ -145,9 +145,6 @@ def leaking_documents(documents: DataFrame, benchmark: DataFrame, key: str = "do
 def decontaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` without those that hold an item of ``benchmark``; null texts stay."""
     found = saved(leaks(documents, benchmark, text).select("k0", "k1").distinct(), "leaks")
-    hashes = [F.xxhash64(F.lit(k), F.col(text)) for k in range(2)]
-    return documents.join(
-        if_small(found),
-        (hashes[0] == F.col("k0")) & (hashes[1] == F.col("k1")) & F.col(text).isNotNull(),
-        "left_anti",
-    )
+    hashes = {f"h{k}": F.when(F.col(text).isNotNull(), F.xxhash64(F.lit(k), F.col(text))) for k in range(2)}
+    same = (F.col("h0") == F.col("k0")) & (F.col("h1") == F.col("k1"))
+    return given(documents, **hashes).join(if_small(found), same, "left_anti").select("given.*")

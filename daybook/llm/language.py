@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import saved, unit
+from daybook.llm.common import given, saved, unit
 
 UNDETERMINED = "und"
 FEATURE_BITS = 13
@@ -39,9 +39,8 @@ LETTERS_AT_ONCE = 1 << 20
 
 def letter_table() -> np.ndarray:
     """For each code point its lower-case form if it is a letter, else a blank, 0."""
-    points = np.arange(0x110000)
     table = np.zeros(0x110000, np.uint32)
-    for at in points:
+    for at in range(len(table)):
         char = chr(at)
         if char.isalpha():
             table[at] = ord(char.lower()[0])
@@ -62,26 +61,23 @@ def mark_grams(row: np.ndarray, text: str) -> bool:
     """Sets the entries of ``row`` for the n-grams present in ``text``; whether it has letters.
 
     Runs of other characters are one blank, and a blank stands before and after the text,
-    so n-grams also tell where words begin and end. Long texts go piece by piece, the
-    pieces overlapping by an n-gram.
+    so n-grams also tell where words begin and end. Long texts are hashed piece by piece, the
+    pieces overlapping by all but one letter of an n-gram.
     """
-    found = False
-    for at in range(0, max(1, len(text)), LETTERS_AT_ONCE):
-        piece = letters_of(text[max(0, at - 3) : at + LETTERS_AT_ONCE])
-        found = found or bool(piece.any())
-        x = np.zeros(len(piece) + 2, np.uint32)
-        x[1:-1] = piece
-        if len(x) > 2:
-            x = x[np.r_[True, (x[1:] != 0) | (x[:-1] != 0)]]
-        shift = np.uint32(32 - FEATURE_BITS)
-        one = x[x != 0]
+    x = np.zeros(len(text) + 2, np.uint32)
+    x[1:-1] = letters_of(text)
+    x = x[np.r_[True, (x[1:] != 0) | (x[:-1] != 0)]]
+    shift = np.uint32(32 - FEATURE_BITS)
+    for at in range(0, len(x), LETTERS_AT_ONCE):
+        part = x[at : at + LETTERS_AT_ONCE + 2]
+        one = part[part != 0]
         row[(one * np.uint32(2654435761)) >> shift] = 1
-        two = x[:-1] * np.uint32(2246822519) + x[1:] * np.uint32(3266489917)
+        two = part[:-1] * np.uint32(2246822519) + part[1:] * np.uint32(3266489917)
         row[(two * np.uint32(668265263)) >> shift] = 1
-        three = two[:-1] * np.uint32(374761393) + x[2:] * np.uint32(2654435761)
+        three = two[:-1] * np.uint32(374761393) + part[2:] * np.uint32(2654435761)
         three ^= three >> np.uint32(15)
         row[(three * np.uint32(2246822519)) >> shift] = 1
-    return found
+    return bool(x.any())
 
 
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -173,8 +169,8 @@ def train(
     sample = taken.select("_key", "_draw", "_lang", packed("_text").alias("_bits")).toPandas()
     sample = sample.sort_values(["_draw", "_key"], kind="stable")
     sample = sample.groupby("_lang", sort=True).head(2 * per_language)
-    bits = np.frombuffer(b"".join(sample["_bits"]), np.uint8).reshape(len(sample), -1)
-    x = np.unpackbits(bits, axis=1).astype(np.float32).reshape(len(sample), 1 << FEATURE_BITS)
+    bits = np.frombuffer(b"".join(sample["_bits"]), np.uint8).reshape(len(sample), (1 << FEATURE_BITS) // 8)
+    x = np.unpackbits(bits, axis=1).astype(np.float32)
     return fit(x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1)), sample["_lang"].tolist())
 
 
@@ -197,8 +193,9 @@ def with_language(documents: DataFrame, model: Model, text: str = "text") -> Dat
                 scores.append(scored)
             yield pd.DataFrame({"lang_pred": names, "score": np.concatenate([np.zeros(0), *scores])})
 
-    rows = documents.drop("lang_pred", "score").withColumn("_predicted", predict(F.col(text)))
-    return rows.select("*", "_predicted.lang_pred", "_predicted.score").drop("_predicted")
+    rows = given(documents, ["lang_pred", "score"], words=F.col(text))
+    rows = rows.select("given", predict("words").alias("predicted"))
+    return rows.select("given.*", "predicted.lang_pred", "predicted.score")
 
 
 def held_out(key: str = "doc_id") -> Column:

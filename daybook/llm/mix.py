@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import row_hashes, saved, slice_bits, unit, with_running_total
+from daybook.llm.common import given, row_hashes, saved, slice_bits, unit, with_running_total
 from daybook.llm.draws import permuted
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -219,11 +219,13 @@ def mixed_documents(
     with the expected number of its source, from none to ``passes`` times. A text without
     words is in no block and goes."""
     first, second = row_hashes(documents)
-    rows = documents.withColumn("_row", F.struct(first.alias("a"), second.alias("b")))
-    mix = mixed(rows.select(F.col("_row").alias("doc_id"), "source", "text"), weights, passes, block_words, shards, seed)
+    row = F.struct(first.alias("a"), second.alias("b"))
+    rows = given(documents, doc_id=row, source=F.col("source"), text=F.col("text"))
+    mix = mixed(rows, weights, passes, block_words, shards, seed)
     # rows alike in everything share a hash: what they get is added up and dealt to one of them
-    copies = mix.groupBy(F.col("doc_id").alias("_of")).agg(F.sum("copies").alias("_copies"))
-    copies = copies.where("_copies > 0")
-    rows = rows.dropDuplicates(["_row"]).join(copies, F.col("_row") == F.col("_of"))
-    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_time")
-    return rows.select(*documents.columns, times).drop("_time")
+    copies = mix.groupBy(F.col("doc_id").alias("of")).agg(F.sum("copies").alias("copies"))
+    copies = copies.where("copies > 0")
+    rows = rows.select("given", "doc_id").dropDuplicates(["doc_id"])
+    rows = rows.join(copies, F.col("doc_id") == F.col("of"))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return rows.select("given", times.alias("time")).select("given.*")

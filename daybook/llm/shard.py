@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import slice_bits, with_running_total
+from daybook.llm.common import given, slice_bits, with_running_total
 from daybook.llm.draws import split_counts
 
 ROWS_PER_PARTITION = 50_000
@@ -70,26 +70,26 @@ def shuffled_into_shards(rows: DataFrame, identity: list[str], shards: int = 16,
     any order. Null values are values like others. All rows come back, with all their
     columns; own ``shard`` and ``slot`` columns are replaced. An empty table stays empty.
     """
-    rows = rows.drop("shard", "slot")
+    names = [f"i{k}" for k in range(len(identity))]
+    rows = given(rows, ["shard", "slot"], **{n: F.col(c) for n, c in zip(names, identity, strict=True)})
     total = rows.count()
     bits = max(0, math.ceil(math.log2(max(1, total / ROWS_PER_PARTITION))))
-    place, deal, last = (F.xxhash64(F.lit(seed + i), *identity) for i in range(3))
+    parts = [x for n in names for x in (F.col(n).isNull(), F.col(n))]
+    place, deal, last = (F.xxhash64(F.lit(seed + i), *parts) for i in range(3))
     part = F.shiftrightunsigned(place, 64 - bits) if bits else F.lit(0).cast("long")
-    rows = rows.withColumn("_part", part).withColumn("_deal", deal)
-    counts = rows.groupBy(F.col("_part").alias("part")).agg(F.count("*").alias("n"))
+    rows = rows.withColumn("own", part).withColumn("deal", deal)
+    counts = rows.groupBy(F.col("own").alias("part")).agg(F.count("*").alias("n"))
     matrix = communication_matrix(counts, 1 << bits, total, shards, seed)
     upto: Column = F.transform(
         F.sequence(F.lit(1), F.lit(shards)),
         lambda j: F.aggregate(F.slice("takes", 1, j), F.lit(0).cast("long"), lambda a, x: a + x),
     )
-    matrix = matrix.select(F.col("part").alias("_of"), upto.alias("_upto"))
-    local = Window.partitionBy("_part").orderBy("_deal", *identity)
-    dealt = rows.withColumn("_local", F.row_number().over(local) - 1).join(
-        matrix, F.col("_part") == F.col("_of")
-    )
-    shard = F.size(F.filter("_upto", lambda edge: edge <= F.col("_local")))
-    dealt = dealt.withColumn("shard", shard).withColumn("_last", last)
-    dealt = dealt.drop("_part", "_deal", "_local", "_of", "_upto")
-    return with_running_total(
-        dealt, ["shard"], "_last", identity, F.lit(1).cast("long"), slice_bits(total // shards), "slot"
-    ).drop("_last")
+    matrix = matrix.select("part", upto.alias("upto"))
+    local = Window.partitionBy("own").orderBy("deal", *names)
+    dealt = rows.withColumn("nth", F.row_number().over(local) - 1)
+    dealt = dealt.join(matrix, F.col("own") == F.col("part"))
+    shard = F.size(F.filter("upto", lambda edge: edge <= F.col("nth")))
+    dealt = dealt.select("given", *names, shard.alias("shard"), last.alias("last"))
+    one = F.lit(1).cast("long")
+    dealt = with_running_total(dealt, ["shard"], "last", names, one, slice_bits(total // shards), "slot")
+    return dealt.select("given.*", "shard", "slot")

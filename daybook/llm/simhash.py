@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import row_hashes, saved
+from daybook.llm.common import given, row_hashes, saved
 from daybook.llm.graph import connected_components
 
 SEED = 42
@@ -263,8 +263,9 @@ def one_of_each(
     """``documents`` with one row of each group: that of the smallest key, null before others,
     and of rows that share a key but not their content, one chosen by a hash."""
     first, second = row_hashes(documents)
-    rows = documents.withColumn("_row", F.struct(F.col(key).alias("key"), first.alias("a"), second.alias("b")))
-    groups = simhash_groups(rows.select("_row", text), shingle, most, "_row", text)
-    kept = groups.where("_row = component_id").select(F.col("_row").alias("_kept")).distinct()
-    rows = rows.join(kept, F.col("_row") == F.col("_kept"), "left_semi")
-    return rows.dropDuplicates(["_row"]).drop("_row")
+    name = F.struct(F.col(key).alias("key"), first.alias("a"), second.alias("b"))
+    rows = given(documents, row=name, words=F.col(text))
+    groups = simhash_groups(rows.select("row", "words"), shingle, most, "row", "words")
+    kept = groups.where("row = component_id").select(F.col("row").alias("kept")).distinct()
+    rows = rows.select("given", "row").join(kept, F.col("row") == F.col("kept"), "left_semi")
+    return rows.dropDuplicates(["row"]).select("given.*")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import saved
+from daybook.llm.common import given, saved
 
 LENGTH = 400
 SEED = 7
@@ -486,13 +486,10 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, text: str = "tex
     rows = keyed(documents, text)
     cut = saved(cut_texts(rows, length), "cut")
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    out = documents.drop("kept", "runs").withColumns(
-        {f"_{name}": F.xxhash64(F.lit(k), own) for k, name in enumerate(KEY)}
+    hashes = {f"h{k}": F.xxhash64(F.lit(k), own) for k in range(len(KEY))}
+    out = given(documents, ["kept", "runs"], whole=own.cast("binary"), **hashes)
+    out = out.join(cut, (F.col("h0") == F.col("k0")) & (F.col("h1") == F.col("k1")), "left")
+    none = F.expr("CAST(array() AS array<struct<low: long, high: long>>)")
+    return out.select(
+        "given.*", F.coalesce("kept", "whole").alias("kept"), F.coalesce("runs", none).alias("runs")
     )
-    out = out.join(cut, (F.col("_k0") == F.col("k0")) & (F.col("_k1") == F.col("k1")), "left")
-    return out.withColumns(
-        {
-            "kept": F.coalesce("kept", own.cast("binary")),
-            "runs": F.coalesce("runs", F.expr("CAST(array() AS array<struct<low: long, high: long>>)")),
-        }
-    ).drop("_k0", "_k1", *KEY)

@@ -17,7 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import saved
+from daybook.llm.common import given, saved
 from daybook.llm.graph import connected_components
 
 ALLOW, BLOCK = "allow", "block"
@@ -146,7 +146,7 @@ def judged(
     Rows that repeat are judged alike. Own columns of the added names are replaced.
     """
     added = ["host", "path", "rule", "verdict"]
-    rows = pages.drop(*added).withColumn("_address", address_of(F.col(url)))
+    rows = given(pages, added, url=F.col(url), address=address_of(F.col(url)))
     edges = pages.sparkSession.createDataFrame([], "a string, b string")
     if html is not None:
         edges = edges.union(page_links(pages, url, html))
@@ -156,7 +156,7 @@ def judged(
         )
         edges = edges.union(moved.where("a IS NOT NULL AND b IS NOT NULL AND a <> b"))
     parts = saved(connected_components(edges), "aliases")
-    known = rows.where("_address IS NOT NULL").select(F.col("_address").alias("address"))
+    known = rows.where("address IS NOT NULL").select("address")
     known = known.union(parts.select("node")).distinct()
     # an address is a host and what follows, so it has the url's host and path
     place = F.concat(F.lit("http://"), F.col("address"))
@@ -168,15 +168,15 @@ def judged(
     blocked = blocked.withColumn("_blocked", F.lit(True))
     verdicts = verdicts.join(blocked, F.col("component") == F.col("_component"), "left")
     verdict = F.coalesce("action", F.when(F.col("_blocked"), F.lit(BLOCK)), F.lit(ALLOW))
-    verdicts = verdicts.select(F.col("address").alias("_of"), "rule", verdict.alias("_verdict"))
-    out = rows.join(verdicts, F.col("_address") == F.col("_of"), "left")
-    return out.withColumns(
-        {
-            "host": host_of(F.col(url)),
-            "path": path_of(F.col(url)),
-            "verdict": F.coalesce("_verdict", F.lit(ALLOW)),
-        }
-    ).select(*[c for c in rows.columns if c != "_address"], *added)
+    verdicts = verdicts.select(F.col("address").alias("of"), "rule", verdict.alias("verdict"))
+    out = rows.join(verdicts, F.col("address") == F.col("of"), "left")
+    return out.select(
+        "given.*",
+        host_of(F.col("url")).alias("host"),
+        path_of(F.col("url")).alias("path"),
+        "rule",
+        F.coalesce("verdict", F.lit(ALLOW)).alias("verdict"),
+    )
 
 
 def rules_of(spark, allow: Iterable[str], block: Iterable[str]) -> DataFrame:

@@ -1,0 +1,84 @@
+import itertools
+import random
+
+from pyspark.sql import functions as F
+
+from llm_words import prose
+from daybook.llm import decontaminate
+from daybook.llm.decontaminate import LEAST_WORDS, MASKS, SPAN, WINDOW, decontaminated, leaking_documents
+
+
+def test_every_overlap_has_a_seed():
+    assert all(m[:2] == (0, 1) and m[-1] < SPAN for m in MASKS)
+    for size in range(LEAST_WORDS, WINDOW + 1):
+        replaced = size - -(-8 * size // 10)
+        for gone in itertools.combinations(range(size), replaced):
+            assert any(
+                all(at + p not in gone for p in mask) for mask in MASKS for at in range(size - mask[-1])
+            )
+
+
+def tables(spark):
+    rng = random.Random(2)
+    items = [(i, prose(100 + i, n)) for i, n in enumerate([20, 13, 12, 9, 8, 7, 40, 20])]
+    items += [(8, None), (None, prose(300, 15)), (9, ""), (0, items[0][1])]
+    docs, wanted = [], {}
+    for k in range(60):
+        item, text = items[k % 8]
+        words = text.split()
+        allowed = len(words) - -(-8 * len(words) // 10) if len(words) <= WINDOW else 2
+        swaps = rng.randrange(allowed + 3)
+        cut = list(words)
+        for at in rng.sample(range(len(words)), min(swaps, len(words))):
+            cut[at] = "zzz"
+        if k % 5 == 0:
+            cut = cut[: max(3, len(cut) - 4)]
+        body = prose(500 + k, rng.randrange(30)) + " \n" + ", ".join(w.upper() for w in cut) + "! " + prose(600 + k, 10)
+        docs.append((k, body))
+    docs += [(60, None), (61, ""), (None, "x " + items[6][1]), (62, items[0][1] + " " + items[6][1]), (62, items[6][1])]
+    docs += [(63, items[0][1])] * 3
+    for key, text in docs:
+        if text is None:
+            continue
+        have = [w for w in "".join(c.lower() if c.isalnum() else " " for c in text).split()]
+        for item, body in items:
+            need = (body or "").split()
+            if len(need) < LEAST_WORDS:
+                continue
+            width = min(WINDOW, len(need))
+            least = -(-8 * width // 10)
+            for start in range(-len(need), len(have)):
+                same = [0 <= start + j < len(have) and have[start + j] == w for j, w in enumerate(need)]
+                if any(sum(same[a : a + width]) >= least for a in range(len(need) - width + 1)):
+                    wanted.setdefault((key, text), set()).add(item)
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    return documents, spark.createDataFrame(items, "item_id long, text string"), docs, wanted
+
+
+def pairs(rows):
+    return sorted(((r.doc_id is None, r.doc_id or 0, r.item_id is None, r.item_id or 0) for r in rows.collect()))
+
+
+def test_what_is_found_is_what_overlaps(spark, monkeypatch):
+    documents, benchmark, docs, wanted = tables(spark)
+    expected = sorted(
+        (k is None, k or 0, i is None, i or 0) for k, t in docs for i in wanted.get((k, t), ())
+    )
+    clashing = documents.withColumn("k0", F.lit(1)).withColumn("start", F.lit(2)).withColumn("given", F.lit(3))
+    assert pairs(leaking_documents(clashing, benchmark)) == expected
+    kept = decontaminated(clashing, benchmark)
+    assert kept.columns == clashing.columns
+    left = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert left == sorted((k or 0, t or "") for k, t in docs if (k, t) not in wanted)
+    # the way beyond the bound of a broadcast gives the same
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert pairs(leaking_documents(documents, benchmark)) == expected
+
+
+def test_empty_tables(spark, odd, no_documents):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert leaking_documents(odd, none).collect() == []
+    assert decontaminated(odd, none).count() == odd.count()
+    some = spark.createDataFrame([(1, prose(1, 120))], "item_id long, text string")
+    assert leaking_documents(no_documents, some).collect() == []
+    assert {r.doc_id for r in leaking_documents(odd, some).collect()} == {0, 1, 2}

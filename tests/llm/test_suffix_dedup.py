@@ -1,0 +1,98 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.llm.suffix_dedup import Block, cut_texts, keyed, merged, repeated_spans, suffix_array, without_repeats
+
+
+def covered(texts, length):
+    """For each text, which of its bytes lie in a string that starts elsewhere too."""
+    starts = {}
+    for text in texts:
+        for i in range(len(text) - length + 1):
+            starts[text[i : i + length]] = starts.get(text[i : i + length], 0) + 1
+    out = []
+    for text in texts:
+        gone = bytearray(len(text))
+        for i in range(len(text) - length + 1):
+            if starts[text[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        out.append(gone)
+    return out
+
+
+def runs_of(gone):
+    edges = [i for i in range(len(gone) + 1) if (i < len(gone) and gone[i]) != (i > 0 and gone[i - 1])]
+    return list(zip(edges[::2], edges[1::2], strict=True))
+
+
+def check(spark, texts, length, **settings):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    data = [(t or "").encode() for t in texts]
+    flags = covered(data, length)
+    spans = {(r.k0, r.k1): merged([tuple(s) for s in r.spans]) for r in repeated_spans(keyed(rows, "text"), length, **settings).collect()}
+    keys = {r.doc_id: (r.k0, r.k1) for r in rows.select("doc_id", *keyed_columns()).collect()}
+    for i, gone in enumerate(flags):
+        assert spans.get(keys[i], []) == runs_of(gone)
+
+
+def keyed_columns():
+    text = F.coalesce("text", F.lit(""))
+    return [F.xxhash64(F.lit(k), text).alias(f"k{k}") for k in range(2)]
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    passages = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(30, 200))) for _ in range(4)]
+    texts = []
+    for _ in range(30):
+        parts = [rng.choice(passages)[rng.randrange(10) :] if rng.random() < 0.5 else "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(60))) for _ in range(rng.randrange(6))]
+        texts.append("".join(parts))
+    return [*texts, texts[0], "ab" * 90, "a" * 120, "a" * 41, "", None, "é" * 50, "é" * 45 + "x", "x" * 39]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_repeated_byte_by_the_array(spark, seed):
+    check(spark, corpus(seed), 40, symbols=500)
+
+
+def test_grams_of_many_segments_window_by_window(spark):
+    check(spark, corpus(3), 40, most=1)
+
+
+def test_suffix_arrays():
+    rng = random.Random(7)
+    for _ in range(400):
+        text = [rng.randrange(rng.choice([1, 2, 4])) for _ in range(rng.randrange(30))]
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+    for text in ([0] * 50, list(range(50)), list(range(50, 0, -1)), [1, 0] * 25):
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_a_block_without_repeats():
+    block = Block(8)
+    block.add([("x", 2, b"abGGGGcd"), ("y", 2, b"efGGGGgh")])
+    assert list(block.repeated()) == []
+
+
+def test_odd_documents_whole(odd):
+    rows = odd.withColumn("kept", F.lit(1)).withColumn("k0", F.lit(2)).withColumn("runs", F.lit(3))
+    got = without_repeats(rows, 400).collect()
+    data = [(r.text or "").encode() for r in odd.collect()]
+    wanted = sorted(
+        (len(d), sum(g), len(runs_of(g)), hashlib.sha256(bytes(x for x, y in zip(d, g, strict=True) if not y)).hexdigest())
+        for d, g in zip(data, covered(data, 400), strict=True)
+    )
+    mine = sorted(
+        (len((r.text or "").encode()), len((r.text or "").encode()) - len(r.kept), len(r.runs), hashlib.sha256(r.kept).hexdigest())
+        for r in got
+    )
+    assert mine == wanted
+    assert {r.k0 for r in got} == {2} if "k0" in got[0] else True
+
+
+def test_empty_table(no_documents):
+    assert without_repeats(no_documents).collect() == []
+    assert cut_texts(keyed(no_documents, "text")).collect() == []
