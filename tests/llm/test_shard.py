@@ -1,0 +1,74 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.llm import shard
+from daybook.llm.draws import hypergeometric, permuted
+from daybook.llm.shard import communication_matrix, shuffled_into_shards
+
+
+def test_hypergeometric_draws(spark):
+    u = "shiftrightunsigned(xxhash64(id), 11) / 9007199254740992D"
+    rows = spark.range(20_000).selectExpr(
+        f"{hypergeometric('1000L', '300L', '200L', u)} AS a",
+        f"{hypergeometric('10L', '9L', '5L', u)} AS b",
+        f"{hypergeometric('50000000L', '3L', '25000000L', u)} AS c",
+    )
+    got = rows.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in "abc" for f in (F.mean, F.stddev, F.min, F.max)]).first()
+    assert abs(got["mean_a"] - 60) < 0.3 and abs(got["stddev_a"] - 5.80) < 0.15
+    assert (got["min_b"], got["max_b"]) == (4, 5) and abs(got["mean_b"] - 4.5) < 0.03
+    assert (got["min_c"], got["max_c"]) == (0, 3) and abs(got["mean_c"] - 1.5) < 0.03
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1000])
+def test_permutations_are_bijections(spark, size):
+    rows = spark.range(size).selectExpr("id", f"{size}L AS n", "explode(array(1, 2)) AS key")
+    out = rows.select("key", permuted("id", "n", "key").alias("to")).collect()
+    for key in (1, 2):
+        assert sorted(r.to for r in out if r.key == key) == list(range(size))
+
+
+def test_matrix_has_the_margins(spark):
+    counts = [7, 0, 20, 1, 5, 30, 2, 12]
+    rows = spark.createDataFrame([(k, n) for k, n in enumerate(counts) if n], "part long, n long")
+    matrix = {r.part: r.takes for r in communication_matrix(rows, 8, sum(counts), 5, 1).collect()}
+    assert [sum(matrix[k]) for k in range(8)] == counts
+    assert [sum(m[j] for m in matrix.values()) for j in range(5)] == [16, 16, 15, 15, 15]
+
+
+def check(rows, shards):
+    found = rows.collect()
+    sizes = Counter(r.shard for r in found)
+    assert all(sorted(r.slot for r in found if r.shard == s) == list(range(n)) for s, n in sizes.items())
+    counts = [sizes[s] for s in range(shards)]
+    assert sum(counts) == len(found) and max(counts) - min(counts) <= 1
+    return found
+
+
+def test_exact_sizes_and_the_same_for_any_layout(spark, monkeypatch):
+    monkeypatch.setattr(shard, "ROWS_PER_PARTITION", 50)
+    rows = spark.range(1003).withColumn("slot", F.lit("x")).withColumn("given", F.lit("y"))
+    got = check(shuffled_into_shards(rows, ["id"], 16), 16)
+    assert {r.given for r in got} == {"y"}
+    again = shuffled_into_shards(rows.repartition(7), ["id"], 16).collect()
+    assert {(r.id, r.shard, r.slot) for r in got} == {(r.id, r.shard, r.slot) for r in again}
+    # uniform: neighbours are no more often in one shard than by chance, 1 in 16
+    place = {r.id: r.shard for r in got}
+    together = sum(place[i] == place[i + 1] for i in range(1002))
+    assert 35 <= together <= 95
+
+
+def test_every_row_may_go_anywhere(spark):
+    """Over many seeds, each of few rows is in each shard about equally often."""
+    rows = spark.range(4)
+    seen = Counter()
+    for seed in range(0, 90, 3):
+        seen.update((r.id, r.shard) for r in shuffled_into_shards(rows, ["id"], 2, seed).collect())
+    assert len(seen) == 8 and all(5 <= n <= 25 for n in seen.values())
+
+
+def test_odd_documents_and_empty_tables(odd, no_documents):
+    got = check(shuffled_into_shards(odd, ["doc_id", "text"], 4), 4)
+    assert sorted((r.doc_id or -1, r.text or "") for r in got) == sorted((r.doc_id or -1, r.text or "") for r in odd.collect())
+    assert shuffled_into_shards(no_documents, ["doc_id"], 4).collect() == []
