@@ -30,7 +30,7 @@ from daybook.llm.common import given, saved
 
 LENGTH = 400
 SEED = 7
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 1 << 20
 MOST_SEGMENTS = 4096
 """Different segments of one gram that a task compares at most."""
 SYMBOLS_PER_ARRAY = 1 << 17
@@ -122,20 +122,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of a seed's base modulo 2^64, and their inverses."""
-    if seed not in _powers or len(_powers[seed][0]) < size:
-        base = (BASE + 2 * seed) % (1 << 64)
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of ``BASE`` modulo 2^64, and their inverses."""
+    if not _powers or len(_powers[0][0]) < size:
         both = []
-        for b in (base, pow(base, -1, 1 << 64)):
+        for b in (BASE, pow(BASE, -1, 1 << 64)):
             x = np.full(max(size, BYTES_AT_ONCE), b, np.uint64)
             x[0] = 1
             both.append(np.multiply.accumulate(x))
-        _powers[seed] = (both[0], both[1])
-    up, down = _powers[seed]
+        _powers[:] = [(both[0], both[1])]
+    up, down = _powers[0]
     return up[:size], down[:size]
 
 
@@ -154,7 +153,7 @@ class Hashes:
 
     def __init__(self, data: np.ndarray, seed: int):
         code = codes(seed)
-        up, self.down = powers(seed, len(data) + 1)
+        up, self.down = powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.add.accumulate(code[data] * up[:-1], out=self.sums[1:])
 

@@ -33,6 +33,7 @@ from pyspark.sql.datasource import (
     Filter,
     In,
     InputPartition,
+    IsNotNull,
     WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
@@ -189,15 +190,18 @@ class Bytes:
             size -= gone
 
 
-def records(source: pa.NativeFile, wanted: dict[str, set], payloads: bool, lengths: bool) -> Iterator[dict]:
-    """The records whose headers are among ``wanted``, the values of some columns. Without
+def records(
+    source: pa.NativeFile, wanted: dict[str, set | None], payloads: bool, lengths: bool
+) -> Iterator[dict]:
+    """The records whose headers are among ``wanted``, the values of some columns, where None
+    stands for any that is there. Without
     ``payloads`` their payload is None, without ``lengths`` their block is passed over."""
     data = Bytes(source)
     while (head := data.until(b"\r\n\r\n")) is not None:
         headers = parsed_headers(head.lstrip(b"\r\n"))
         row: dict = header_row(headers)
         size = int(headers.get("content-length", "0"))
-        if any(row[c] not in values for c, values in wanted.items()):
+        if any(row[c] is None or values and row[c] not in values for c, values in wanted.items()):
             data.skip(size)
         elif not payloads and not lengths:
             data.skip(size)
@@ -256,16 +260,22 @@ class WarcReader(DataSourceReader):
         self.fields = schema
         self.path = options["path"]
         self.most = int(options.get("maxPartitionBytes", PARTITION_BYTES))
-        self.wanted: dict[str, set] = {}
+        self.wanted: dict[str, set | None] = {}
+        self.nothing = False
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
             column = f.attribute[0] if hasattr(f, "attribute") else None
-            if column not in HEADERS or not isinstance(f, (EqualTo, EqualNullSafe, In)):
+            known = column in HEADERS and getattr(f, "value", "") is not None
+            if not known or not isinstance(f, (EqualTo, EqualNullSafe, In, IsNotNull)):
                 yield f
                 continue
+            if isinstance(f, IsNotNull):
+                self.wanted.setdefault(column)
+                continue
             values = set(f.value) - {None} if isinstance(f, In) else {f.value}
-            self.wanted[column] = self.wanted.get(column, values) & values
+            self.wanted[column] = values & (self.wanted.get(column) or values)
+            self.nothing = self.nothing or not self.wanted[column]
 
     def files(self) -> list[tuple[str, int]]:
         """Files and sizes: those of the manifest, or all if there is none."""
@@ -298,7 +308,7 @@ class WarcReader(DataSourceReader):
         types = {"payload": pa.binary(), "payload_length": pa.int64()}
         schema = pa.schema([(n, types.get(n, pa.string())) for n in names])
         rows, held = [], 0
-        for path in partition.paths:
+        for path in [] if self.nothing else partition.paths:
             with store.open_input_file(path) as source:
                 for row in records(source, self.wanted, "payload" in names, "payload_length" in names):
                     rows.append({n: row.get(n) for n in names})

@@ -1,0 +1,98 @@
+import re
+
+from pyspark.sql import functions as F
+
+from daybook.llm.url_filter import judged, rules_of
+
+ALLOW = ["com/", "www.example.com/en/"]
+BLOCK = ["example.com/en/", "net/es/", "net/fr/"]
+
+
+def plain(url):
+    """Host and path of a url."""
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host) :]).group()
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule_of(url):
+    host, path = plain(url)
+    fits = []
+    for rule in ALLOW + BLOCK:
+        of, _, start = rule.partition("/")
+        if (host == of or host.endswith("." + of)) and path.startswith("/" + start):
+            fits.append((len(rule), rule))
+    return max(fits)[1] if fits else None
+
+
+def judge(spark, rows, **settings):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r for r in judged(pages, rules_of(spark, ALLOW, BLOCK), **settings).collect()}
+
+
+URLS = [
+    "http://a.example.com/en/1", "https://www.example.com/en/x?q#f", "http://WWW.Example.COM/en", "http://x.net/es/",
+    "http://x.net/es", "http://es.net/ES/", "ftp://net/fr/", "http://fr.example.net/fr/a?b=/es/", "http://a.org/en/",
+    "http://a.example.com", "http://com/", "http://com?x=/", "example.com/en/", "", None, "http://", "http:///p",
+    "x://y://net/es/", "http://notexample.com/en/", "http://com.net/fr/", "http://a.b.c.d.e.f.net/fr/", "http://É.COM/",
+    "http://example.com:80/en/", "http://n\net/es/", "http://" + "a." * 3000 + "net/es/" + "p" * 5000,
+]
+
+
+def test_rules(spark):
+    got = judge(spark, [(i, u, None) for i, u in enumerate(URLS)])
+    for i, url in enumerate(URLS):
+        rule = rule_of(url)
+        assert (got[i].host, got[i].path) == plain(url)
+        assert got[i].rule == rule
+        assert got[i].verdict == ("block" if rule in BLOCK else "allow")
+
+
+def link(href):
+    return f'<html><link REL="canonical" data-x=1 href="{href}"></html>'
+
+
+def test_blocks_reach_aliases_and_allows_stay(spark):
+    rows = [
+        (0, "http://a.org/1", link("http://b.org/2")),
+        (1, "https://b.org/2#part", link("http://spam.net/es/")),  # the target is no page of the table
+        (2, "http://c.org/3?x=1", "<meta content='0; URL=http://a.org/1' http-equiv=refresh>"),
+        (3, "http://www.example.com/en/ok", link("http://a.org/1")),
+        (4, "http://c.org/3", "<!-- " + link("http://a.org/1") + " -->"),
+        (5, "http://d.org/", '<script>"' + link("http://a.org/1") + '"</script>'),
+        (6, "http://e.org/a/b", link("../a") + link("c")),
+        (7, "http://e.org/a/c", link("/f")),
+        (8, "http://e.org/f", link("//spam.net/fr/x")),
+        (9, None, link("http://a.org/1")),
+        (10, "http://g.org/", link("mailto:a@b.net")),
+        (11, "http://h.org/", link("")),
+        (12, "http://i.org/", "<link rel=stylesheet href=http://a.org/1><link rel='shortcut canonical' href=http://a.org/1>"),
+    ]
+    verdicts = {k: r.verdict for k, r in judge(spark, rows).items()}
+    assert verdicts == {
+        0: "block", 1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block", 7: "block", 8: "block",
+        9: "allow", 10: "allow", 11: "allow", 12: "block",
+    }
+
+
+def test_redirects_given_as_a_table_and_long_chains(spark):
+    rows = [(i, f"http://h.org/{i}", None) for i in range(60)]
+    moves = [(f"http://h.org/{i}", f"https://h.org/{i + 1}") for i in range(40)] + [("http://h.org/40", "http://x.net/es/a")]
+    moves += [(None, "http://x.net/es/a"), ("http://h.org/50", None), ("http://h.org/51", "http://h.org/51")]
+    redirects = spark.createDataFrame(moves, "from string, to string")
+    got = judge(spark, rows, redirects=redirects, html=None)
+    assert {k for k, r in got.items() if r.verdict == "block"} == set(range(41))
+
+
+def test_clashing_columns_repeats_and_empty_tables(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/es/", None)] * 2 + [(None, None, None)], "page_id long, url string, html string")
+    pages = pages.withColumns({c: F.lit("mine") for c in ("rule", "verdict", "given", "address", "action")})
+    rules = rules_of(spark, ALLOW, BLOCK)
+    got = judged(pages, rules).collect()
+    assert sorted((r.verdict, r.rule or "") for r in got) == [("allow", ""), ("block", "net/es/"), ("block", "net/es/")]
+    assert {(r.given, r.address, r.action) for r in got} == {("mine",) * 3}
+    assert judged(pages.limit(0), rules).collect() == []
+    assert {r.verdict for r in judged(pages, rules_of(spark, [], [])).collect()} == {"allow"}
