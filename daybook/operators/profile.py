@@ -47,12 +47,17 @@ def duplicate_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     )
 
 
-def post_load_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def post_load_report(
+    df: DataFrame, columns: Sequence[str] | None = None, days: Sequence[int] | None = None
+) -> DataFrame:
     """(metric, datestr, value): rows per day, then total and unique rows.
 
+    ``days`` restricts it; of a partitioned table only their partitions are read.
     The rollup runs over the per-day result, so the table is read once. A rollup
     of no rows has no grand total; the zero lines put it there for an empty table.
     """
+    if days is not None:
+        df = df.where(F.col(DAY).isin(*days))
     rolled = (
         day_profile(df, columns)
         .rollup(DAY)

@@ -1,14 +1,18 @@
 """What to load, where to, and the load itself."""
 
+from daybook.plans.ledger import ChangedFileError, InterruptedLoadError, settle
 from daybook.plans.loads import IncompleteDayError, LoadResult, load_files, run
 from daybook.plans.spec import LoadSpec
 from daybook.plans.writes import SchemaMismatchError
 
 __all__ = [
+    "ChangedFileError",
     "IncompleteDayError",
+    "InterruptedLoadError",
     "LoadResult",
     "LoadSpec",
     "SchemaMismatchError",
     "load_files",
     "run",
+    "settle",
 ]

@@ -1,11 +1,17 @@
-"""The ledger: one row per file that has been loaded.
-
-Written after the data. A job that dies in between loads its files again, which
-``replace`` mode makes harmless.
+"""The ledger: what has been loaded, and what a load that died had begun.
+
+Every load adds a ``started`` line per file before it touches the table and a
+``finished`` line per file after table and quarantine are written. Files of a load
+that was started but not finished are pending, and what it may have written is
+known: in ``replace`` mode their days are loaded anew as a whole; in ``append`` mode
+nobody can tell whether the rows are there, so the next load refuses until
+``settle`` says it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,28 +20,78 @@ from daybook.plans.spec import LoadSpec
 from daybook.sources import partition_keys
 from daybook.sources.landing import DAY, file_frame, read_if_there
 
-SCHEMA = "file_name string, file_value int, origin string"
+SCHEMA = (
+    "file_name string, file_value int, origin string, path string, length long, "
+    "modified timestamp, fed array<int>, load_id string, state string, at timestamp"
+)
 
 # Values of ``origin``.
 INBOUND = "inbound"
 STAGING = "staging"
 TABLE = "table"  # a day that was in the table before it had a ledger; no file name
 
+# Values of ``state``. A load that is redone or settled is ended by the last one.
+STARTED = "started"
+FINISHED = "finished"
+ENDED = "ended"
+
+
+class InterruptedLoadError(RuntimeError):
+    """An earlier load died, and only its user can say whether its rows are there."""
+
+
+class ChangedFileError(RuntimeError):
+    """A file that was loaded has other content now, or another file has its name."""
+
 
 def _written(spark: SparkSession, spec: LoadSpec) -> DataFrame | None:
-    return read_if_there(spark.read.schema(SCHEMA), spec.ledger_path)
+    lines = read_if_there(spark.read.schema(SCHEMA), spec.ledger_path)
+    if lines is None:
+        return None
+    # lines of the time before loads were started
+    return lines.withColumn("state", F.coalesce("state", F.lit(FINISHED)))
+
+
+def _day_lines(spark: SparkSession, spec: LoadSpec) -> DataFrame:
+    """A line per day of a table that has no ledger."""
+    return _line(
+        partition_keys(spark, spec.table).select(F.col(DAY).alias("file_value")),
+        origin=TABLE,
+        state=FINISHED,
+    )
+
+
+def _line(files: DataFrame, **values: str | None) -> DataFrame:
+    """Lines of the ledger's schema, with columns of ``files``, fixed values and blanks."""
+    given = {name: F.lit(value) for name, value in values.items()}
+    given["at"] = F.current_timestamp()
+    fields = [f.strip().split(" ") for f in SCHEMA.split(",")]
+    return files.select(
+        *[
+            (F.col(name) if name in files.columns else given.get(name, F.lit(None)))
+            .cast(kind)
+            .alias(name)
+            for name, kind in fields
+        ]
+    )
 
 
 def loaded_files(spark: SparkSession, spec: LoadSpec) -> DataFrame:
-    """The ledger, or, for a table that has none yet, a line per loaded day."""
+    """The files of finished loads, or, for a table without a ledger, a line per day."""
     written = _written(spark, spec)
     if written is not None:
-        return written
-    return partition_keys(spark, spec.table).select(
-        F.lit(None).cast("string").alias("file_name"),
-        F.col(DAY).alias("file_value"),
-        F.lit(TABLE).alias("origin"),
-    )
+        return written.where(F.col("state") == FINISHED)
+    return _day_lines(spark, spec)
+
+
+def interrupted_files(spark: SparkSession, spec: LoadSpec) -> pa.Table:
+    """The files of loads that were started and neither finished nor settled."""
+    written = _written(spark, spec)
+    if written is None:
+        return pa.table({k: [] for k in ("load_id", "file_name", "file_value")})
+    ended = written.where(F.col("state").isin(FINISHED, ENDED)).select("load_id")
+    open_ones = written.where(F.col("state") == STARTED).join(ended, "load_id", "left_anti")
+    return open_ones.select("load_id", "file_name", "file_value").toArrow()
 
 
 def without_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -45,22 +101,72 @@ def without_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(named, "file_name", "left_anti").join(days, "file_value", "left_anti")
 
 
-def start(spark: SparkSession, spec: LoadSpec, created: bool) -> None:
-    """Before data is written: forget the ledger of an earlier table of that place,
-    or, for a table without a ledger, note the days it already holds."""
-    written = _written(spark, spec)
-    if created and written is not None:
-        written.where("false").write.mode("overwrite").parquet(spec.ledger_path)
-    elif not created and written is None:
-        loaded_files(spark, spec).write.parquet(spec.ledger_path)
-
-
-def record(spark: SparkSession, spec: LoadSpec, files: pa.Table, origin: str) -> None:
-    """Add the files of one finished load."""
-    (
-        file_frame(spark, files.select(["file_name", "file_value"]))
-        .withColumn("origin", F.lit(origin))
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(spec.ledger_path)
+def changed_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Files with the name of a loaded one that are not it.
+
+    A file is the loaded one if it is as long and, where it still lies there, as old.
+    """
+    known = ledger.where(F.col("length").isNotNull()).select(
+        "file_name",
+        F.col("path").alias("_path"),
+        F.col("length").alias("_length"),
+        F.col("modified").alias("_modified"),
     )
+    moved = F.col("path") != F.col("_path")
+    same = (F.col("length") == F.col("_length")) & (moved | (F.col("modified") == F.col("_modified")))
+    met = files.join(known, "file_name").groupBy("path").agg(F.max(same).alias("same"))
+    return met.where(~F.col("same")).select("path")
+
+
+def refuse_changed(files: DataFrame, ledger: DataFrame) -> None:
+    found = changed_files(files, ledger).take(3)
+    if found:
+        names = ", ".join(row["path"] for row in found)
+        raise ChangedFileError(
+            f"not the files that were loaded under their names: {names}; give them other "
+            "names, or load them again with load_files"
+        )
+
+
+def _append(lines: DataFrame, spec: LoadSpec, mode: str = "append") -> None:
+    lines.coalesce(1).write.mode(mode).parquet(spec.ledger_path)
+
+
+def start(
+    spark: SparkSession, spec: LoadSpec, created: bool, files: pa.Table, origin: str
+) -> str:
+    """Before data is written: note the files. The ledger of an earlier table of that
+    place is forgotten; a table without one gets the days it already holds."""
+    load_id = uuid.uuid4().hex
+    lines = _line(file_frame(spark, files), origin=origin, load_id=load_id, state=STARTED)
+    if not created and _written(spark, spec) is None:
+        lines = lines.union(_day_lines(spark, spec))
+    _append(lines, spec, "overwrite" if created else "append")
+    return load_id
+
+
+def finish(
+    spark: SparkSession, spec: LoadSpec, files: pa.Table, origin: str, load_id: str
+) -> None:
+    """After the data: its files are loaded. ``files`` has the days each one fed."""
+    _append(_line(file_frame(spark, files), origin=origin, load_id=load_id, state=FINISHED), spec)
+
+
+def end(spark: SparkSession, spec: LoadSpec, load_ids: set[str]) -> None:
+    """Interrupted loads whose days have been loaded anew, or that were settled."""
+    if load_ids:
+        ids = file_frame(spark, pa.table({"load_id": sorted(load_ids)}))
+        _append(_line(ids, state=ENDED), spec)
+
+
+def settle(spark: SparkSession, spec: LoadSpec, loaded: bool) -> None:
+    """Says of interrupted loads that their rows are in the table, or that they are not
+    (any more), so that their files are loaded next time."""
+    files = interrupted_files(spark, spec)
+    ids = set(files["load_id"].to_pylist())
+    if loaded and ids:
+        written = _written(spark, spec)
+        lines = written.where((F.col("state") == STARTED) & F.col("load_id").isin(*ids))
+        _append(lines.withColumns({"state": F.lit(FINISHED), "at": F.current_timestamp()}), spec)
+    else:
+        end(spark, spec, ids)

@@ -15,14 +15,16 @@ from daybook.operators.files import keyed
 from daybook.plans import ledger, writes
 from daybook.plans.spec import LoadSpec
 from daybook.settings import files_in_few_tasks, listing_in_few_tasks
-from daybook.sources.landing import DAY, file_frame, header_of, list_files, read_days
+from daybook.sources.landing import DAY, file_frame, header_of, list_files, literal, read_days
 from daybook.sources.tables import partition_keys, table_exists
 
 SOURCE_FILE = "_source_file"
+MALFORMED = "_malformed"
+FILE_COLUMNS = ["path", "file_name", "file_value", "length", "modified"]
 
 
 class IncompleteDayError(RuntimeError):
-    """A day cannot be replaced: files it was loaded from are gone."""
+    """A day cannot be replaced: files it was loaded from are gone, or hold other days too."""
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,11 @@ class LoadResult:
     rows        rows written to the table
     quarantined rows kept aside because they lack their file's day
     null_keys   rows without a readable day, wherever they went
+    malformed   rows with too few or too many fields: in ``replace`` mode they are
+                among the quarantined, with their text; in ``append`` mode they are
+                loaded, cut or filled up with NULL
+    days        days of the loaded files
+    refused     files left out because they have other columns than the table
     before      (datestr, row_count) ahead of the write, if asked for
     report      rows per day, total and unique rows of the table, not yet
                 computed: if asked for, and always if there was nothing to load
@@ -47,6 +54,9 @@ class LoadResult:
     null_keys: int = 0
     min_datestr: int | None = None
     max_datestr: int | None = None
+    malformed: int = 0
+    days: tuple[int, ...] = ()
+    refused: tuple[str, ...] = ()
     before: list[Row] = field(default_factory=list)
     report: DataFrame | None = None
 
@@ -56,28 +66,33 @@ def run(
     spec: LoadSpec,
     request_load: bool = False,
     pre_status: bool = False,
-    report: bool = False,
+    report: bool | str = False,
 ) -> LoadResult:
     """Load what is pending in the inbound folders.
 
     If nothing is, ``request_load`` takes the next staged day instead. The flag
-    has no effect as long as an inbound file is pending.
+    has no effect as long as an inbound file is pending. ``report`` is about the
+    whole table, or, if it is ``"loaded"``, about the days this run loaded.
     """
     done = _run(spark, spec, request_load, pre_status)
     if done.status == "already_loaded" or (report and table_exists(spark, spec.table)):
-        done = replace(done, report=post_load_report(spark.table(spec.table)))
+        days = list(done.days) if report == "loaded" else None
+        done = replace(done, report=post_load_report(spark.table(spec.table), days=days))
     return done
 
 
 def _run(
     spark: SparkSession, spec: LoadSpec, request_load: bool, pre_status: bool
 ) -> LoadResult:
+    if "." in spec.table:
+        spark.catalog.getDatabase(spec.table.rsplit(".", 1)[0])  # an error that names it
     inbound = list_files(spark, spec.inbound)
     if not table_exists(spark, spec.table):
         return load_files(spark, spec, _only_latest(inbound, spec))
 
     loaded = ledger.loaded_files(spark, spec)
     if spec.check == "ledger":
+        ledger.refuse_changed(keyed(inbound), loaded)
         pending = ledger.without_loaded(_only_latest(inbound, spec), loaded)
     else:
         pending = _past_high_water(spark, spec, inbound, loaded)
@@ -88,7 +103,9 @@ def _run(
         return LoadResult("already_loaded")
     if spec.staging is None:
         raise ValueError("a requested load needs a staging folder")
-    staged = ledger.without_loaded(keyed(list_files(spark, spec.staging)), loaded)
+    staged = keyed(list_files(spark, spec.staging))
+    ledger.refuse_changed(staged, loaded)
+    staged = ledger.without_loaded(staged, loaded)
     pending = _on_day(staged, staged.agg(F.min("file_value")))
     done = load_files(spark, spec, pending, origin=ledger.STAGING, pre_status=pre_status)
     return done if done.status != "no_files" else LoadResult("nothing_staged")
@@ -103,67 +120,158 @@ def load_files(
 ) -> LoadResult:
     """Load the given files whether or not they have been loaded before.
 
-    The table is created if absent, else added to or replaced by day (``mode``).
-    Counts are observed on the write itself; the batch is read once, and once
-    more only if some rows have to be quarantined.
+    The table is created if absent. In ``append`` mode rows are added. In ``replace``
+    mode the rows of new files are added, too, and the days of files that were loaded
+    before, or that an interrupted load had begun, are replaced, each from all its files.
+    Counts are observed on the write itself; a file is read once, and once
+    more only if some of its rows have to be quarantined.
     """
     with listing_in_few_tasks(spark):
-        return _load_files(spark, spec, files, origin, pre_status)
+        chosen = _snapshot(files)
+        if spec.days_per_load is None or not chosen.num_rows:
+            return _load_files(spark, spec, chosen, origin, pre_status)
+        days = sorted(set(chosen["file_value"].to_pylist()))
+        done: list[LoadResult] = []
+        for at in range(0, len(days), spec.days_per_load):
+            group = pa.array(days[at : at + spec.days_per_load], pa.int32())
+            part = chosen.filter(pc.is_in(chosen["file_value"], group))
+            done.append(_load_files(spark, spec, part, origin, pre_status and not at))
+        return _together(done)
+
+
+def _together(done: list[LoadResult]) -> LoadResult:
+    """The result of a load in groups."""
+    lows = [d.min_datestr for d in done if d.min_datestr is not None]
+    highs = [d.max_datestr for d in done if d.max_datestr is not None]
+    return replace(
+        done[0],
+        files=tuple(sorted(f for d in done for f in d.files)),
+        rows=sum(d.rows for d in done),
+        quarantined=sum(d.quarantined for d in done),
+        null_keys=sum(d.null_keys for d in done),
+        malformed=sum(d.malformed for d in done),
+        min_datestr=min(lows, default=None),
+        max_datestr=max(highs, default=None),
+        days=tuple(sorted({x for d in done for x in d.days})),
+        refused=tuple(sorted(f for d in done for f in d.refused)),
+    )
 
 
 def _load_files(
-    spark: SparkSession, spec: LoadSpec, files: DataFrame, origin: str, pre_status: bool
+    spark: SparkSession, spec: LoadSpec, chosen: pa.Table, origin: str, pre_status: bool
 ) -> LoadResult:
-    chosen = _snapshot(files)
-    created = not table_exists(spark, spec.table)
-    if spec.mode == "replace" and not created and chosen.num_rows:
-        chosen = _whole_days(spark, spec, chosen, origin)
     if not chosen.num_rows:
         return LoadResult("no_files")
+    created = not table_exists(spark, spec.table)
+    redone, begun = chosen.slice(0, 0), set()
+    if not created:
+        left = ledger.interrupted_files(spark, spec)
+        begun = set(left["load_id"].to_pylist())
+        if begun and spec.mode == "append":
+            names = ", ".join(sorted(set(left["file_name"].to_pylist()))[:3])
+            raise ledger.InterruptedLoadError(
+                f"a load of {left.num_rows} files died, such as {names}, and its rows may be in "
+                "the table; look, and say so with daybook.plans.settle"
+            )
+        if spec.mode == "replace":
+            again = _loaded_days(spark, spec, chosen) | set(left["file_value"].to_pylist())
+            redone = _whole_days(spark, spec, chosen, again, origin)
+            fresh = pc.invert(pc.is_in(chosen["file_value"], pa.array(again, pa.int32())))
+            chosen = chosen.filter(fresh)
 
     before: list[Row] = []
     if pre_status and not created:
         before = partition_counts(spark.table(spec.table)).orderBy(DAY).collect()
-    batch = _read_batch(spark, spec, chosen, created)
-    own_day = F.lit(True)
-    if spec.mode == "replace":
-        own_day = F.coalesce(F.col(DAY) == F.col(writes.SOURCE_DAY), F.lit(False))
+    batches = [(redone, "replace"), (chosen, "create" if created else "append")]
+    batches = [(f, how, _read_batch(spark, spec, f, created)) for f, how in batches if f.num_rows]
+    files = pa.concat_tables([f for f, _, _ in batches])
+    load_id = ledger.start(spark, spec, created, files, origin)
+    seen, refused = [], set()
+    for part, how, batch in batches:
+        try:
+            seen.append(_write(spark, spec, part, how, batch))
+        except Exception as error:
+            if "header" not in str(error):
+                raise
+            part, batch, odd = _by_header(spark, spec, part, created, how)
+            refused |= odd
+            seen.append(_write(spark, spec, part, how, batch, by_header=True))
+    loaded = [name not in refused for name in files["file_name"].to_pylist()]
+    files = files.filter(pa.array(loaded))
+    fed = {(x["file"], x["day"]) for line in seen for x in line["foreign"]}
+    ledger.finish(spark, spec, _with_days(files, fed), origin, load_id)
+    ledger.end(spark, spec, begun)
+    status = "created" if created else {"append": "appended", "replace": "replaced"}[spec.mode]
+    lows = [line["min_datestr"] for line in seen if line["min_datestr"] is not None]
+    highs = [line["max_datestr"] for line in seen if line["max_datestr"] is not None]
+    return LoadResult(
+        status=status,
+        files=tuple(sorted(files["file_name"].to_pylist())),
+        rows=sum(line["good"] for line in seen),
+        quarantined=sum(line["strays"] for line in seen),
+        null_keys=sum(line["null_keys"] for line in seen),
+        min_datestr=min(lows, default=None),
+        max_datestr=max(highs, default=None),
+        malformed=sum(line["malformed"] for line in seen),
+        days=tuple(sorted(set(files["file_value"].to_pylist()))),
+        refused=tuple(sorted(refused)),
+        before=before,
+    )
+
+
+def _write(
+    spark: SparkSession,
+    spec: LoadSpec,
+    files: pa.Table,
+    how: str,
+    batch: DataFrame,
+    by_header: bool = False,
+) -> dict:
+    """Write the files' rows one way, and what is left over to the quarantine."""
+    own_day = _own_day(spec)
     # Observed after the shuffle, if there is one: what the write's own tasks
     # count is counted once, also when a lost executor's shuffle output is redone.
     counts = Observation()
     good = writes.layout(batch, spec).observe(counts, *_metrics(own_day, spec)).where(own_day)
-    good = good.drop(SOURCE_FILE, writes.SOURCE_DAY)
-
-    ledger.start(spark, spec, created)
-    if created:
+    good = good.drop(SOURCE_FILE, writes.SOURCE_DAY, MALFORMED)
+    if how == "create":
         writes.create_table(good, spec)
-    elif spec.mode == "append":
+    elif how == "append":
         writes.append_rows(good, spec)
     else:
         writes.replace_days(good, spec)
     seen = counts.get
     if spec.mode == "replace":
-        loaded_days = set(chosen["file_value"].to_pylist())
-        if not created:
-            _clear_emptied(spark, spec, loaded_days - set(seen["days"]))
-        writes.clear_quarantine(spark, spec, loaded_days - set(seen["stray_days"]))
+        days, stray_days = set(files["file_value"].to_pylist()), set(seen["stray_days"])
+        if how == "replace":
+            _clear_emptied(spark, spec, days - set(seen["days"]))
+        if how != "append":
+            writes.clear_quarantine(spark, spec, days - stray_days)
         if seen["strays"]:
-            days = pa.array(seen["stray_days"], pa.int32())
-            odd = chosen.filter(pc.is_in(chosen["file_value"], days))
-            batch = _read_batch(spark, spec, odd, created=False)
-            writes.quarantine(batch.where(~own_day), spec)
-    ledger.record(spark, spec, chosen, origin)
-    status = "created" if created else {"append": "appended", "replace": "replaced"}[spec.mode]
-    return LoadResult(
-        status=status,
-        files=tuple(sorted(chosen["file_name"].to_pylist())),
-        rows=seen["good"],
-        quarantined=seen["strays"],
-        null_keys=seen["null_keys"],
-        min_datestr=seen["min_datestr"],
-        max_datestr=seen["max_datestr"],
-        before=before,
-    )
+            odd = files.filter(pc.is_in(files["file_value"], pa.array(stray_days, pa.int32())))
+            if not by_header:
+                batch = _read_batch(spark, spec, odd, created=False)
+            batch = batch.where(F.col(writes.SOURCE_DAY).isin(*stray_days))
+            writes.quarantine(batch.where(~own_day), spec, added=how == "append")
+    return seen
+
+
+def _own_day(spec: LoadSpec) -> Column:
+    """Rows that go to the table: in replace mode well-formed ones of their file's day."""
+    if spec.mode == "append":
+        return F.lit(True)
+    own = F.coalesce(F.col(DAY) == F.col(writes.SOURCE_DAY), F.lit(False))
+    return own & F.col(MALFORMED).isNull()
+
+
+def _with_days(files: pa.Table, foreign: set[tuple[str, int]]) -> pa.Table:
+    """``files`` with ``fed``: the days their rows went to, their own one always."""
+    days: dict[str, set[int]] = {}
+    for name, day in foreign:
+        days.setdefault(name, set()).add(day)
+    names, own = files["file_name"].to_pylist(), files["file_value"].to_pylist()
+    fed = [sorted({day, *days.get(name, ())}) for name, day in zip(names, own, strict=True)]
+    return files.append_column("fed", pa.array(fed, pa.list_(pa.int32())))
 
 
 def _snapshot(files: DataFrame) -> pa.Table:
@@ -173,19 +281,25 @@ def _snapshot(files: DataFrame) -> pa.Table:
     must not be recorded as loaded.
     """
     with files_in_few_tasks(files.sparkSession):
-        return keyed(files).select("path", "file_name", "file_value").toArrow()
+        return keyed(files).select(*FILE_COLUMNS).toArrow()
 
 
 def _metrics(good: Column, spec: LoadSpec) -> list[Column]:
+    day = F.col(writes.SOURCE_DAY)
+    away = F.col(DAY).isNotNull() & ~F.col(DAY).eqNullSafe(day)
     metrics = [
         F.count_if(good).alias("good"),
         F.count_if(~good).alias("strays"),
         F.count_if(F.col(DAY).isNull()).alias("null_keys"),
+        F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
         F.min(F.when(good, F.col(DAY))).alias("min_datestr"),
         F.max(F.when(good, F.col(DAY))).alias("max_datestr"),
+        # files with rows of other days, and those days
+        F.collect_set(
+            F.when(good & away, F.struct(F.col(SOURCE_FILE).alias("file"), F.col(DAY).alias("day")))
+        ).alias("foreign"),
     ]
     if spec.mode == "replace":  # sets of file days, as many as days are loaded
-        day = F.col(writes.SOURCE_DAY)
         metrics.append(F.collect_set(F.when(good, day)).alias("days"))
         metrics.append(F.collect_set(F.when(~good, day)).alias("stray_days"))
     return metrics
@@ -205,20 +319,53 @@ def _read_batch(
     """The files' rows in the table's column order (the header's, if it is new).
 
     Columns are matched by name against the first file's header; a file with
-    another header than that fails the read. In replace mode each row also has
-    its file's name and day; the day of files of one day is a literal.
+    another header than that fails the read. Each row also has its file's name and
+    day, and the text of a malformed row; the day of files of one day is a literal.
     """
     paths, days = files["path"].to_pylist(), pc.unique(files["file_value"])
-    header = header_of(spark, min(paths))
+    header = header_of(spark, literal(min(paths)), spec.options)
     known = header if created else spark.table(spec.table).columns
-    columns = [c for c in known if c != DAY]
-    if spec.mode == "append":
-        batch = read_days(spark, paths, spec.day_column, header)
-        return writes.align(batch, [*columns, DAY])
-    batch = read_days(spark, paths, spec.day_column, header, SOURCE_FILE)
-    batch = writes.align(batch, [*columns, SOURCE_FILE, DAY])
     day = F.lit(days[0].as_py()) if len(days) == 1 else file_key(SOURCE_FILE)
-    return batch.withColumn(writes.SOURCE_DAY, day)
+    return _read_alike(spark, spec, paths, header, known).withColumn(writes.SOURCE_DAY, day)
+
+
+def _read_alike(
+    spark: SparkSession, spec: LoadSpec, paths: list[str], header: list[str], known: list[str]
+) -> DataFrame:
+    """Files of one header, in the order of the ``known`` columns."""
+    paths = [literal(p) for p in paths]
+    batch = read_days(
+        spark, paths, spec.day_column, header, SOURCE_FILE, MALFORMED, spec.options
+    )
+    columns = [c for c in known if c != DAY]
+    return writes.align(batch, [*columns, SOURCE_FILE, MALFORMED, DAY])
+
+
+def _by_header(
+    spark: SparkSession, spec: LoadSpec, files: pa.Table, created: bool, how: str
+) -> tuple[pa.Table, DataFrame, set[str]]:
+    """The files read by groups of equal headers, after a read found that they differ.
+
+    Files with other columns than the table, or than the first file, are left out, unless
+    they belong to a day that is to be replaced.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in sorted(files["path"].to_pylist()):
+        groups.setdefault(tuple(header_of(spark, literal(path), spec.options)), []).append(path)
+    known = list(next(iter(groups))) if created else spark.table(spec.table).columns
+    batch, odd = None, []
+    for header, paths in groups.items():
+        try:
+            rows = _read_alike(spark, spec, paths, list(header), known)
+        except writes.SchemaMismatchError:
+            if how == "replace":
+                raise
+            odd += paths
+            continue
+        batch = rows if batch is None else batch.union(rows)
+    left = pc.invert(pc.is_in(files["path"], pa.array(odd, pa.string())))
+    names = set(files.filter(pc.invert(left))["file_name"].to_pylist())
+    return files.filter(left), batch.withColumn(writes.SOURCE_DAY, file_key(SOURCE_FILE)), names
 
 
 def _on_day(files: DataFrame, day: DataFrame) -> DataFrame:
@@ -246,39 +393,47 @@ def _past_high_water(
     return latest if mark is None else latest.where(F.col("file_value") != mark)
 
 
+def _loaded_days(spark: SparkSession, spec: LoadSpec, chosen: pa.Table) -> set[int]:
+    """The days of those of ``chosen`` that have been loaded before."""
+    names = ledger.loaded_files(spark, spec).select("file_name")
+    known = file_frame(spark, chosen.select(["file_name", "file_value"]))
+    days = known.join(names, "file_name", "left_semi").select("file_value").distinct()
+    return {row["file_value"] for row in days.collect()}
+
+
 def _whole_days(
-    spark: SparkSession, spec: LoadSpec, chosen: pa.Table, origin: str
+    spark: SparkSession, spec: LoadSpec, chosen: pa.Table, again: set[int], origin: str
 ) -> pa.Table:
-    """All files of the days of ``chosen``: replacing a day needs all of it.
+    """All files of the days ``again``: replacing a day needs all of it.
 
-    That is ``chosen``, what else lies in the folders loaded from, and what the
+    That is those of ``chosen``, what else lies in the folders loaded from, and what the
     days were loaded from before, wherever it lies.
     """
+    if not again:
+        return chosen.slice(0, 0)
     folders, others = spec.inbound, spec.staging
     if origin == ledger.STAGING:
         folders, others = others, folders
-    days = file_frame(spark, chosen.select(["file_value"])).distinct()
-    recorded = (
-        ledger.loaded_files(spark, spec)
-        .where(F.col("file_name").isNotNull())
-        .join(days, "file_value", "left_semi")
-        .select("file_name")
-        .distinct()
-        .toArrow()
-    )
+    days = file_frame(spark, pa.table({"day": pa.array(sorted(again), pa.int32())}))
+    on_days = F.col("file_value") == F.col("day")
+    lines = ledger.loaded_files(spark, spec).where(F.col("file_name").isNotNull())
+    _refuse_shared(lines, days)
+    recorded = lines.join(days, on_days, "left_semi").select("file_name").distinct().toArrow()
+    chosen = chosen.filter(pc.is_in(chosen["file_value"], pa.array(again, pa.int32())))
     names = file_frame(spark, chosen.select(["file_name"]))
     same_day = (
         list_files(spark, folders)
-        .join(days, "file_value", "left_semi")
+        .join(days, on_days, "left_semi")
         .join(names, "file_name", "left_anti")
     )
     whole = pa.concat_tables([chosen, _snapshot(same_day)])
     gone = _not_among(spark, recorded, whole)
-    if gone.num_rows and others is not None:
-        absent = file_frame(spark, gone)
-        elsewhere = list_files(spark, others).join(absent, "file_name", "left_semi")
-        whole = pa.concat_tables([whole, _snapshot(elsewhere)])
-        gone = _not_among(spark, gone, whole)
+    for place, below in ((others, False), (spec.archive, True)):
+        if gone.num_rows and place is not None:
+            elsewhere = list_files(spark, place, below)
+            found = elsewhere.join(file_frame(spark, gone), "file_name", "left_semi")
+            whole = pa.concat_tables([whole, _snapshot(found)])
+            gone = _not_among(spark, gone, whole)
     if gone.num_rows:
         raise IncompleteDayError(
             f"{gone.num_rows} files of the days to replace are gone, such as "
@@ -287,6 +442,17 @@ def _whole_days(
     return whole
 
 
+def _refuse_shared(lines: DataFrame, days: DataFrame) -> None:
+    """A day that holds rows of another day's file would lose them if it were replaced."""
+    fed = lines.select("file_name", "file_value", F.explode("fed").alias("day"))
+    shared = fed.where("day <> file_value").join(days, "day", "left_semi").take(1)
+    if shared:
+        raise IncompleteDayError(
+            f"day {shared[0]['day']} also holds rows that {shared[0]['file_name']} appended, "
+            "which replacing it would lose; load with mode='append'"
+        )
+
+
 def _not_among(spark: SparkSession, names: pa.Table, files: pa.Table) -> pa.Table:
     if not names.num_rows:
         return names

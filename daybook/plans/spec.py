@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,12 @@ class LoadSpec:
     fmt         table format
     rebalance   shuffle rows by day before the write. Needed only if files mix
                 many days; files of one day each are written without a shuffle
+    options     options of the CSV reader, such as ``{"sep": ";"}`` or
+                ``{"multiLine": "true"}`` for line breaks in quoted fields
+    archive     folder a stream moves staged files to; searched, with all that is
+                below it, when a day has to be loaded anew
+    days_per_load  load this many days at a time, each with its own lines in the
+                ledger, so that a failure costs one group; all at once if None
     """
 
     table: str
@@ -39,6 +45,9 @@ class LoadSpec:
     latest_only: bool = False
     fmt: str = "parquet"
     rebalance: bool = False
+    options: Mapping[str, str] = field(default_factory=dict)
+    archive: str | None = None
+    days_per_load: int | None = None
 
     def __post_init__(self) -> None:
         if not self.table or not self.location:
@@ -47,6 +56,8 @@ class LoadSpec:
             raise ValueError(f"unknown mode {self.mode!r}")
         if self.check not in ("ledger", "high_water"):
             raise ValueError(f"unknown check {self.check!r}")
+        if self.days_per_load is not None and self.days_per_load < 1:
+            raise ValueError("days_per_load must be at least 1")
 
     @classmethod
     def classic(cls, **settings) -> LoadSpec:

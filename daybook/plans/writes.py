@@ -66,10 +66,13 @@ def clear_day(spark: SparkSession, spec: LoadSpec, day: int) -> None:
     spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS {part}", args=name)
 
 
-def quarantine(strays: DataFrame, spec: LoadSpec) -> None:
-    """Keep rows that do not belong to their file's day, by file day, replaceable too."""
+def quarantine(strays: DataFrame, spec: LoadSpec, added: bool = False) -> None:
+    """Keep rows that do not belong to their file's day, by file day, replaceable too.
+
+    ``added`` to those that are kept of other files of their days, or in their place.
+    """
     (
-        strays.write.mode("overwrite")
+        strays.write.mode("append" if added else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(SOURCE_DAY)
         .parquet(spec.quarantine_path)

@@ -8,11 +8,13 @@ checkpoint, ends in the same table as a batch run.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.plans import LoadResult, LoadSpec, ledger, load_files
 from daybook.sources import table_exists
-from daybook.sources.landing import FILE_SCHEMA, describe_files
+from daybook.sources.landing import ALL_BELOW, FILE_SCHEMA, describe_files, directly_in
 
 
 def ingest_new(
@@ -34,10 +36,12 @@ def drain_staged(
 ) -> list[LoadResult]:
     """Load all staged files and move them to ``archive``.
 
+    Files of sub-folders are moved as well, but not loaded.
     The source moves a file while a later batch runs, so the last files stay
     behind; the ledger, not the folder, says what is loaded.
     """
     move = {"cleanSource": "archive", "sourceArchiveDir": archive}
+    spec = replace(spec, archive=archive)
     return _load_stream(spark, spec, spec.staging, ledger.STAGING, checkpoint, max_files, move)
 
 
@@ -59,12 +63,15 @@ def _load_stream(
     def load(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         if table_exists(session, spec.table):
-            files = ledger.without_loaded(files, ledger.loaded_files(session, spec))
+            loaded = ledger.loaded_files(session, spec)
+            ledger.refuse_changed(files, loaded)
+            files = ledger.without_loaded(files, loaded)
         results.append(load_files(session, spec, files, origin))
 
+    options = {**options, **ALL_BELOW}
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**options)
     query = (
-        describe_files(reader.load(folder))
+        describe_files(reader.load(folder).where(directly_in(folder)))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -15,6 +15,8 @@ def test_listing(spark, shop):
     (shop.root / "inbound" / "2010-12-03.csv").touch()
     (shop.root / "inbound" / "old").mkdir()
     shop.day("2010-11-30", 2, folder="inbound/old")
+    (shop.root / "inbound" / "y=1").mkdir()
+    shop.day("2010-11-29", 2, folder="inbound/y=1")
     files = list_files(spark, str(shop.root / "inbound"))
     listed = {(r["file_name"], r["file_value"]) for r in files.collect()}
     assert listed == {
@@ -29,7 +31,7 @@ def test_listing(spark, shop):
 def test_listing_reads_no_content(spark, shop):
     files = list_files(spark, str(shop.root / "inbound"))
     plan = files._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string,length:bigint>" in plan
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
 
 
 def test_empty_and_missing_folder(spark, shop):

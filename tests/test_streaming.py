@@ -61,3 +61,42 @@ def test_a_glob_names_several_folders(spark, shop):
     ingest_new(spark, spec, str(shop.root / "ckpt"))
     assert shop.counts() == {20101201: 1, 20101202: 2}
     assert list_files(spark, spec.inbound).count() == 2
+
+
+@pytest.mark.parametrize("mode", ["append", "replace"])
+def test_drained_days_in_several_files_and_late_ones(spark, shop, mode):
+    spec, archive = shop.spec(mode=mode), str(shop.root / "archive")
+    for part in range(4):
+        shop.day("2010-12-01", 3, folder="staging", first=100 * part, suffix=f".{part}.csv")
+    results = drain_staged(spark, spec, str(shop.root / "ckpt"), archive, max_files=1)
+    assert [r.rows for r in results] == [3, 3, 3, 3]
+    shop.day("2010-12-01", 5, folder="staging", first=900, suffix=".late.csv")
+    shop.day("2010-12-02", 2, folder="staging")
+    drain_staged(spark, spec, str(shop.root / "ckpt"), archive, max_files=1)
+    assert shop.counts() == {20101201: 17, 20101202: 2}
+
+
+def test_a_drain_that_died_finds_archived_files(spark, shop, monkeypatch):
+    from daybook.plans import ledger
+
+    archive = str(shop.root / "archive")
+    for part in range(3):
+        shop.day("2010-12-01", 3, folder="staging", first=100 * part, suffix=f".{part}.csv")
+    drain_staged(spark, shop.spec(), str(shop.root / "ckpt"), archive, max_files=1)
+    shop.day("2010-12-01", 5, folder="staging", first=900, suffix=".late.csv")
+    original = ledger.finish
+    monkeypatch.setattr(ledger, "finish", lambda *_: 1 / 0)
+    with pytest.raises(Exception, match="division"):
+        drain_staged(spark, shop.spec(), str(shop.root / "ckpt"), archive, max_files=1)
+    monkeypatch.setattr(ledger, "finish", original)
+    drain_staged(spark, shop.spec(), str(shop.root / "ckpt"), archive, max_files=1)
+    assert shop.counts() == {20101201: 14}
+
+
+def test_files_of_sub_folders_are_not_streamed(spark, shop):
+    expected = fill(shop)
+    for name in ("y=1", "old"):
+        (shop.root / "inbound" / name).mkdir()
+        shop.day("2010-11-30", 2, folder=f"inbound/{name}")
+    ingest_new(spark, shop.spec(), str(shop.root / "ckpt"))
+    assert shop.counts() == expected
