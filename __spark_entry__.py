@@ -33,6 +33,7 @@ from daybook.operators import (
     post_load_report,
     preview,
 )
+from daybook.plans import ledger
 from daybook.settings import listing_in_few_tasks
 from daybook.sources import export_days, list_files, partition_keys, read_days
 from daybook.sources.landing import DAY, with_datestr
@@ -334,6 +335,123 @@ def duplicate_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_profile(result_of(spark, spec))
 
 
+def day_contents(rows: DataFrame) -> DataFrame:
+    """Per day the rows and sums over every column, by which two swapped columns show."""
+    return rows.groupBy(DAY).agg(
+        F.count("*").alias("row_count"),
+        F.sum(F.col("event_id").cast("long")).alias("event_ids"),
+        F.sum(F.col("user_id").cast("long")).alias("user_ids"),
+        F.sum(F.length("event_type")).alias("type_chars"),
+        F.min("event_type").alias("first_type"),
+        F.sum(F.length("props")).alias("props_chars"),
+        F.max("props").alias("last_props"),
+        F.max("ts").alias("last_ts"),
+        F.max(F.col("value").cast("double")).alias("most"),
+    )
+
+
+def incremental_append_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = landing(spark, sf_dir)
+    spec = event_spec(spark, root, mode="append")
+    run(spark, spec)
+    run(spark, replace(spec, inbound=both_folders(root)))
+    return day_contents(result_of(spark, spec))
+
+
+def requested_load_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = event_spec(spark, landing(spark, sf_dir))
+    run(spark, spec)
+    run(spark, spec, request_load=True)
+    return day_contents(result_of(spark, spec))
+
+
+def split_days(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Landing files of ``events``, several per day."""
+    root = scratch_folder(spark, "landing")
+    rows = table(spark, sf_dir, "events")
+    for part in range(2):
+        mine = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part)
+        export_days(mine, F.col("ts"), root, F.lit(folder), suffix=f".{part}" if part else "")
+    return root
+
+
+def stream_split_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days in several files, of which a micro-batch holds only some."""
+    root = split_days(spark, sf_dir, "inbound")
+    spec = event_spec(spark, root, staging=None)
+    ingest_new(spark, spec, checkpoint=scratch_folder(spark, "stream"), max_files=25)
+    return day_contents(result_of(spark, spec))
+
+
+def drain_split_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the files archived while later ones of their days are still to come."""
+    root = split_days(spark, sf_dir, "staging")
+    spec = event_spec(spark, root)
+    drain_staged(
+        spark,
+        spec,
+        checkpoint=scratch_folder(spark, "stream"),
+        archive=scratch_folder(spark, "archive"),
+        max_files=25,
+    )
+    return day_contents(result_of(spark, spec))
+
+
+def replace_after_mixed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a week each appended, then the same rows by day in replace mode: the days of
+    the weeks' own names are theirs, so nothing that was appended may go."""
+    root = scratch_folder(spark, "landing")
+    rows = table(spark, sf_dir, "events")
+    export_days(rows, F.trunc("ts", "week"), root, F.lit("weeks"))
+    export_days(rows, F.col("ts"), root, F.lit("inbound"), suffix=".day")
+    spec = event_spec(spark, root, inbound=f"{root}/weeks", mode="append")
+    run(spark, spec)
+    run(spark, replace(spec, inbound=f"{root}/inbound", mode="replace"))
+    return partition_counts(result_of(spark, spec))
+
+
+def interrupted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with the ledger of a load that died: its files are loaded anew, each row once."""
+    root = landing(spark, sf_dir)
+    spec = event_spec(spark, root)
+    run(spark, spec)
+    every = replace(spec, inbound=both_folders(root))
+    files = list_files(spark, every.inbound).where(F.col("file_value").isNotNull()).toArrow()
+    ledger.start(spark, every, False, files, ledger.INBOUND)
+    run(spark, every)
+    return day_contents(result_of(spark, every))
+
+
+def landing_files_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sub-folders, also of the form ``key=value``, hide no file and add none."""
+    root = scratch_folder(spark, "landing")
+    rows = table(spark, sf_dir, "events")
+    export_days(rows, F.col("ts"), root)
+    for folder in ("inbound/y=1", "inbound/old"):
+        export_days(rows.limit(1), F.lit("1999-01-01"), root, F.lit(folder))
+    return list_files(spark, f"{root}/inbound").select("file_name")
+
+
+def pending_by_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run would load next: the files that are not in the ledger."""
+    root = landing(spark, sf_dir)
+    spec = event_spec(spark, root)
+    run(spark, spec)
+    loaded = ledger.loaded_files(spark, spec)
+    pending = ledger.without_loaded(list_files(spark, both_folders(root)), loaded)
+    result_of(spark, spec)
+    return pending.select("file_name", "file_value")
+
+
+def report_on_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on the days that the last run loaded."""
+    root = landing(spark, sf_dir)
+    spec = event_spec(spark, root)
+    run(spark, spec)
+    done = run(spark, replace(spec, inbound=both_folders(root)))
+    return post_load_report(result_of(spark, spec), days=done.days)
+
+
 def mixed_days_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a week each, whose rows go to the partitions of their own days."""
     root = scratch_folder(spark, "landing")
@@ -410,6 +528,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "requested_load": requested_load,
         "duplicate_append": duplicate_append,
         "mixed_days_append": mixed_days_append,
+        "incremental_append_contents": incremental_append_contents,
+        "requested_load_contents": requested_load_contents,
+        "stream_split_days": stream_split_days,
+        "drain_split_days": drain_split_days,
+        "replace_after_mixed_append": replace_after_mixed_append,
+        "interrupted_load": interrupted_load,
+        "landing_files_nested": landing_files_nested,
+        "pending_by_ledger": pending_by_ledger,
+        "report_on_days": report_on_days,
         "stream_ingest": stream_ingest,
         "stage_and_archive": stage_and_archive,
         **LLM_QUERIES,
@@ -424,6 +551,13 @@ _LANDED = f"CAST(ts AS DATE) <= {_CUT}"
 _STAGED = f"CAST(ts AS DATE) > {_CUT}"
 _COUNTS = f"SELECT {_DS} AS datestr, count(*) AS row_count FROM events"
 _ALL_COUNTS = f"{_COUNTS} GROUP BY 1"
+_CONTENTS = f"""
+    SELECT {_DS} AS datestr, count(*) AS row_count, CAST(sum(event_id) AS BIGINT) AS event_ids,
+           CAST(sum(user_id) AS BIGINT) AS user_ids,
+           CAST(sum(length(event_type)) AS BIGINT) AS type_chars, min(event_type) AS first_type,
+           CAST(sum(length(props)) AS BIGINT) AS props_chars, max(props) AS last_props,
+           max({_TS}) AS last_ts, max(value) AS most
+    FROM events"""
 _ORDER_COUNTS = """
     SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS datestr, count(*) AS row_count
     FROM orders GROUP BY 1"""
@@ -515,6 +649,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT 2 * count(*) AS total_rows, count(*) AS unique_rows
             FROM (SELECT DISTINCT * FROM events)""",
         "mixed_days_append": _ALL_COUNTS,
+        "incremental_append_contents": f"{_CONTENTS} GROUP BY 1",
+        "requested_load_contents": f"""
+            {_CONTENTS} WHERE {_LANDED} OR CAST(ts AS DATE) =
+              (SELECT min(CAST(ts AS DATE)) FROM events WHERE {_STAGED})
+            GROUP BY 1""",
+        "stream_split_days": f"{_CONTENTS} GROUP BY 1",
+        "drain_split_days": f"{_CONTENTS} GROUP BY 1",
+        "replace_after_mixed_append": f"""
+            SELECT {_DS} AS datestr, 2 * count(*) AS row_count FROM events GROUP BY 1""",
+        "interrupted_load": f"{_CONTENTS} GROUP BY 1",
+        "landing_files_nested": f"SELECT DISTINCT {_FN} AS file_name FROM events",
+        "pending_by_ledger": f"""
+            SELECT DISTINCT {_FN} AS file_name, {_DS} AS file_value
+            FROM events WHERE {_STAGED}""",
+        "report_on_days": f"""
+            SELECT 'rows' AS metric, {_DS} AS datestr, count(*) AS value
+            FROM events WHERE {_STAGED} GROUP BY 2
+            UNION ALL SELECT 'total', NULL, count(*) FROM events WHERE {_STAGED}
+            UNION ALL SELECT 'unique', NULL, count(*)
+            FROM (SELECT DISTINCT * FROM events WHERE {_STAGED})""",
         "stream_ingest": _ALL_COUNTS,
         "stage_and_archive": _ALL_COUNTS,
         **LLM_SQL,

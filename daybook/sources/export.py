@@ -6,6 +6,7 @@ take that form here, so every load can run over them.
 
 from __future__ import annotations
 
+import uuid
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,11 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def export_days(
-    df: DataFrame, day: Column, root: str, folder: Column | None = None
+    df: DataFrame, day: Column, root: str, folder: Column | None = None, suffix: str = ""
 ) -> None:
-    """Write ``df`` to ``root/<folder>/<yyyy-MM-dd>.csv``, one file per day.
+    """Write ``df`` to ``root/<folder>/<yyyy-MM-dd><suffix>.csv``, one file per day.
+
+    A tool to lay out test input: the driver renames the files one by one.
 
     REBALANCE lets adaptive execution split a day that is too large for one task
     and pack small days together; a split day becomes ``<day>.csv``,
@@ -27,7 +30,7 @@ def export_days(
     its landing name afterwards; only file names pass through the driver.
     """
     spark = df.sparkSession
-    parts = f"{root}/_parts"
+    parts = f"{root}/_parts-{uuid.uuid4().hex}"
     (
         df.withColumn("_folder", folder if folder is not None else F.lit("inbound"))
         .withColumn("_day", day.cast("date").cast("string"))
@@ -57,8 +60,8 @@ def export_days(
     for row in written:
         slot = (row["_folder"], row["_day"])
         number = seen[slot] = seen.get(slot, -1) + 1
-        suffix = f".{number}.csv" if number else ".csv"
-        moves.append((row["path"], f"{root}/{row['_folder']}/{row['_day']}{suffix}"))
+        end = f"{suffix}.{number}.csv" if number else f"{suffix}.csv"
+        moves.append((row["path"], f"{root}/{row['_folder']}/{row['_day']}{end}"))
 
     def move(pair: tuple[str, str]) -> None:
         if not fs.rename(hadoop.Path(pair[0]), hadoop.Path(pair[1])):
