@@ -315,7 +315,9 @@ def already_loaded_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = landing(spark, sf_dir)
     spec = event_spec(spark, root, inbound=both_folders(root))
     run(spark, spec)
-    return run(spark, spec).report
+    report = run(spark, spec).report
+    result_of(spark, spec)
+    return report
 
 
 def requested_load(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,10 @@ from contextlib import AbstractContextManager, contextmanager
 from pyspark.sql import SparkSession
 
 
+#: Executors of a session that allocates them on demand may not be up yet.
+LEAST_TASKS = 64
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """Set ``name`` inside the block and put it back as it was afterwards."""
@@ -23,12 +27,12 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 
 def listing_in_few_tasks(spark: SparkSession) -> AbstractContextManager[None]:
-    """List folders in one task per core, not in one task per folder.
+    """List folders in about one task per core, not in one task per folder.
 
     A table of thousands of days is listed several times as fast.
     """
-    tasks = str(spark.sparkContext.defaultParallelism)
-    return setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks)
+    tasks = max(spark.sparkContext.defaultParallelism, LEAST_TASKS)
+    return setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
 
 
 def files_in_few_tasks(spark: SparkSession) -> AbstractContextManager[None]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +11,7 @@ from pyspark.sql import SparkSession
 SETTING = "spark.checkpoint.dir"
 
 _own_roots: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,4 +34,23 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders of this application, and what lies beside them.
+
+    To be called when no DataFrame that reads them is needed any more, at the latest
+    before the session ends.
+    """
+    context = spark.sparkContext
+    files = context._jvm.org.apache.hadoop.fs
+    for path in _made.pop(context.applicationId, []):
+        for place in (path, f"{path}_ledger", f"{path}_quarantine"):
+            where = files.Path(place)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    root = _own_roots.pop(context.applicationId, None)
+    if root:
+        shutil.rmtree(root, ignore_errors=True)
