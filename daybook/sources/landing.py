@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import day_key, file_key
+from daybook.workspace import path_exists
 
 DAY = "datestr"
 
@@ -26,6 +27,9 @@ class MissingFolderError(FileNotFoundError):
 
 def read_if_there(reader: DataFrameReader, path: str | Sequence[str]) -> DataFrame | None:
     """``reader.load(path)``, or None if the path does not exist."""
+    paths = [path] if isinstance(path, str) else path
+    if not any(path_exists(reader._spark, p) for p in paths):
+        return None
     try:
         return reader.load(path)
     except AnalysisException as error:

@@ -39,6 +39,15 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, which may be a glob. A read that fails
+    tells as well, but fills the log with its stack trace."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders of this application, and what lies beside them.
 
