@@ -308,9 +308,8 @@ def _metrics(good: Column, spec: LoadSpec) -> list[Column]:
 def _clear_emptied(spark: SparkSession, spec: LoadSpec, days: set[int]) -> None:
     """Empty the loaded days whose files no longer hold a row of theirs."""
     if days:
-        held = partition_keys(spark, spec.table).where(F.col(DAY).isin(*days)).collect()
-        for row in held:
-            writes.clear_day(spark, spec, row[DAY])
+        held = {row[DAY] for row in partition_keys(spark, spec.table).collect()}
+        writes.clear_days(spark, spec, days & held)
 
 
 def _read_batch(

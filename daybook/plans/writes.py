@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from daybook.plans.spec import LoadSpec
 from daybook.settings import setting
-from daybook.sources.landing import DAY, read_if_there
+from daybook.sources.landing import DAY
+from daybook.workspace import delete_paths
 
 SOURCE_DAY = "_source_day"
 
@@ -56,14 +57,17 @@ def replace_days(batch: DataFrame, spec: LoadSpec) -> None:
         batch.write.mode("overwrite").insertInto(spec.table)
 
 
-def clear_day(spark: SparkSession, spec: LoadSpec, day: int) -> None:
-    """Replace a day by nothing: a dynamic overwrite leaves days without rows alone."""
-    blanks = ", ".join("NULL" for c in spark.table(spec.table).columns if c != DAY)
-    name, part = {"name": spec.table}, f"PARTITION ({DAY} = {day:d})"
-    spark.sql(
-        f"INSERT OVERWRITE TABLE IDENTIFIER(:name) {part} SELECT {blanks} FROM range(0)", args=name
-    )
-    spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS {part}", args=name)
+def clear_days(spark: SparkSession, spec: LoadSpec, days: set[int]) -> None:
+    """Replace days by nothing: a dynamic overwrite leaves days without rows alone.
+
+    No Spark job, however many days. Files go before the catalog's entries, so that a day
+    whose entry is gone has no rows that could come back with a new one.
+    """
+    if days:
+        delete_paths(spark, [f"{spec.location.rstrip('/')}/{DAY}={day:d}" for day in days])
+        parts = ", ".join(f"PARTITION ({DAY} = {day:d})" for day in sorted(days))
+        name = {"name": spec.table}
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS {parts}", args=name)
 
 
 def quarantine(strays: DataFrame, spec: LoadSpec, added: bool = False) -> None:
@@ -81,12 +85,5 @@ def quarantine(strays: DataFrame, spec: LoadSpec, added: bool = False) -> None:
 
 def clear_quarantine(spark: SparkSession, spec: LoadSpec, days: set[int]) -> None:
     """Forget the rows kept from earlier loads of days that have none to keep now."""
-    kept = read_if_there(spark.read.format("parquet"), spec.quarantine_path)
-    if kept is None or not days:
-        return
-    held = kept.where(F.col(SOURCE_DAY).isin(*days)).select(SOURCE_DAY).distinct()
-    for row in held.collect():
-        empty = kept.where("false").drop(SOURCE_DAY)
-        empty.write.mode("overwrite").parquet(
-            f"{spec.quarantine_path}/{SOURCE_DAY}={row[SOURCE_DAY]}"
-        )
+    paths = [f"{spec.quarantine_path}/{SOURCE_DAY}={day:d}" for day in days]
+    delete_paths(spark, paths, within=spec.quarantine_path)

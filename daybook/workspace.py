@@ -48,18 +48,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def delete_paths(spark: SparkSession, paths: list[str], within: str | None = None) -> None:
+    """Delete files or folders that are there, if the folder ``within`` is."""
+    if within is not None and not path_exists(spark, within):
+        return
+    context = spark.sparkContext
+    for path in paths:
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders of this application, and what lies beside them.
 
     To be called when no DataFrame that reads them is needed any more, at the latest
     before the session ends.
     """
-    context = spark.sparkContext
-    files = context._jvm.org.apache.hadoop.fs
-    for path in _made.pop(context.applicationId, []):
-        for place in (path, f"{path}_ledger", f"{path}_quarantine"):
-            where = files.Path(place)
-            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
-    root = _own_roots.pop(context.applicationId, None)
+    application = spark.sparkContext.applicationId
+    for path in _made.pop(application, []):
+        delete_paths(spark, [path, f"{path}_ledger", f"{path}_quarantine"])
+    root = _own_roots.pop(application, None)
     if root:
         shutil.rmtree(root, ignore_errors=True)

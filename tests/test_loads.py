@@ -641,3 +641,25 @@ def test_report_on_the_loaded_days(spark, shop):
     }
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(datestr" in plan or "datestr#" in plan.split("PartitionFilters")[1][:80]
+
+
+def test_emptied_days_cost_no_jobs(spark, shop):
+    days = [f"2010-12-{d:02d}" for d in range(1, 13)]
+    for day in days:
+        shop.day(day, 2)
+    run(spark, shop.spec())
+    jobs = []
+    for n in (1, 8):
+        for day in days[:n]:
+            shop.file(f"{day}.csv", [])
+        days = days[n:]
+        group = f"emptied-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        load_files(spark, shop.spec(), list_files(spark, shop.spec().inbound))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(shop.counts()) == len(days)
+    assert jobs[0] > 0 and jobs[1] <= jobs[0]
+    assert {r[0] for r in partition_keys(spark, shop.table).collect()} == {
+        int(d.replace("-", "")) for d in days
+    }
