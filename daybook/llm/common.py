@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from daybook.workspace import scratch_folder
 
+BROADCAST_ROWS = 500_000
+"""Narrow rows that are broadcast at most; more are joined by a shuffle."""
 ROWS_PER_TASK = 20_000
 """How many narrow rows a window partition should hold at most."""
 
@@ -27,6 +29,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def if_small(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """``rows``, a saved table, marked for broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= (BROADCAST_ROWS if most is None else most) else rows
+
+
 def given(df: DataFrame, without: list[str] | None = None, **columns: Column) -> DataFrame:
     """``df`` in one column ``given``, so that its names cannot clash with others, and
     ``columns``. ``select("given.*")`` brings it back; columns named in ``without`` go."""

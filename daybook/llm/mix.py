@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import given, row_hashes, saved, slice_bits, unit, with_running_total
+from daybook.llm.common import given, if_small, row_hashes, saved, slice_bits, unit, with_running_total
 from daybook.llm.draws import permuted
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,7 +68,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, passe
 def in_streams(rows: DataFrame) -> DataFrame:
     """Adds ``start``: the words before the document in its source's stream."""
     bits = slice_bits(rows.count())
-    return with_running_total(rows, ["number"], "order", ["doc_id"], F.col("size"), bits, "start")
+    ties = ["doc_id", "size"]
+    return with_running_total(rows, ["number"], "order", ties, F.col("size"), bits, "start")
 
 
 def packed(rows: DataFrame, block_words: int) -> DataFrame:
@@ -162,8 +163,9 @@ def mixed(
     """``(doc_id, source, size, source_size, target, taken, copies)``, a row per document.
 
     ``size`` is its number of words, ``taken`` the words the mix takes of it, at most
-    ``passes`` times as many, and ``copies`` how often it takes the first word. Null and empty texts have size 0 and give nothing; a null
-    source is a source, the last one; rows that repeat count each; other columns play no part.
+    ``passes`` times as many, and ``copies`` how often it takes the first word. Null and empty
+    texts have size 0 and give nothing; a null source is a source, the last one; rows that
+    repeat count each; other columns play no part.
     """
     rows = documents.select(
         "doc_id",
@@ -222,10 +224,15 @@ def mixed_documents(
     row = F.struct(first.alias("a"), second.alias("b"))
     rows = given(documents, doc_id=row, source=F.col("source"), text=F.col("text"))
     mix = mixed(rows, weights, passes, block_words, shards, seed)
+    copies = mix.groupBy(F.col("doc_id").alias("of")).agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("n")
+    )
+    copies = saved(copies.where("copies > 0"), "copies")
+    rows, same = rows.select("given", "doc_id"), F.col("doc_id") == F.col("of")
+    out = rows.join(if_small(copies.where("n = 1")), same)
     # rows alike in everything share a hash: what they get is added up and dealt to one of them
-    copies = mix.groupBy(F.col("doc_id").alias("of")).agg(F.sum("copies").alias("copies"))
-    copies = copies.where("copies > 0")
-    rows = rows.select("given", "doc_id").dropDuplicates(["doc_id"])
-    rows = rows.join(copies, F.col("doc_id") == F.col("of"))
+    alike = copies.where("n > 1")
+    if alike.limit(1).count():
+        out = out.union(rows.join(if_small(alike), same).dropDuplicates(["doc_id"]))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return rows.select("given", times.alias("time")).select("given.*")
+    return out.select("given", times.alias("time")).select("given.*")

@@ -55,7 +55,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return leaking_documents(documents, benchmark)
+    found = leaking_documents(documents, benchmark)
+    numbers = [F.col(c).cast("long").alias(c) for c in ("start", "words", "matches")]
+    return found.select("doc_id", "item_id", *numbers)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +92,7 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32("text").alias("text_crc32"),
     )
-    dealt = shuffled_into_shards(rows, ["doc_id", "size", "text_crc32"], shards=16)
+    dealt = shuffled_into_shards(rows, shards=16)
     return dealt.select(
         "doc_id",
         "size",
@@ -170,6 +172,44 @@ ORACLE_SQL = {
                CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first <> page_id THEN first END AS refers_to
         FROM f""",
+    # every word of an item against every equal word of a document, counted along diagonals
+    "op3_leaks": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+        i AS (
+            SELECT item_id, list_filter(
+                regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+        dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+        iw AS (
+            SELECT item_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS k
+            FROM i WHERE len(w) >= 8),
+        m AS (SELECT doc_id, item_id, n, pos - k AS start, k FROM dw JOIN iw USING (word)),
+        often AS (SELECT doc_id, item_id, start FROM m GROUP BY ALL HAVING count(*) >= 7),
+        s AS (
+            SELECT *, count(*) OVER (
+                PARTITION BY doc_id, item_id, start ORDER BY k
+                RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS near
+            FROM m SEMI JOIN often USING (doc_id, item_id, start)),
+        f AS (
+            SELECT doc_id, item_id, start, n AS words, count(*) AS matches
+            FROM s GROUP BY ALL HAVING max(near) >= ceil(0.8 * least(13, n)))
+        SELECT doc_id, item_id, start, words, matches FROM f
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matches DESC, start) = 1""",
+    "op9_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+              ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS least FROM r GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.least, vec_id) AS component_id,
+               vec_id = coalesce(c.least, vec_id) AS kept
+        FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op5_chat": """
         WITH t AS (
             SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),

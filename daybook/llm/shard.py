@@ -7,89 +7,100 @@ one; then each partition permutes its rows and deals them out by its line of the
 then each shard permutes what it got.
 
 The matrix is drawn by halving: what the shards hold in all is split between the two halves
-of the partitions, and so on down to single partitions. Partitions are slices of a hash of
-the row, not of files, so that the result is the same for any layout and after any retry.
+of the partitions, and so on down to single partitions. The permutations are pseudorandom
+ones of row numbers, so a row's shard and slot follow from its partition, its number there
+and the matrix alone, and rows move only when the shards are written.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import given, slice_bits, with_running_total
-from daybook.llm.draws import split_counts
+from daybook.llm.common import given, if_small, saved
+from daybook.llm.draws import permuted, split_counts
 
-ROWS_PER_PARTITION = 50_000
 LEVELS_PER_EXCHANGE = 6
+BROADCAST_LINES = 20_000
+"""Lines of the matrix that are broadcast at most."""
+
+
+def shard_size(shard: Column, total: int, shards: int) -> Column:
+    return F.lit(total // shards).cast("long") + (shard < total % shards).cast("long")
 
 
 def communication_matrix(counts: DataFrame, partitions: int, total: int, shards: int, seed: int) -> DataFrame:
-    """``(part, takes)``: for each partition how many rows go to each shard.
+    """``(part, takes, before)``: for each partition how many rows go to each shard, and how
+    many the partitions before it send there.
 
     ``counts (part, n)`` has the partitions' rows; ``partitions`` is a power of two. Row sums
     are the partitions' counts, column sums the shards' sizes, at most one apart.
     """
-    sizes = F.array(*[F.lit(total // shards + (j < total % shards)).cast("long") for j in range(shards)])
+    numbers = F.sequence(F.lit(0), F.lit(shards - 1))
     all_of = F.map_from_entries(F.collect_list(F.struct("part", "n")))
     ordered = F.transform(
         F.sequence(F.lit(0), F.lit(partitions - 1)),
         lambda i: F.coalesce(F.element_at("of", i.cast("long")), F.lit(0).cast("long")),
     )
     tree = counts.agg(all_of.alias("of")).select(
-        F.lit(0).cast("long").alias("part"), ordered.alias("rows"), sizes.alias("takes")
+        F.lit(0).cast("long").alias("part"),
+        ordered.alias("rows"),
+        F.transform(numbers, lambda j: shard_size(j, total, shards)).alias("takes"),
+        F.transform(numbers, lambda j: F.lit(0).cast("long")).alias("before"),
     )
     for level in range(partitions.bit_length() - 1):
         half = partitions >> (level + 1)
         tree = tree.select(
             "part",
             "takes",
+            "before",
             F.slice("rows", 1, half).alias("first"),
             F.slice("rows", half + 1, half).alias("rest"),
         ).withColumn("n", F.aggregate("first", F.lit(0).cast("long"), lambda a, x: a + x))
         tree = tree.withColumn("left", F.expr(split_counts("takes", "n", f"{seed}, {level}, part")))
         kids = F.array(
-            F.struct("part", F.col("first").alias("rows"), F.col("left").alias("takes")),
+            F.struct("part", F.col("first").alias("rows"), F.col("left").alias("takes"), "before"),
             F.struct(
                 (F.col("part") + half).alias("part"),
                 F.col("rest").alias("rows"),
                 F.zip_with("takes", "left", lambda a, b: a - b).alias("takes"),
+                F.zip_with("before", "left", lambda a, b: a + b).alias("before"),
             ),
         )
         tree = tree.select(F.inline(kids))
         if level % LEVELS_PER_EXCHANGE == LEVELS_PER_EXCHANGE - 1:
             tree = tree.repartition("part")
-    return tree.select("part", "takes")
+    return tree.select("part", "takes", "before")
 
 
-def shuffled_into_shards(rows: DataFrame, identity: list[str], shards: int = 16, seed: int = 8) -> DataFrame:
+def shuffled_into_shards(rows: DataFrame, shards: int = 16, seed: int = 8) -> DataFrame:
     """``rows`` with ``shard`` (0 to ``shards`` - 1) and ``slot``, gapless from 0 in each shard.
 
-    ``identity`` names columns that tell rows apart; rows alike in all of them are taken in
-    any order. Null values are values like others. All rows come back, with all their
+    Rows are told apart by where they lie, so nulls, ties and rows that repeat need no rule;
+    the same files in the same partitions give the same result. They are numbered once and
+    saved, so that a later retry cannot number them anew. All rows come back, with all their
     columns; own ``shard`` and ``slot`` columns are replaced. An empty table stays empty.
     """
-    names = [f"i{k}" for k in range(len(identity))]
-    rows = given(rows, ["shard", "slot"], **{n: F.col(c) for n, c in zip(names, identity, strict=True)})
-    total = rows.count()
-    bits = max(0, math.ceil(math.log2(max(1, total / ROWS_PER_PARTITION))))
-    parts = [x for n in names for x in (F.col(n).isNull(), F.col(n))]
-    place, deal, last = (F.xxhash64(F.lit(seed + i), *parts) for i in range(3))
-    part = F.shiftrightunsigned(place, 64 - bits) if bits else F.lit(0).cast("long")
-    rows = rows.withColumn("own", part).withColumn("deal", deal)
-    counts = rows.groupBy(F.col("own").alias("part")).agg(F.count("*").alias("n"))
-    matrix = communication_matrix(counts, 1 << bits, total, shards, seed)
-    upto: Column = F.transform(
+    numbered = saved(given(rows, ["shard", "slot"], at=F.monotonically_increasing_id()), "numbered")
+    place = numbered.select("given", F.expr("at >> 33").alias("own"), F.expr("at & 8589934591").alias("nth"))
+    counts = saved(place.groupBy(F.col("own").alias("part")).agg(F.count("*").alias("n")), "counts")
+    found = counts.agg(F.sum("n").alias("rows"), F.max("part").alias("last")).first()
+    total, last = found["rows"] or 0, found["last"] or 0
+    matrix = communication_matrix(counts, 1 << last.bit_length(), total, shards, seed)
+    upto = F.transform(
         F.sequence(F.lit(1), F.lit(shards)),
         lambda j: F.aggregate(F.slice("takes", 1, j), F.lit(0).cast("long"), lambda a, x: a + x),
     )
-    matrix = matrix.select("part", upto.alias("upto"))
-    local = Window.partitionBy("own").orderBy("deal", *names)
-    dealt = rows.withColumn("nth", F.row_number().over(local) - 1)
-    dealt = dealt.join(matrix, F.col("own") == F.col("part"))
-    shard = F.size(F.filter("upto", lambda edge: edge <= F.col("nth")))
-    dealt = dealt.select("given", *names, shard.alias("shard"), last.alias("last"))
-    one = F.lit(1).cast("long")
-    dealt = with_running_total(dealt, ["shard"], "last", names, one, slice_bits(total // shards), "slot")
-    return dealt.select("given.*", "shard", "slot")
+    matrix = saved(matrix.select("part", "takes", "before", upto.alias("upto")), "matrix")
+    dealt = place.join(if_small(matrix, BROADCAST_LINES), F.col("own") == F.col("part"))
+    dealt = dealt.withColumn("n", F.element_at("upto", -1))
+    dealt = dealt.withColumn("nth", permuted("nth", "n", f"{seed}, 'partition', own"))
+    dealt = dealt.withColumn("shard", F.size(F.filter("upto", lambda edge: edge <= F.col("nth"))))
+    # its number in the shard: after all that partitions before send there
+    dealt = dealt.select(
+        "given",
+        "shard",
+        (F.get("before", "shard") + F.col("nth") - F.get("upto", "shard") + F.get("takes", "shard")).alias("nth"),
+        shard_size(F.col("shard"), total, shards).alias("n"),
+    )
+    return dealt.select("given.*", "shard", permuted("nth", "n", f"{seed}, 'shard', shard").alias("slot"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import given, row_hashes, saved
+from daybook.llm.common import given, if_small, row_hashes, saved
 from daybook.llm.graph import connected_components
 
 SEED = 42
@@ -266,6 +266,15 @@ def one_of_each(
     name = F.struct(F.col(key).alias("key"), first.alias("a"), second.alias("b"))
     rows = given(documents, row=name, words=F.col(text))
     groups = simhash_groups(rows.select("row", "words"), shingle, most, "row", "words")
-    kept = groups.where("row = component_id").select(F.col("row").alias("kept")).distinct()
-    rows = rows.select("given", "row").join(kept, F.col("row") == F.col("kept"), "left_semi")
-    return rows.dropDuplicates(["row"]).select("given.*")
+    marks = groups.groupBy(F.col("row").alias("of")).agg(
+        F.count("*").alias("n"), F.first("component_id").alias("component_id")
+    )
+    # most rows stay as they are: only the others are looked up
+    odd = marks.select("of", "n", (F.col("of") == F.col("component_id")).alias("stays"))
+    odd = saved(odd.where("NOT stays OR n > 1"), "odd")
+    rows, same = rows.select("given", "row"), F.col("row") == F.col("of")
+    out = rows.join(if_small(odd), same, "left_anti")
+    alike = odd.where("stays")
+    if alike.limit(1).count():
+        out = out.union(rows.join(if_small(alike), same, "left_semi").dropDuplicates(["row"]))
+    return out.select("given.*")

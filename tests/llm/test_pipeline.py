@@ -6,6 +6,7 @@ from llm_words import prose
 from test_simhash import least_reachable, plain_fingerprint
 
 import corpus_pipeline
+from daybook.llm import common, decontaminate
 from daybook.llm.common import saved
 
 ENGLISH = "the of and in to that is was for with this from they have were which their would there been".split()
@@ -56,6 +57,16 @@ def test_stage_by_stage(spark, tables):
     assert Counter(whole.collect()) == Counter(now)
 
 
+def test_the_same_beyond_the_bound_of_a_broadcast(spark, tables, monkeypatch):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    few = {n: Counter(stages[n](spark, docs, tables).collect()) for n in ("near_duplicates", "decontamination", "mixing")}
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    for name, rows in few.items():
+        assert Counter(stages[name](spark, docs, tables).collect()) == rows
+
+
 def test_empty_documents(spark, tables, tmp_path):
     docs = spark.read.parquet(f"{tables}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.llm import suffix_dedup
 from daybook.llm.suffix_dedup import Block, cut_texts, keyed, merged, repeated_spans, suffix_array, without_repeats
 
 
@@ -62,6 +63,11 @@ def test_grams_of_many_segments_window_by_window(spark):
     check(spark, corpus(3), 40, most=1)
 
 
+def test_the_same_beyond_the_bound_of_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", 0)
+    check(spark, corpus(1), 40)
+
+
 def test_suffix_arrays():
     rng = random.Random(7)
     for _ in range(400):
