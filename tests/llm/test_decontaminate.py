@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from llm_words import prose
+from llm_words import no_documents, odd, prose  # noqa: F401
 from daybook.llm import decontaminate
 from daybook.llm.decontaminate import LEAST_WORDS, MASKS, SPAN, WINDOW, decontaminated, leaking_documents
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm import language

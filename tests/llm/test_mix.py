@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm import mix

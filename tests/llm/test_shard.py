@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm.draws import hypergeometric, permuted

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm import simhash

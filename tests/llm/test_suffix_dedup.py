@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm import suffix_dedup
