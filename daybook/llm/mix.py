@@ -4,7 +4,12 @@ The documents of a source, in a random order, make one stream of words, which is
 blocks of a fixed number of words. The mix is a number of slots, dealt over output shards;
 for each shard, how many slots each source gets is drawn. A source's slots are numbered
 through; a pseudorandom permutation of the source's block numbers, another one for every
-pass over the source, says which block a slot takes.
+pass over the source, says which block a slot takes, and one of the shard's slots where in
+the shard it lies. The blocks are pieces of documents, ranges of their words.
+
+The stage of the pipeline needs documents, not blocks, and takes the same words of each
+source: as many whole passes as the target holds, and of the next pass the documents at the
+start of the stream, the last of them cut where the target is met.
 """
 
 from __future__ import annotations
@@ -25,6 +30,10 @@ SHARDS = 8
 SLOTS_PER_ROW = 10_000
 """Slots that one row is spread into, which bounds the arrays."""
 SLOTS_PER_TASK = 100_000
+NEAR_BLOCKS = 4
+NEAR_SHARE = 0.05
+"""How far a source may be from its target, the larger of so many blocks and such a share of
+it, so that its last document stays whole; where that is not enough, the document is cut."""
 
 
 def word_count(text: str) -> Column:
@@ -73,12 +82,13 @@ def in_streams(rows: DataFrame) -> DataFrame:
 
 
 def packed(rows: DataFrame, block_words: int) -> DataFrame:
-    """``(number, start, block, words)``: which words of which block each document fills."""
+    """``(number, start, block, first, words)``: which words of which block each document
+    fills, and the number of the first of them in the document."""
     blocks = F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")
     cut = rows.where("size > 0").select("number", "start", "size", F.explode(blocks).alias("block"))
     low = F.greatest("start", F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-    return cut.select("number", "start", "block", (high - low).alias("words"))
+    return cut.select("number", "start", "block", (low - F.col("start")).alias("first"), (high - low).alias("words"))
 
 
 def drawn_sources(shares: DataFrame, seed: int) -> DataFrame:
@@ -103,7 +113,7 @@ def drawn_sources(shares: DataFrame, seed: int) -> DataFrame:
 
 
 def slots(targets: DataFrame, block_words: int, shards: int, seed: int, passes: int = MOST_PASSES) -> DataFrame:
-    """``(shard, number, pass, block)``, a row per slot of the mix.
+    """``(shard, slot, number, pass, block)``, a row per slot of the mix.
 
     A shard's counts are the whole parts of its expected counts and, for the slots that are
     left, a multinomial draw by the fractions, so each source ends close to its target. Slots
@@ -134,8 +144,16 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int, passes:
     )
     before = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
+    others = Window.partitionBy("shard")
+    ahead = others.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns(
+        {
+            "ahead": F.coalesce(F.sum("n").over(ahead), F.lit(0)).cast("long"),
+            "all": F.sum("n").over(others),
+        }
+    )
     runs = counts.where("n > 0").select(
-        "shard", "number", "blocks", "n", "first",
+        "shard", "number", "blocks", "n", "first", "ahead", "all",
         F.explode(F.expr(f"sequence(0L, (n - 1) div {SLOTS_PER_ROW})")).alias("run"),
     )
     # few bytes that become many rows: the number of tasks follows the rows
@@ -143,13 +161,84 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int, passes:
     runs = runs.repartition(math.ceil(total / SLOTS_PER_TASK) or 1, "shard", "number", "run")
     low = F.col("first") + F.col("run") * SLOTS_PER_ROW
     high = F.least(low + SLOTS_PER_ROW, F.col("first") + F.col("n")) - 1
-    out = runs.select("shard", "number", "blocks", F.explode(F.sequence(low, high)).alias("slot"))
+    out = runs.select(
+        "shard", "number", "blocks", "first", "ahead", "all", F.explode(F.sequence(low, high)).alias("own")
+    )
     out = out.select(
-        "shard", "number", "blocks",
-        F.expr("slot div blocks").alias("pass"), F.expr("slot % blocks").alias("nth"),
+        "shard", "number", "blocks", "all", F.expr("ahead + own - first").alias("at"),
+        F.expr("own div blocks").alias("pass"), F.expr("own % blocks").alias("nth"),
     ).where(F.col("pass") < passes)
     block = permuted("nth", "blocks", f"{seed}, number, pass")
-    return out.select("shard", "number", "pass", block.alias("block"))
+    slot = permuted("at", "all", f"{seed}, 'slot', shard")
+    return out.select("shard", slot.alias("slot"), "number", "pass", block.alias("block"))
+
+
+def streams_and_targets(
+    documents: DataFrame, weights: tuple[float, ...], passes: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """``documents (doc_id, source, text)`` with their ``size``, ``order`` and ``start`` in
+    their source's stream and its ``number`` and target, and the targets."""
+    rows = documents.select(
+        "doc_id",
+        "source",
+        word_count("text").alias("size"),
+        F.xxhash64(F.lit(seed), "doc_id").alias("order"),
+    )
+    rows = saved(rows, "sizes")
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = saved(source_targets(sizes, weights, passes), "targets")
+    named = targets.withColumnRenamed("source", "_source")
+    rows = rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    return saved(in_streams(rows), "streams"), targets
+
+
+def drawn_pieces(
+    streams: DataFrame, targets: DataFrame, block_words: int, shards: int, seed: int, passes: int
+) -> DataFrame:
+    """``(shard, slot, number, start, first, words)``: the blocks of the mix, a row per piece
+    of a document in the block of a slot; pieces of a block follow each other by ``start``."""
+    # a table of known size, or the join would be planned by the size of what the rows come from
+    drawn = slots(targets, block_words, shards, seed, passes).select(
+        "shard", "slot", F.col("number").alias("_number"), F.col("block").alias("_block")
+    )
+    drawn = saved(drawn, "draws")
+    same = [F.col("number") == F.col("_number"), F.col("block") == F.col("_block")]
+    pieces = packed(streams, block_words).join(drawn, same)
+    return pieces.select("shard", "slot", "number", "start", "first", "words")
+
+
+def mixed_blocks(
+    documents: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    passes: int = MOST_PASSES,
+    block_words: int = BLOCK_WORDS,
+    shards: int = SHARDS,
+    seed: int = 10,
+) -> DataFrame:
+    """``(shard, slot, source, start, doc_id, first, words, text)``: the mix itself.
+
+    A row is the ``words`` words from number ``first`` of a document, joined by blanks, that
+    stand in the block of that slot of that shard; a block's pieces are in the order of
+    ``start``. All blocks but a source's last have ``block_words`` words.
+    """
+    key = F.struct(*[h.alias(n) for h, n in zip(row_hashes(documents), "ab", strict=True)])
+    rows = documents.select(key.alias("doc_id"), "source", "text")
+    streams, targets = streams_and_targets(rows, weights, passes, seed)
+    pieces = drawn_pieces(streams, targets, block_words, shards, seed, passes)
+    ranges = F.collect_list(F.struct("shard", "slot", "first", "words")).alias("ranges")
+    ranges = pieces.groupBy(F.col("number").alias("_number"), F.col("start").alias("_start")).agg(ranges)
+    same = [F.col("number") == F.col("_number"), F.col("start") == F.col("_start"), F.col("size") > 0]
+    taken = streams.join(ranges, same).select(F.col("doc_id").alias("of"), "source", "start", "ranges")
+    # rows alike in everything have one text
+    texts = documents.select("doc_id", "text", key.alias("key")).dropDuplicates(["key"])
+    texts = texts.select("doc_id", "key", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("tokens"))
+    words = lambda r: F.slice("tokens", r["first"].cast("int") + 1, r["words"].cast("int"))
+    with_text = F.transform("ranges", lambda r: r.withField("text", F.array_join(words(r), " ")))
+    out = taken.join(texts, F.col("of") == F.col("key"))
+    out = out.select("source", "start", "doc_id", F.explode(with_text).alias("piece"))
+    return out.select(
+        "piece.shard", "piece.slot", "source", "start", "doc_id", "piece.first", "piece.words", "piece.text"
+    )
 
 
 def mixed(
@@ -167,32 +256,11 @@ def mixed(
     texts have size 0 and give nothing; a null source is a source, the last one; rows that
     repeat count each; other columns play no part.
     """
-    rows = documents.select(
-        "doc_id",
-        "source",
-        word_count("text").alias("size"),
-        F.xxhash64(F.lit(seed), "doc_id").alias("order"),
-    )
-    rows = saved(rows, "sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = saved(source_targets(sizes, weights, passes), "targets")
-    named = targets.withColumnRenamed("source", "_source")
-    rows = rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    rows = saved(in_streams(rows), "streams")
-    pieces = packed(rows, block_words)
-    drawn = slots(targets, block_words, shards, seed, passes).groupBy("number", "block").agg(
-        F.count("*").alias("times")
-    )
-    # a table of known size, or the join would be planned by the size of what the rows come from
-    drawn = drawn.select(F.col("number").alias("_number"), F.col("block").alias("_block"), "times")
-    drawn = saved(drawn, "draws")
+    rows, targets = streams_and_targets(documents, weights, passes, seed)
     taken = (
-        pieces.join(drawn, [F.col("number") == F.col("_number"), F.col("block") == F.col("_block")])
+        drawn_pieces(rows, targets, block_words, shards, seed, passes)
         .groupBy("number", "start")
-        .agg(
-            F.sum(F.col("words") * F.col("times")).alias("taken"),
-            F.max(F.when(F.expr(f"block = start div {block_words}"), F.col("times"))).alias("copies"),
-        )
+        .agg(F.sum("words").alias("taken"), F.count_if(F.col("first") == 0).alias("copies"))
     )
     taken = taken.select(
         F.col("number").alias("_number"), F.col("start").alias("_start"), "taken", "copies"
@@ -209,30 +277,87 @@ def mixed(
     )
 
 
+def last_taken(streams: DataFrame, targets: DataFrame, block_words: int) -> DataFrame:
+    """``(source, whole, last_order, last, extra, cut)``, a row per source: its ``whole``
+    passes, and the document at whose end or inside which the next pass ends.
+
+    Documents before it are taken once more. ``extra`` says how often it is, more than once
+    only if rows alike in everything stand for it, and ``cut`` of how many words a last piece
+    is, 0 for none.
+    """
+    whole = F.floor(F.col("target") / F.col("source_size") + 1e-9)
+    turns = targets.where("source_size > 0").select("source", "number", "source_size", "target", whole.alias("whole"))
+    rest = F.round((F.col("target") - F.col("whole") * F.col("source_size")) / block_words) * block_words
+    turns = turns.withColumn("upto", F.least(rest.cast("long"), F.col("source_size")))
+    turns = turns.select("source", F.col("number").alias("of"), F.col("target").alias("wanted"), "whole", "upto")
+    ends = streams.drop("source").join(turns, F.col("number") == F.col("of"))
+    ends = ends.where("size > 0 AND start < upto AND upto <= start + size")
+    part, left = F.col("upto") - F.col("start"), F.col("start") + F.col("size") - F.col("upto")
+    near = F.greatest(F.lit(float(NEAR_BLOCKS * block_words)), F.col("wanted") * NEAR_SHARE)
+    rounds = (left == 0) | (F.least(part, left) <= near)
+    ends = ends.select(
+        F.col("of").alias("_of"),
+        F.col("order").alias("last_order"),
+        F.col("doc_id").alias("last"),
+        F.col("start").alias("last_start"),
+        F.when(rounds & (left <= part), 1).otherwise(0).alias("once"),
+        F.when(rounds, 0).otherwise(part).alias("cut"),
+    )
+    ends = saved(ends, "ends")
+    alike = streams.join(if_small(ends), (F.col("number") == F.col("_of")) & (F.col("doc_id") == F.col("last")))
+    alike = alike.groupBy(F.col("number").alias("_number")).agg(
+        F.count_if(F.col("start") < F.col("last_start")).alias("before")
+    )
+    out = turns.join(ends, F.col("of") == F.col("_of"), "left").join(alike, F.col("of") == F.col("_number"), "left")
+    extra = F.coalesce(F.col("once") + F.col("before"), F.lit(0))
+    out = out.select("source", "whole", "last_order", "last", extra.alias("extra"), F.coalesce("cut", F.lit(0)).alias("cut"))
+    return saved(out, "turns")
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """``text`` up to the end of its word number ``n``."""
+    blanks_and_word = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    return F.array_join(F.slice(blanks_and_word, F.lit(1), n.cast("int")), "")
+
+
 def mixed_documents(
     documents: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     passes: int = MOST_PASSES,
     block_words: int = BLOCK_WORDS,
-    shards: int = SHARDS,
     seed: int = 10,
 ) -> DataFrame:
-    """``documents`` as the mix takes them: each as often as the block of its first word, so
-    with the expected number of its source, from none to ``passes`` times. A text without
-    words is in no block and goes."""
+    """``documents`` as the mix takes them, from none to ``passes`` times each, so that the
+    words of each source meet its target.
+
+    At most one document of a source is cut, at a block bound, its other columns unchanged, and
+    only if the source would else miss its target by more than ``NEAR_BLOCKS`` blocks and
+    ``NEAR_SHARE`` of it. A text without words is in no block and goes. Which documents are
+    taken follows from one row per source, so texts stay where they are.
+    """
     first, second = row_hashes(documents)
     row = F.struct(first.alias("a"), second.alias("b"))
     rows = given(documents, doc_id=row, source=F.col("source"), text=F.col("text"))
-    mix = mixed(rows, weights, passes, block_words, shards, seed)
-    copies = mix.groupBy(F.col("doc_id").alias("of")).agg(
-        F.sum("copies").alias("copies"), F.count("*").alias("n")
-    )
-    copies = saved(copies.where("copies > 0"), "copies")
-    rows, same = rows.select("given", "doc_id"), F.col("doc_id") == F.col("of")
-    out = rows.join(if_small(copies.where("n = 1")), same)
-    # rows alike in everything share a hash: what they get is added up and dealt to one of them
-    alike = copies.where("n > 1")
-    if alike.limit(1).count():
-        out = out.union(rows.join(if_small(alike), same).dropDuplicates(["doc_id"]))
+    streams, targets = streams_and_targets(rows, weights, passes, seed)
+    turns = last_taken(streams, targets, block_words)
+    named = turns.withColumnRenamed("source", "_source")
+    rows = rows.where(F.col("text").rlike(WORD)).select("given", "doc_id", "source")
+    rows = rows.withColumn("order", F.xxhash64(F.lit(seed), "doc_id"))
+    # streams run by the order's bits, without a sign
+    place = lambda order, key: F.struct(F.col(order).bitwiseXOR(F.lit(-(1 << 63))), key)
+    before = F.coalesce(place("order", "doc_id") < place("last_order", "last"), F.lit(False))
+    before = before & F.col("last_order").isNotNull()
+    out = rows.join(if_small(named), F.col("source").eqNullSafe(F.col("_source")))
+    out = out.select("given", (F.col("whole") + before.cast("long")).alias("copies")).where("copies > 0")
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return out.select("given", times.alias("time")).select("given.*")
+    out = out.select("given", times.alias("time")).select("given.*")
+    lasts = named.where("extra > 0 OR cut > 0")
+    if lasts.limit(1).count():
+        same = (F.col("doc_id") == F.col("last")) & F.col("source").eqNullSafe(F.col("_source"))
+        found = rows.join(if_small(lasts), same).dropDuplicates(["doc_id"])
+        part = F.col("given").withField("text", first_words(F.col("given.text"), F.col("cut")))
+        copies = F.concat(
+            F.array_repeat("given", F.col("extra").cast("int")), F.when(F.col("cut") > 0, F.array(part)).otherwise(F.array())
+        )
+        out = out.union(found.select(F.explode(copies).alias("given")).select("given.*"))
+    return out

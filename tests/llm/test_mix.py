@@ -5,7 +5,7 @@ from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm import mix
-from daybook.llm.mix import mixed, mixed_documents, packed, slots, source_targets
+from daybook.llm.mix import mixed, mixed_blocks, mixed_documents, packed, slots, source_targets
 
 
 def filled(sizes, weights=(5.0, 2.0, 1.0), passes=3):
@@ -115,3 +115,53 @@ def test_documents_come_as_often_as_their_first_word(spark):
     got = Counter(r.doc_id for r in mixed_documents(rows).collect())
     assert sum(got.values()) > 0 and max(got.values()) <= 3
     assert abs(sum(got.values()) - sum(copies.values())) < 0.3 * sum(copies.values())
+
+
+def test_words_of_each_source_meet_its_target_whole_or_cut(spark):
+    long = " \t".join(f"w{k}" for k in range(20_000))
+    rows = [(0, " " + long, "a")] + [(i, f"x{i} y z", "a") for i in range(1, 50)]
+    rows += [(100 + i, " ".join(f"v{i}_{k}" for k in range(60)), "bc"[i % 2]) for i in range(300)]
+    rows += [(1000, "all alike " * 20, "d")] * 200 + [(2000, None, "d"), (2001, " ", "a")]
+    words = lambda t: len((t or "").split())
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += words(text)
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("m", F.expr("map(1, 2)"))
+    for weights in ((5.0, 2.0, 1.0), (1.0, 2.0, 5.0), (2.0, 1.0, 1.0)):
+        wanted = filled(sizes, weights)
+        got = mixed_documents(documents, weights).collect()
+        taken, copies = Counter(), Counter()
+        for r in got:
+            taken[r.source] += words(r.text)
+            copies[r.doc_id] += 1
+            whole = next(t for k, t, _ in rows if k == r.doc_id)
+            assert whole.startswith(r.text) and (r.text == whole or r.source == "a" and words(r.text) < 20_000)
+        for source, target in wanted.items():
+            assert abs(taken[source] - target) <= max(128, 0.05 * target), (weights, source, taken, wanted)
+        assert max(n for k, n in copies.items() if k != 1000) <= 3
+        assert 2000 not in copies and 2001 not in copies
+
+
+def test_blocks_hold_the_words_that_are_taken(spark):
+    rows = corpus(spark).union(corpus(spark).where("doc_id < 20"))
+    pieces = mixed_blocks(rows, shards=4).collect()
+    texts = {r.doc_id: r.text.split() for r in rows.collect()}
+    blocks = {}
+    for p in pieces:
+        assert p.text.split(" ") == texts[p.doc_id][p.first : p.first + p.words] and p.words > 0
+        blocks.setdefault((p.shard, p.slot), []).append(p)
+    total, short = Counter(), Counter()
+    for block in blocks.values():
+        assert len({p.source for p in block}) == 1
+        short[block[0].source] += sum(p.words for p in block) != 32
+        for p in block:
+            total[p.source] += p.words
+        # pieces follow each other: all but the first start with their document
+        block.sort(key=lambda p: p.start)
+        assert all(p.first == 0 for p in block[1:])
+    assert max(short.values()) <= 3 and len({s for s, _ in blocks}) == 4
+    sizes = Counter()
+    for r in rows.collect():
+        sizes[r.source] += len(texts[r.doc_id])
+    for source, target in filled(sizes).items():
+        assert abs(total[source] - target) < 0.1 * target + 150
