@@ -80,14 +80,17 @@ def with_signatures(distinct: DataFrame, bits: int, tables: int) -> DataFrame:
 
 def compared(
     ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, marks: np.ndarray, blocks: np.ndarray,
-    table: int, threshold: float,
+    others: np.ndarray, table: int, threshold: float,
 ) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Links per vector, copies counted, and links that connect what is linked, of one task:
-    of the rows of one block, or of those in one block with those in the other."""
-    vectors = unit_rows(vectors)
-    first = blocks == blocks.min()
+    of the rows of one block, or of those in one block with those in the other, which may have
+    none of this length."""
+    first = blocks <= others
     a = np.flatnonzero(first)
-    b = a if first.all() else np.flatnonzero(~first)
+    b = a if blocks[0] == others[0] else np.flatnonzero(~first)
+    if not (len(a) and len(b)):
+        return np.zeros(len(ids), np.int64), []
+    vectors = unit_rows(vectors)
     near = vectors[a] @ vectors[b].T >= threshold
     if b is a:
         np.fill_diagonal(near, False)
@@ -136,15 +139,15 @@ def block_tasks(marked: DataFrame, block: int = BLOCK) -> DataFrame:
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.select("id", "copies", "vector", "marks", "table", "mark", "block", others)
     task = F.xxhash64("table", "mark", F.least("block", "other"), F.greatest("block", "other"))
-    return rows.select(task.alias("task"), "table", "block", "id", "copies", "vector", "marks")
+    return rows.select(task.alias("task"), "table", "block", "other", "id", "copies", "vector", "marks")
 
 
 def found_links(tasks: DataFrame, threshold: float) -> DataFrame:
     """``(a, b, links)``: links of ``a`` where ``b`` is null, else a link."""
 
     def results(rows: pa.Table) -> pa.Table:
-        task, table, block, ids, copies = (rows.column(k).to_numpy() for k in range(5))
-        vectors, marks = (rows.column(k).combine_chunks() for k in (5, 6))
+        task, table, block, other, ids, copies = (rows.column(k).to_numpy() for k in range(6))
+        vectors, marks = (rows.column(k).combine_chunks() for k in (6, 7))
         sizes, width = vectors.value_lengths().to_numpy(), marks.value_lengths().to_numpy()[:1].sum()
         flat, ends = vectors.flatten().to_numpy(), np.cumsum(sizes)
         marks = marks.flatten().to_numpy().reshape(len(task), width)
@@ -156,7 +159,7 @@ def found_links(tasks: DataFrame, threshold: float) -> DataFrame:
                 if len(at) > 1:
                     wide = flat[(ends[at] - size)[:, None] + np.arange(size)]
                     n, found = compared(
-                        ids[at], copies[at], wide, marks[at], block[at], int(table[start]), threshold
+                        ids[at], copies[at], wide, marks[at], block[at], other[at], int(table[start]), threshold
                     )
                     counted.append((ids[at][n > 0], n[n > 0]))
                     links += found

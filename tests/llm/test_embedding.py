@@ -58,6 +58,18 @@ def test_blocks_of_large_signatures(spark, monkeypatch):
     assert got(spark, rows) == brute(rows, 0.95)
 
 
+def test_a_length_that_only_one_of_two_blocks_has(spark, monkeypatch):
+    monkeypatch.setattr(embedding.block_tasks, "__defaults__", (5,))
+    rows = [(i, [1.0, float(np.float32(0.001 * i)), 0.0]) for i in range(60)]
+    # of another length, in the same first signature
+    bits, tables = table_plan(len(rows))
+    first = lambda v: embedding.signatures(embedding.unit_rows(v), bits, tables)[:, 0]
+    some = np.random.default_rng(3).standard_normal((20_000, 4))
+    center = some[first(some) == first(np.array([rows[30][1]]))[0]][0]
+    rows += [(100 + i, [float(np.float32(x * (1 + 1e-5 * i * k))) for k, x in enumerate(center)]) for i in range(20)]
+    assert got(spark, rows) == brute(rows, 0.95)
+
+
 def test_odd_vectors(spark):
     rows = [
         (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
