@@ -8,8 +8,11 @@ along the document at that offset and compared word by word.
 A document holds an item if, somewhere along it, at least 80 % of ``WINDOW`` consecutive
 words of the item (of all its words, if it has fewer) stand at their places. The masks are
 chosen so that every such overlap has at least one seed (the tests try all ways), so the
-search adds nothing and misses nothing. Items of fewer than ``LEAST_WORDS`` words are too
-short to tell and are never found.
+search adds nothing and misses nothing.
+
+Items of fewer than ``LEAST_WORDS`` words also stand in texts that never saw the benchmark.
+A document holds such an item only if its whole text is the item, word by word; inside a
+longer text they are not looked for, and ``short_items`` names them.
 """
 
 from __future__ import annotations
@@ -73,7 +76,23 @@ def item_tokens(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     rows = benchmark.where(F.col(text).isNotNull()).select(
         F.col(item).alias("item_id"), words(text).alias("item_tokens")
     )
-    return rows.where(F.size("item_tokens") >= LEAST_WORDS).distinct()
+    return rows.where(F.size("item_tokens") > 0).distinct()
+
+
+def short_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """``(item_id, words)``: items that are found as whole texts only or, without a word or
+    null, not at all."""
+    count = F.coalesce(F.size(words(text)), F.lit(0))
+    rows = benchmark.select(F.col(item).alias("item_id"), F.when(F.col(text).isNull(), 0).otherwise(count).alias("words"))
+    return rows.where(F.col("words") < LEAST_WORDS)
+
+
+def whole_texts(rows: DataFrame, short: DataFrame) -> DataFrame:
+    """``(k0, k1, item_id, start, words, matches)``: the texts that are a short item."""
+    brief = rows.where(F.size("tokens").between(1, LEAST_WORDS - 1)).distinct()
+    found = brief.join(if_small(short), F.col("tokens") == F.col("item_tokens"))
+    size = F.size("item_tokens")
+    return found.select("k0", "k1", "item_id", F.lit(0).alias("start"), size.alias("words"), size.alias("matches"))
 
 
 def leaks(
@@ -86,6 +105,7 @@ def leaks(
     is or would be; of several places the one with most matches, then the first.
     """
     items = saved(item_tokens(benchmark, item, item_text), "items")
+    short, items = items.where(F.size("item_tokens") < LEAST_WORDS), items.where(F.size("item_tokens") >= LEAST_WORDS)
     grams = saved(positions(items, "item_tokens", ["item_id"]), "grams")
     seeds = saved(
         seeds_of(grams, ["item_id"]).select("seed", "item_id", F.col("pos").alias("at")).distinct(), "seeds"
@@ -120,6 +140,9 @@ def leaks(
     )
     found = near.withColumn("best", best).where(F.col("best") >= F.ceil(F.lit(SIMILARITY) * width - F.lit(1e-9)))
     found = found.withColumn("matches", F.aggregate("same", F.lit(0), add))
+    found = found.select("k0", "k1", "item_id", "start", "words", "matches")
+    if short.limit(1).count():
+        found = found.union(whole_texts(rows, short))
     first = F.struct("matches", -F.col("start"))
     return found.groupBy("k0", "k1", "item_id").agg(
         F.max_by("start", first).alias("start"),

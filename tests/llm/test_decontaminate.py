@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from llm_words import no_documents, odd, prose  # noqa: F401
 from daybook.llm import decontaminate
-from daybook.llm.decontaminate import LEAST_WORDS, MASKS, SPAN, WINDOW, decontaminated, leaking_documents
+from daybook.llm.decontaminate import LEAST_WORDS, MASKS, SPAN, WINDOW, decontaminated, leaking_documents, short_items
 
 
 def test_every_overlap_has_a_seed():
@@ -82,3 +82,19 @@ def test_empty_tables(spark, odd, no_documents):
     some = spark.createDataFrame([(1, prose(1, 120))], "item_id long, text string")
     assert leaking_documents(no_documents, some).collect() == []
     assert {r.doc_id for r in leaking_documents(odd, some).collect()} == {0, 1, 2}
+
+
+def test_short_items_are_found_as_whole_texts(spark, monkeypatch):
+    items = [(1, "What is it?"), (2, "yes"), (3, prose(9, 7)), (4, "--"), (5, None), (6, prose(10, 8)), (None, "Yes.")]
+    docs = [(1, "what IS it"), (2, "What is it? No."), (3, "Yes!"), (3, "Yes!"), (4, prose(9, 7)), (5, "--"), (6, None)]
+    docs += [(7, "it is what"), (8, "x " + prose(9, 7)), (9, prose(10, 8)), (10, "")]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    wanted = [(1, 1, 0, 3, 3), (3, 2, 0, 1, 1), (3, 2, 0, 1, 1), (3, None, 0, 1, 1), (3, None, 0, 1, 1)]
+    wanted += [(4, 3, 0, 7, 7), (9, 6, 0, 8, 8)]
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    for bound in (decontaminate.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", bound)
+        assert sorted(map(tuple, leaking_documents(documents, benchmark).collect()), key=key) == sorted(wanted, key=key)
+        assert {r.doc_id for r in decontaminated(documents, benchmark).collect()} == {2, 5, 6, 7, 8, 10}
+    assert {tuple(r) for r in short_items(benchmark).collect()} == {(1, 3), (2, 1), (3, 7), (4, 0), (5, 0), (None, 1)}
