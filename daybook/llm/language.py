@@ -197,6 +197,18 @@ def with_language(documents: DataFrame, model: Model, text: str = "text") -> Dat
     return rows.select("given.*", "predicted.lang_pred", "predicted.score")
 
 
+def with_letters(documents: DataFrame, text: str = "text") -> DataFrame:
+    """The ``documents`` whose text has a letter, in the sense of the features; nothing needs
+    to have been learned."""
+
+    @F.pandas_udf("boolean")
+    def lettered(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(t) and bool(letters_of(t).any()) for t in texts], dtype=bool)
+
+    rows = given(documents, words=F.col(text))
+    return rows.where(lettered("words")).select("given.*")
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows that are never trained on: a quarter, by a checksum of the key."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))

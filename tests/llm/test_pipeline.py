@@ -3,11 +3,13 @@ from collections import Counter
 
 import pytest
 from llm_words import prose
+from pyspark.sql import functions as F
 from test_simhash import least_reachable, plain_fingerprint
 
 import corpus_pipeline
 from daybook.llm import common, decontaminate
 from daybook.llm.common import saved
+from daybook.llm.language import held_out
 
 ENGLISH = "the of and in to that is was for with this from they have were which their would there been".split()
 
@@ -67,6 +69,13 @@ def test_the_same_beyond_the_bound_of_a_broadcast(spark, tables, monkeypatch):
         assert Counter(stages[name](spark, docs, tables).collect()) == rows
 
 
+def test_lettered_texts_stay_if_nothing_was_learned(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    for unlabelled in (docs.withColumn("lang", F.lit(None).cast("string")), docs.where(held_out())):
+        got = Counter(corpus_pipeline.language_id(spark, unlabelled, tables).collect())
+        assert got == Counter(r for r in unlabelled.collect() if re.search(r"[^\W\d_]", r.text or "")) and got
+
+
 def test_empty_documents(spark, tables, tmp_path):
     docs = spark.read.parquet(f"{tables}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
