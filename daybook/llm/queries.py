@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.align import alignments
 from daybook.llm.chat import collapsed
 from daybook.llm.common import table
 from daybook.llm.decontaminate import leaking_documents
 from daybook.llm.embedding import near_vectors
 from daybook.llm.language import held_out, train, with_language
 from daybook.llm.mix import mixed
+from daybook.llm.runs import without_runs
 from daybook.llm.shard import shuffled_into_shards
 from daybook.llm.simhash import simhash_groups
 from daybook.llm.suffix_dedup import without_repeats
+from daybook.llm.token_files import read_tokens, write_tokens
 from daybook.llm.url_filter import judged, rules_of
 from daybook.llm.warc import page_records, read_warc, write_warc
 from daybook.workspace import scratch_folder
@@ -113,6 +116,69 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+WORDS = r"[\x20\x09-\x0D]+"
+
+
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """The texts that the contract sets: one in ten documents repeats, from a word on, the words
+    from there to some words later until its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = documents.select("doc_id", "text", h.alias("h"), F.expr("CAST(crc32(CAST(doc_id AS STRING)) DIV 10 AS LONG)").alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.filter(F.split("text", WORDS), lambda w: w != ""))
+    rows = rows.withColumn("words", words).withColumn("n", F.size("words").cast("long"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    head = F.slice("words", F.lit(1), F.col("a").cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    period = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), (F.col("n") - F.col("a")).cast("int"))
+    planted = F.array_join(F.concat(head, tail), " ")
+    return rows.select("doc_id", F.when(F.col("p").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.concat_ws("", F.transform(lines, lambda line: F.concat(line, F.lit("\n"))))
+    longest = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")),
+        )
+    )
+    found = found.withColumn("top", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.s")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.p")).alias("period"),
+        F.expr("1000 * top.length DIV -top.p").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_folder(spark, "tokens")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    files = read_tokens(spark, path, "key long, start long, n_tokens long, id_bytes binary")
+    return files.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("id_bytes").alias("ids_crc32"))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignments(table(spark, sf_dir, "documents").select("doc_id", "text"), a, b, digest="sha2(groups, 256)")
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_warc": op2_warc,
@@ -124,6 +190,9 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_vectors": op9_vectors,
     "op10_mix": op10_mix,
+    "op11_runs": op11_runs,
+    "op12_tokens": op12_tokens,
+    "op13_align": op13_align,
 }
 
 ORACLE_SQL = {

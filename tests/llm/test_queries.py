@@ -35,6 +35,15 @@ COLUMNS = {
         "doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint",
         "source": "string",
     },
+    "op11_runs": {
+        "doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+        "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string",
+    },
+    "op12_tokens": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    "op13_align": {
+        "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
+        "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string",
+    },
 }
 
 
