@@ -40,7 +40,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from daybook.llm.common import given
-from daybook.llm.units import Remembered, cut_units, gathered, loaded_once, slices
+from daybook.llm.units import UnitIds, cut_units, gathered, loaded_once, slices
 
 SCHEMA = "key long, start long, n_tokens long, ids array<int>, id_bytes binary"
 MANIFEST = "_manifest.json"
@@ -64,7 +64,18 @@ def tokenizer_of(path: str, special: bool):
 
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = not special
-    return made
+    return made, byte_sizes(made)
+
+
+def byte_sizes(tokenizer) -> np.ndarray:
+    """How many bytes each id of a byte-level tokenizer stands for: a character of an entry is a
+    byte, but those of added tokens are themselves."""
+    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for entry, number in tokenizer.get_vocab(with_added_tokens=False).items():
+        sizes[number] = len(entry)
+    for number, token in tokenizer.get_added_tokens_decoder().items():
+        sizes[number] = len(token.content.encode())
+    return sizes
 
 
 def with_token_ids(
@@ -85,25 +96,28 @@ def with_token_ids(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        made = loaded_once(f"{tokenizer} {special}", lambda: tokenizer_of(tokenizer, special))
+        made, id_bytes = loaded_once(f"{tokenizer} {special}", lambda: tokenizer_of(tokenizer, special))
 
-        def encoded(units: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, np.int32) for e in made.encode_batch(units, add_special_tokens=False)]
+        def encoded(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in made.encode_batch(texts, add_special_tokens=False)]
 
-        # at the start of a text a unit has no space before it
-        inner, outer = Remembered(lambda units: encoded([" " + u for u in units])), Remembered(encoded)
+        inner = UnitIds(encoded, id_bytes, " ")
         end = np.array([] if end_id is None else [end_id], np.int32)
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 part = batch.slice(low, high - low)
                 words, units, ends = cut_units(part.column(1))
+                flat, starts, sizes = inner.of(words.to_pylist())
+                # at the start of a text a unit has no space before it; after the last comes the end
                 first = np.r_[0, ends[:-1]]
-                heads = sorted({int(u) for u in units[first]})
-                ids = [*inner.of(words), *outer.of([words[u] for u in heads]), end]
-                units[first] = len(words) + np.searchsorted(heads, units[first])
-                units = np.insert(units, ends, len(ids) - 1)
-                sizes = np.array([len(x) for x in ids])
-                flat = np.concatenate(ids)[gathered(np.cumsum(sizes) - sizes, sizes, units)]
+                heads = encoded(words.take(pa.array(units[first])).to_pylist())
+                heads = [np.array([*h], np.int32) for h in heads] + [end]
+                more = np.array([len(h) for h in heads])
+                starts = np.r_[starts, len(flat) + np.cumsum(more) - more]
+                sizes, flat = np.r_[sizes, more], np.concatenate([flat, *heads])
+                units[first] = len(words) + np.arange(len(first))
+                units = np.insert(units, ends, len(sizes) - 1)
+                flat = flat[gathered(starts, sizes, units)]
                 upto = np.cumsum(sizes[units])[ends + np.arange(len(ends))]
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, upto], pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["given", "ids"])

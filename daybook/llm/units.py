@@ -17,41 +17,47 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BYTES_AT_ONCE = 2 << 20
+BYTES_AT_ONCE = 4 << 20
 """Texts that are cut together; a longer one by itself."""
-REMEMBERED = 1 << 19
-"""Units whose results a task keeps at most; then it forgets them all and starts anew."""
+REMEMBERED = 1 << 18
+"""Units whose ids a task keeps, give or take a batch; then it forgets them all and starts anew."""
 LONGEST_REMEMBERED = 64
-"""Characters of a unit whose result is kept."""
+"""Characters of a unit that is looked up again."""
+JOINED = 2048
+"""Units that are encoded as one text."""
+MARKS = {"\u180e", "\u2581"}
+"""Characters that are spaces to some."""
 
 
-def blank(char: str) -> bool:
-    """Spaces of any kind, and what older tables call one."""
-    return char.isspace() or char == "\u180e"
+BLANK = r"[\p{Z}\x09-\x0D\x1C-\x1F\x{85}\x{180E}]"
+"""Spaces of any kind, and what older tables call one."""
 
 
-def cut_units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The different units of ``texts`` (none of them null), the numbers of all units in order,
-    and where each text's units end. An empty text is one empty unit."""
+def cut_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Units of ``texts`` (none of them null), different ones apart from rare repeats; the
+    numbers of all units in order; and where each text's units end. An empty text is one empty
+    unit."""
     lists = pc.split_pattern(texts, " ")
     coded = lists.flatten().dictionary_encode()
-    words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    words, codes = coded.dictionary, coded.indices.to_numpy()
     ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
-    head = np.array([not w or blank(w[0]) for w in words], bool)[codes]
-    tail = np.array([not w or blank(w[-1]) for w in words], bool)[codes]
+    head, tail = (
+        pc.match_substring_regex(words, p).to_numpy(zero_copy_only=False)[codes]
+        for p in (rf"\A(?:\z|{BLANK})", rf"(?:\A|{BLANK})\z")
+    )
     first = np.ones(len(codes), bool)
     first[1:] = ~(tail[:-1] | head[1:])
     first[np.r_[0, ends[:-1]][: len(ends)]] = True
     at = np.flatnonzero(first)
     upto = np.r_[at[1:], len(codes)]
     units = codes[at].astype(np.int64)
-    known = {w: k for k, w in enumerate(words)}
-    for k in np.flatnonzero(upto - at > 1):
-        glued = " ".join([words[c] for c in codes[at[k] : upto[k]]])
-        if glued not in known:
-            known[glued] = len(words)
-            words.append(glued)
-        units[k] = known[glued]
+    long_ones = np.flatnonzero(upto - at > 1)
+    if len(long_ones):
+        glued: dict[str, int] = {}
+        for k in long_ones:
+            text = " ".join(words.take(pa.array(codes[at[k] : upto[k]])).to_pylist())
+            units[k] = glued.setdefault(text, len(words) + len(glued))
+        words = pa.concat_arrays([words, pa.array(list(glued), words.type)])
     return words, units, np.searchsorted(at, ends)
 
 
@@ -64,22 +70,68 @@ def loaded_once(key: Hashable, load: Callable[[], object]) -> object:
     return held[key]
 
 
-class Remembered:
-    """Results by unit, computed for those that are new."""
-
-    def __init__(self, results: Callable[[list[str]], list]):
-        self.results, self.known = results, {}
-
-    def of(self, words: list[str]) -> list:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        out = [self.known.get(w) for w in words]
-        new = [k for k, x in enumerate(out) if x is None]
-        for k, x in zip(new, self.results([words[k] for k in new]) if new else [], strict=True):
-            out[k] = x
-            if len(words[k]) <= LONGEST_REMEMBERED:
-                self.known[words[k]] = x
-        return out
+class UnitIds:
+    """The ids of units, each with a space ahead, one after the other in ``flat``.
+
+    ``encode`` gives the ids of several texts, ``sizes`` the bytes of every id. Many units are
+    encoded as one text, as no token reaches across them; where the ids' bytes do not tell the
+    units apart, one by one. ``lead`` is what the text of a unit needs before it.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], sizes: np.ndarray, lead: str):
+        self.encode, self.bytes, self.lead = encode, sizes, lead
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = [], [np.zeros(1, np.int64)]
+        self.count = self.total = 0
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(flat, starts, sizes)``: where the ids of each of ``words`` lie."""
+        if self.count > REMEMBERED:
+            self.forget()
+        known = self.known
+        index = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(index < 0)
+        if len(new):
+            index[new] = np.arange(self.count, self.count + len(new))
+            self.add([words[k] for k in new.tolist()])
+        self.flat, self.ends = [np.concatenate(self.flat)], [np.concatenate(self.ends)]
+        starts = self.ends[0][index]
+        return self.flat[0], starts, self.ends[0][index + 1] - starts
+
+    def add(self, units: list[str]) -> None:
+        joinable = [k for k, u in enumerate(units) if u and not (u[0].isspace() or u[-1].isspace() or MARKS & {u[0], u[-1]})]
+        sizes, parts = np.zeros(len(units), np.int64), []
+        alone = sorted(set(range(len(units))) - set(joinable))
+        for at in range(0, len(joinable), JOINED):
+            chosen = joinable[at : at + JOINED]
+            own = [units[k] for k in chosen]
+            ids = np.array(self.encode([self.lead + " ".join(own)])[0], np.int32)
+            ends = np.cumsum([len(u.encode()) + 1 for u in own])
+            after = np.cumsum(self.bytes[ids])
+            place = np.searchsorted(after, ends)
+            if len(ids) and after[-1] == ends[-1] and (after[place] == ends).all():
+                counts = np.diff(np.r_[-1, place])
+                parts.append((chosen, ids, counts))
+            else:
+                alone += chosen
+        for at in range(0, len(alone), JOINED):
+            chosen = alone[at : at + JOINED]
+            found = self.encode([self.lead + units[k] for k in chosen])
+            parts.append((chosen, np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found])))
+        order = np.concatenate([np.array(c, np.int64) for c, _, _ in parts])
+        sizes[order] = counts = np.concatenate([n for _, _, n in parts])
+        flat = np.concatenate([i for _, i, _ in parts])
+        place = np.empty(len(units), np.int64)
+        place[order] = np.cumsum(counts) - counts
+        self.flat.append(flat[gathered(place, sizes, np.arange(len(units)))])
+        self.ends.append(self.total + np.cumsum(sizes))
+        for k, unit in enumerate(units):
+            if len(unit) <= LONGEST_REMEMBERED:
+                self.known[unit] = self.count + k
+        self.count, self.total = self.count + len(units), self.total + len(flat)
 
 
 def slices(texts: pa.Array, most: int = BYTES_AT_ONCE) -> Iterator[tuple[int, int]]:

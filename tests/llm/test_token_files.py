@@ -12,7 +12,7 @@ from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm.token_files import TokenSource, manifest_of, read_tokens, with_token_ids, write_tokens
-from daybook.llm.units import Remembered, cut_units
+from daybook.llm.units import UnitIds, cut_units
 from daybook.settings import setting
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -36,22 +36,32 @@ def test_units_have_the_ids_of_the_text(special):
     words, units, ends = cut_units(pa.array(texts))
     first = 0
     for text, last, whole in zip(texts, ends, made.encode_batch(texts, add_special_tokens=False), strict=True):
-        own = [words[u] for u in units[first:last]]
+        own = [words[int(u)].as_py() for u in units[first:last]]
         first = last
         assert " ".join(own) == text
         parts = [own[0], *[" " + w for w in own[1:]]]
         assert [i for p in parts for i in made.encode(p, add_special_tokens=False).ids] == whole.ids
 
 
-def test_remembered_units_are_forgotten_and_long_ones_not_kept(monkeypatch):
+def test_unit_ids_are_looked_up_forgotten_and_told_apart(monkeypatch):
+    """Units that several texts share are encoded once; an encoder whose ids do not tell where
+    units end is asked for each."""
     monkeypatch.setattr("daybook.llm.units.REMEMBERED", 3)
     asked = []
-    held = Remembered(lambda words: asked.append(words) or [len(w) for w in words])
-    assert held.of(["a", "bb", "x" * 100]) == [1, 2, 100]
-    assert held.of(["a", "x" * 100, "ccc", "dddd"]) == [1, 100, 3, 4]
-    assert asked[1] == ["x" * 100, "ccc", "dddd"] and "x" * 100 not in held.known
-    held.of(["e"])
-    assert list(held.known) == ["e"]
+
+    def letters(texts):
+        asked.extend(texts)
+        return [[ord(c) for c in t] for t in texts]
+
+    held = UnitIds(letters, np.ones(128, np.int64), " ")
+    for words in (["a", "bb", "x" * 100], ["bb", "x" * 100, "dddd"], ["e ", "", "a", "f", "a"]):
+        flat, starts, sizes = held.of(words)
+        got = ["".join(map(chr, flat[s : s + n])) for s, n in zip(starts, sizes, strict=True)]
+        assert got == [" " + w for w in words]
+    assert asked[:2] == [" a bb " + "x" * 100, " " + "x" * 100 + " dddd"]
+    odd_one = UnitIds(lambda texts: [[len(t)] for t in texts], np.full(128, 2), " ")
+    flat, starts, sizes = odd_one.of(["aa", "b"])
+    assert [flat[s : s + n].tolist() for s, n in zip(starts, sizes, strict=True)] == [[3], [2]]
 
 
 def expected(rows):
