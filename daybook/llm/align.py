@@ -67,7 +67,7 @@ class Pair:
         return piece.replace(MARK, " ").encode()
 
     def ids_of_a(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids_of_b(self, texts: list[str]) -> list[list[int]]:
         return self.b.encode(texts, num_threads=1)
@@ -96,8 +96,8 @@ class Aligned:
     Units that their tokens do not give back are not ``valid`` and have none of these.
     """
 
-    def __init__(self, units: list[str], a: UnitIds, b: UnitIds, pair: Pair):
-        whole = [b" " + u.encode() for u in units]
+    def __init__(self, units: pa.Array, a: UnitIds, b: UnitIds, pair: Pair):
+        whole = [b" " + u for u in units.cast(pa.binary()).to_pylist()]
         sides = []
         self.valid = np.ones(len(units), bool)
         for store, table in ((a, pair.a_bytes), (b, pair.b_bytes)):
@@ -194,7 +194,7 @@ def aligned_texts(texts: DataFrame, a: str, b: str) -> DataFrame:
             for low, high in slices(batch.column(2)):
                 part = batch.slice(low, high - low)
                 words, chosen, ends = cut_units(part.column(2))
-                units = Aligned(words.to_pylist(), *stores, pair)
+                units = Aligned(words, *stores, pair)
                 first = np.r_[0, ends[:-1]]
                 valid = np.minimum.reduceat(units.valid[chosen], first)
                 sums = [

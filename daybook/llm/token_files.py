@@ -99,7 +99,7 @@ def with_token_ids(
         made, id_bytes = loaded_once(f"{tokenizer} {special}", lambda: tokenizer_of(tokenizer, special))
 
         def encoded(texts: list[str]) -> list[list[int]]:
-            return [e.ids for e in made.encode_batch(texts, add_special_tokens=False)]
+            return [e.ids for e in made.encode_batch_fast(texts, add_special_tokens=False)]
 
         inner = UnitIds(encoded, id_bytes, " ")
         end = np.array([] if end_id is None else [end_id], np.int32)
@@ -107,7 +107,7 @@ def with_token_ids(
             for low, high in slices(batch.column(1)):
                 part = batch.slice(low, high - low)
                 words, units, ends = cut_units(part.column(1))
-                flat, starts, sizes = inner.of(words.to_pylist())
+                flat, starts, sizes = inner.of(words)
                 # at the start of a text a unit has no space before it; after the last comes the end
                 first = np.r_[0, ends[:-1]]
                 heads = encoded(words.take(pa.array(units[first])).to_pylist())

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Hashable, Iterator
+from itertools import repeat
 from types import ModuleType
 
 import numpy as np
@@ -21,16 +22,16 @@ BYTES_AT_ONCE = 4 << 20
 """Texts that are cut together; a longer one by itself."""
 REMEMBERED = 1 << 18
 """Units whose ids a task keeps, give or take a batch; then it forgets them all and starts anew."""
-LONGEST_REMEMBERED = 64
-"""Characters of a unit that is looked up again."""
+LONGEST_REMEMBERED = 128
+"""Bytes of a unit that is looked up again."""
 JOINED = 2048
 """Units that are encoded as one text."""
-MARKS = {"\u180e", "\u2581"}
-"""Characters that are spaces to some."""
 
 
 BLANK = r"[\p{Z}\x09-\x0D\x1C-\x1F\x{85}\x{180E}]"
 """Spaces of any kind, and what older tables call one."""
+EDGES = rf"\A\z|\A[\x{{2581}}]|\A{BLANK}|{BLANK}\z|[\x{{2581}}]\z"
+"""Units that are not to be joined: empty ones, and those with a space or word mark at an end."""
 
 
 def cut_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -87,50 +88,48 @@ class UnitIds:
         self.flat, self.ends = [], [np.zeros(1, np.int64)]
         self.count = self.total = 0
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(flat, starts, sizes)``: where the ids of each of ``words`` lie."""
         if self.count > REMEMBERED:
             self.forget()
-        known = self.known
-        index = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        index = np.fromiter(map(self.known.get, words.to_pylist(), repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(index < 0)
         if len(new):
             index[new] = np.arange(self.count, self.count + len(new))
-            self.add([words[k] for k in new.tolist()])
+            self.add(words.take(pa.array(new)))
         self.flat, self.ends = [np.concatenate(self.flat)], [np.concatenate(self.ends)]
         starts = self.ends[0][index]
         return self.flat[0], starts, self.ends[0][index + 1] - starts
 
-    def add(self, units: list[str]) -> None:
-        joinable = [k for k, u in enumerate(units) if u and not (u[0].isspace() or u[-1].isspace() or MARKS & {u[0], u[-1]})]
-        sizes, parts = np.zeros(len(units), np.int64), []
-        alone = sorted(set(range(len(units))) - set(joinable))
+    def add(self, words: pa.Array) -> None:
+        """Encodes units and keeps their ids, in order."""
+        units, lengths = words.to_pylist(), pc.binary_length(words).to_numpy()
+        alone = pc.match_substring_regex(words, EDGES).to_numpy(zero_copy_only=False)
+        joinable = np.flatnonzero(~alone)
+        alone, parts = np.flatnonzero(alone).tolist(), []
         for at in range(0, len(joinable), JOINED):
             chosen = joinable[at : at + JOINED]
-            own = [units[k] for k in chosen]
-            ids = np.array(self.encode([self.lead + " ".join(own)])[0], np.int32)
-            ends = np.cumsum([len(u.encode()) + 1 for u in own])
+            text = self.lead + " ".join([units[k] for k in chosen.tolist()])
+            ids = np.array(self.encode([text])[0], np.int32)
+            ends = np.cumsum(lengths[chosen] + 1)
             after = np.cumsum(self.bytes[ids])
             place = np.searchsorted(after, ends)
             if len(ids) and after[-1] == ends[-1] and (after[place] == ends).all():
-                counts = np.diff(np.r_[-1, place])
-                parts.append((chosen, ids, counts))
+                parts.append((chosen, ids, np.diff(np.r_[-1, place])))
             else:
-                alone += chosen
+                alone += chosen.tolist()
         for at in range(0, len(alone), JOINED):
             chosen = alone[at : at + JOINED]
             found = self.encode([self.lead + units[k] for k in chosen])
-            parts.append((chosen, np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found])))
-        order = np.concatenate([np.array(c, np.int64) for c, _, _ in parts])
-        sizes[order] = counts = np.concatenate([n for _, _, n in parts])
-        flat = np.concatenate([i for _, i, _ in parts])
-        place = np.empty(len(units), np.int64)
-        place[order] = np.cumsum(counts) - counts
+            parts.append((np.array(chosen), np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found])))
+        order, flat, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        sizes, place = np.zeros(len(units), np.int64), np.empty(len(units), np.int64)
+        sizes[order], place[order] = counts, np.cumsum(counts) - counts
         self.flat.append(flat[gathered(place, sizes, np.arange(len(units)))])
         self.ends.append(self.total + np.cumsum(sizes))
-        for k, unit in enumerate(units):
-            if len(unit) <= LONGEST_REMEMBERED:
-                self.known[unit] = self.count + k
+        self.known.update(zip(units, range(self.count, self.count + len(units)), strict=True))
+        for k in np.flatnonzero(lengths > LONGEST_REMEMBERED).tolist():
+            del self.known[units[k]]
         self.count, self.total = self.count + len(units), self.total + len(flat)
 
 

@@ -54,13 +54,13 @@ def test_unit_ids_are_looked_up_forgotten_and_told_apart(monkeypatch):
         return [[ord(c) for c in t] for t in texts]
 
     held = UnitIds(letters, np.ones(128, np.int64), " ")
-    for words in (["a", "bb", "x" * 100], ["bb", "x" * 100, "dddd"], ["e ", "", "a", "f", "a"]):
-        flat, starts, sizes = held.of(words)
+    for words in (["a", "bb", "x" * 200], ["bb", "x" * 200, "dddd"], ["e ", "", "a", "f", "a"]):
+        flat, starts, sizes = held.of(pa.array(words))
         got = ["".join(map(chr, flat[s : s + n])) for s, n in zip(starts, sizes, strict=True)]
         assert got == [" " + w for w in words]
-    assert asked[:2] == [" a bb " + "x" * 100, " " + "x" * 100 + " dddd"]
+    assert asked[:2] == [" a bb " + "x" * 200, " " + "x" * 200 + " dddd"]
     odd_one = UnitIds(lambda texts: [[len(t)] for t in texts], np.full(128, 2), " ")
-    flat, starts, sizes = odd_one.of(["aa", "b"])
+    flat, starts, sizes = odd_one.of(pa.array(["aa", "b"]))
     assert [flat[s : s + n].tolist() for s, n in zip(starts, sizes, strict=True)] == [[3], [2]]
 
 
