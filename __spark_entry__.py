@@ -33,7 +33,7 @@ from daybook.operators import (
     post_load_report,
     preview,
 )
-from daybook.plans import ledger
+from daybook.plans import ChangedFileError, ledger
 from daybook.settings import listing_in_few_tasks
 from daybook.sources import export_days, list_files, partition_keys, read_days
 from daybook.sources.landing import DAY, with_datestr
@@ -425,6 +425,39 @@ def interrupted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_contents(result_of(spark, every))
 
 
+def odd_header_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load among whose files the earliest has other columns: the others are loaded, and
+    it is noted in the ledger, here as a day with no rows."""
+    root = scratch_folder(spark, "landing")
+    rows = table(spark, sf_dir, "events")
+    export_days(rows, F.col("ts"), root)
+    first = rows.agg(F.min("ts").cast("date")).scalar()
+    odd = rows.where(F.col("ts").cast("date") == first).withColumnRenamed("event_type", "kind")
+    export_days(odd, F.date_sub(F.col("ts"), 1), root)
+    spec = replace(event_spec(spark, root), staging=None)
+    run(spark, spec)
+    refused = ledger.refused_files(spark, spec).select(F.col("file_value").alias(DAY), F.lit(0).cast("long"))
+    return partition_counts(result_of(spark, spec)).union(refused)
+
+
+def same_name_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the names and lengths of loaded ones in another folder, with other rows: a run
+    takes them for what they are, and loading them by hand replaces their days."""
+    root = scratch_folder(spark, "landing")
+    rows = table(spark, sf_dir, "events")
+    export_days(rows, F.col("ts"), root)
+    other = rows.withColumn("event_type", F.reverse("event_type"))
+    export_days(other, F.col("ts"), root, F.lit("other"))
+    spec = replace(event_spec(spark, root), staging=None)
+    run(spark, spec)
+    elsewhere = replace(spec, inbound=f"{root}/other")
+    try:
+        run(spark, elsewhere)
+    except ChangedFileError:
+        load_files(spark, elsewhere, list_files(spark, elsewhere.inbound))
+    return result_of(spark, spec).groupBy(DAY, "event_type").agg(F.count("*").alias("row_count"))
+
+
 def landing_files_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sub-folders, also of the form ``key=value``, hide no file and add none."""
     root = scratch_folder(spark, "landing")
@@ -537,6 +570,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drain_split_days": drain_split_days,
         "replace_after_mixed_append": replace_after_mixed_append,
         "interrupted_load": interrupted_load,
+        "odd_header_load": odd_header_load,
+        "same_name_load": same_name_load,
         "landing_files_nested": landing_files_nested,
         "pending_by_ledger": pending_by_ledger,
         "report_on_days": report_on_days,
@@ -662,6 +697,12 @@ def oracle_sql() -> dict[str, str]:
         "replace_after_mixed_append": f"""
             SELECT {_DS} AS datestr, 2 * count(*) AS row_count FROM events GROUP BY 1""",
         "interrupted_load": f"{_CONTENTS} GROUP BY 1",
+        "odd_header_load": f"""
+            SELECT {_DS} AS datestr, count(*) AS row_count FROM events GROUP BY 1
+            UNION ALL SELECT CAST(strftime(min(ts) - INTERVAL 1 DAY, '%Y%m%d') AS INTEGER), 0 FROM events""",
+        "same_name_load": f"""
+            SELECT {_DS} AS datestr, reverse(event_type) AS event_type, count(*) AS row_count
+            FROM events GROUP BY 1, 2""",
         "landing_files_nested": f"SELECT DISTINCT {_FN} AS file_name FROM events",
         "pending_by_ledger": f"""
             SELECT DISTINCT {_FN} AS file_name, {_DS} AS file_value

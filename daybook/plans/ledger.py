@@ -13,16 +13,18 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.plans.spec import LoadSpec
 from daybook.sources import partition_keys
+from daybook.sources.catalogue import content_digests
 from daybook.sources.landing import DAY, file_frame, read_if_there
 
 SCHEMA = (
     "file_name string, file_value int, origin string, path string, length long, "
-    "modified timestamp, fed array<int>, load_id string, state string, at timestamp"
+    "modified timestamp, fed array<int>, load_id string, state string, at timestamp, digest string"
 )
 
 # Values of ``origin``.
@@ -34,6 +36,7 @@ TABLE = "table"  # a day that was in the table before it had a ledger; no file n
 STARTED = "started"
 FINISHED = "finished"
 ENDED = "ended"
+REFUSED = "refused"  # a file with other columns, left out of its load
 
 
 class InterruptedLoadError(RuntimeError):
@@ -101,31 +104,73 @@ def without_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(named, "file_name", "left_anti").join(days, "file_value", "left_anti")
 
 
-def changed_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files with the name of a loaded one that are not it.
-
-    A file is the loaded one if it is as long and, where it still lies there, as old.
-    """
+def _met(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Files with the name of a loaded one: ``same`` if it is as long and, where it still lies
+    there, as old; ``moved`` if it lies elsewhere, so that its length tells little."""
     known = ledger.where(F.col("length").isNotNull()).select(
         "file_name",
         F.col("path").alias("_path"),
         F.col("length").alias("_length"),
         F.col("modified").alias("_modified"),
+        F.col("digest").alias("_digest"),
     )
-    moved = F.col("path") != F.col("_path")
-    same = (F.col("length") == F.col("_length")) & (moved | (F.col("modified") == F.col("_modified")))
-    met = files.join(known, "file_name").groupBy("path").agg(F.max(same).alias("same"))
-    return met.where(~F.col("same")).select("path")
+    here, long = F.col("path") == F.col("_path"), F.col("length") == F.col("_length")
+    old = F.col("modified") == F.col("_modified")
+    met = files.join(known, "file_name").groupBy(*files.columns).agg(
+        F.max(here & long & old).alias("same"),
+        F.max(~here & long & F.col("_digest").isNull()).alias("taken"),  # of the time before digests
+        F.collect_set(F.when(~here & long, F.col("_digest"))).alias("digests"),
+    )
+    return met.where(~F.col("same"))
+
 
+def refuse_changed(spark: SparkSession, spec: LoadSpec, files: DataFrame, ledger: DataFrame) -> None:
+    """An error if a file has the name of a loaded one and is not it.
 
-def refuse_changed(files: DataFrame, ledger: DataFrame) -> None:
-    found = changed_files(files, ledger).take(3)
-    if found:
-        names = ", ".join(row["path"] for row in found)
+    A file is the loaded one if it is as long and as old at the same place, or if it lies
+    elsewhere and its lines are the loaded file's. That is looked up once: the place is then
+    noted in the ledger.
+    """
+    met = _met(files, ledger).toArrow()
+    asked = met.filter(pc.and_(pc.invert(met["taken"]), pc.greater(pc.list_value_length(met["digests"]), 0)))
+    found = content_digests(spark, asked["path"].to_pylist(), spec.options)
+    own = [found[p][1] for p in asked["path"].to_pylist()]
+    equal = [d in known for d, known in zip(own, asked["digests"].to_pylist(), strict=True)]
+    moved = asked.append_column("digest", pa.array(own, pa.string())).filter(pa.array(equal, pa.bool_()))
+    known = pc.or_(met["taken"], pc.is_in(met["path"], moved["path"].combine_chunks()))
+    odd = met.filter(pc.invert(known))
+    if odd.num_rows:
+        names = ", ".join(sorted(odd["path"].to_pylist())[:3])
         raise ChangedFileError(
             f"not the files that were loaded under their names: {names}; give them other "
             "names, or load them again with load_files"
         )
+    if moved.num_rows:
+        moved = moved.drop_columns(["same", "taken", "digests"])
+        _append(_line(file_frame(spark, moved), state=FINISHED), spec)
+
+
+def refuse(spark: SparkSession, spec: LoadSpec, files: pa.Table, origin: str) -> None:
+    """Notes files that are left out for their columns, each once as long as it stays as it is."""
+    written = _written(spark, spec)
+    lines = _line(file_frame(spark, files), origin=origin, state=REFUSED)
+    if written is None:
+        lines = lines.union(_day_lines(spark, spec))
+    else:
+        known = written.where(F.col("state") == REFUSED).select("path", "length", "modified")
+        lines = lines.join(known, ["path", "length", "modified"], "left_anti").select(*lines.columns)
+        if not lines.take(1):
+            return
+    _append(lines, spec)
+
+
+def refused_files(spark: SparkSession, spec: LoadSpec) -> DataFrame:
+    """Files that loads have left out for their columns: path, length, time, when."""
+    written = _written(spark, spec)
+    if written is None:
+        written = spark.createDataFrame([], SCHEMA)
+    refused = written.where(F.col("state") == REFUSED)
+    return refused.select("path", "file_name", "file_value", "origin", "length", "modified", "at")
 
 
 def _append(lines: DataFrame, spec: LoadSpec, mode: str = "append") -> None:

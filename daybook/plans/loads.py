@@ -15,7 +15,8 @@ from daybook.operators.files import keyed
 from daybook.plans import ledger, writes
 from daybook.plans.spec import LoadSpec
 from daybook.settings import files_in_few_tasks, listing_in_few_tasks
-from daybook.sources.landing import DAY, file_frame, header_of, list_files, literal, read_days
+from daybook.sources.catalogue import with_headers
+from daybook.sources.landing import DAY, file_frame, list_files, literal, read_days
 from daybook.sources.tables import partition_keys, table_exists
 
 SOURCE_FILE = "_source_file"
@@ -41,7 +42,8 @@ class LoadResult:
                 among the quarantined, with their text; in ``append`` mode they are
                 loaded, cut or filled up with NULL
     days        days of the loaded files
-    refused     files left out because they have other columns than the table
+    refused     files left out because they have other columns than the table; the ledger
+                notes them, and they stay pending
     before      (datestr, row_count) ahead of the write, if asked for
     report      rows per day, total and unique rows of the table, not yet
                 computed: if asked for, and always if there was nothing to load
@@ -92,7 +94,7 @@ def _run(
 
     loaded = ledger.loaded_files(spark, spec)
     if spec.check == "ledger":
-        ledger.refuse_changed(keyed(inbound), loaded)
+        ledger.refuse_changed(spark, spec, keyed(inbound), loaded)
         pending = ledger.without_loaded(_only_latest(inbound, spec), loaded)
     else:
         pending = _past_high_water(spark, spec, inbound, loaded)
@@ -100,15 +102,23 @@ def _run(
     if done.status != "no_files":
         return done
     if not request_load:
-        return LoadResult("already_loaded")
+        return replace(done, status="already_loaded")
     if spec.staging is None:
         raise ValueError("a requested load needs a staging folder")
     staged = keyed(list_files(spark, spec.staging))
-    ledger.refuse_changed(staged, loaded)
+    ledger.refuse_changed(spark, spec, staged, loaded)
     staged = ledger.without_loaded(staged, loaded)
-    pending = _on_day(staged, staged.agg(F.min("file_value")))
-    done = load_files(spark, spec, pending, origin=ledger.STAGING, pre_status=pre_status)
-    return done if done.status != "no_files" else LoadResult("nothing_staged")
+    refused: tuple[str, ...] = ()
+    while True:
+        pending = _on_day(staged, staged.agg(F.min("file_value")))
+        done = load_files(spark, spec, pending, origin=ledger.STAGING, pre_status=pre_status)
+        refused += done.refused
+        if done.status != "no_files":
+            return replace(done, refused=refused)
+        if not done.refused:
+            return LoadResult("nothing_staged", refused=refused)
+        # a day that has only files with other columns holds up none after it
+        staged = staged.where(~F.col("file_name").isin(*done.refused))
 
 
 def load_files(
@@ -179,25 +189,34 @@ def _load_files(
             fresh = pc.invert(pc.is_in(chosen["file_value"], pa.array(again, pa.int32())))
             chosen = chosen.filter(fresh)
 
+    files, names = with_headers(spark, pa.concat_tables([redone, chosen]), spec.options)
+    redone, chosen = files.slice(0, redone.num_rows), files.slice(redone.num_rows)
+    known = _columns(spark, spec, created, files, names)
+    odd = pa.array([h for h, own in names.items() if sorted(own) != sorted(known)], pa.string())
+    stuck = redone.filter(pc.is_in(redone["header"], odd))
+    if stuck.num_rows:
+        raise writes.SchemaMismatchError(
+            f"{stuck['path'][0]} belongs to a day that is to be replaced and has the columns "
+            f"{names[stuck['header'][0].as_py()]}, not {known}"
+        )
+    out = chosen.filter(pc.is_in(chosen["header"], odd))
+    chosen = chosen.filter(pc.invert(pc.is_in(chosen["header"], odd)))
+    refused = tuple(sorted(out["file_name"].to_pylist()))
+    if not redone.num_rows and not chosen.num_rows:
+        if not created:
+            ledger.refuse(spark, spec, out, origin)
+        return LoadResult("no_files", refused=refused)
+
     before: list[Row] = []
     if pre_status and not created:
         before = partition_counts(spark.table(spec.table)).orderBy(DAY).collect()
     batches = [(redone, "replace"), (chosen, "create" if created else "append")]
-    batches = [(f, how, _read_batch(spark, spec, f, created)) for f, how in batches if f.num_rows]
-    files = pa.concat_tables([f for f, _, _ in batches])
+    batches = [(f, how) for f, how in batches if f.num_rows]
+    files = pa.concat_tables([f for f, _ in batches])
     load_id = ledger.start(spark, spec, created, files, origin)
-    seen, refused = [], set()
-    for part, how, batch in batches:
-        try:
-            seen.append(_write(spark, spec, part, how, batch))
-        except Exception as error:
-            if "header" not in str(error):
-                raise
-            part, batch, odd = _by_header(spark, spec, part, created, how)
-            refused |= odd
-            seen.append(_write(spark, spec, part, how, batch, by_header=True))
-    loaded = [name not in refused for name in files["file_name"].to_pylist()]
-    files = files.filter(pa.array(loaded))
+    if out.num_rows:
+        ledger.refuse(spark, spec, out, origin)
+    seen = [_write(spark, spec, part, how, names, known) for part, how in batches]
     fed = {(x["file"], x["day"]) for line in seen for x in line["foreign"]}
     ledger.finish(spark, spec, _with_days(files, fed), origin, load_id)
     ledger.end(spark, spec, begun)
@@ -214,20 +233,43 @@ def _load_files(
         max_datestr=max(highs, default=None),
         malformed=sum(line["malformed"] for line in seen),
         days=tuple(sorted(set(files["file_value"].to_pylist()))),
-        refused=tuple(sorted(refused)),
+        refused=refused,
         before=before,
     )
 
 
+def _columns(
+    spark: SparkSession, spec: LoadSpec, created: bool, files: pa.Table, names: dict[str | None, list[str]]
+) -> list[str]:
+    """The data columns that files need: the table's, or for a new one those of the spec, or
+    those that most files have, in the order of the earliest such file."""
+    if not created:
+        return [c for c in spark.table(spec.table).columns if c != DAY]
+    if spec.columns is not None:
+        return list(spec.columns)
+    held: dict[tuple[str, ...], list[str]] = {}
+    for path, header in sorted(zip(files["path"].to_pylist(), files["header"].to_pylist(), strict=True)):
+        held.setdefault(tuple(sorted(names[header])), []).append(header)
+    most = max(len(h) for h in held.values())
+    often = [h for h in held.values() if len(h) == most]
+    if len(often) > 1:
+        raise writes.SchemaMismatchError(
+            f"as many files have the columns {names[often[0][0]]} as {names[often[1][0]]}; "
+            "name the table's with LoadSpec.columns"
+        )
+    return names[often[0][0]]
+
+
 def _write(
     spark: SparkSession,
     spec: LoadSpec,
     files: pa.Table,
     how: str,
-    batch: DataFrame,
-    by_header: bool = False,
+    names: dict[str | None, list[str]],
+    known: list[str],
 ) -> dict:
     """Write the files' rows one way, and what is left over to the quarantine."""
+    batch = _read_batch(spark, spec, files, names, known)
     own_day = _own_day(spec)
     # Observed after the shuffle, if there is one: what the write's own tasks
     # count is counted once, also when a lost executor's shuffle output is redone.
@@ -249,9 +291,7 @@ def _write(
             writes.clear_quarantine(spark, spec, days - stray_days)
         if seen["strays"]:
             odd = files.filter(pc.is_in(files["file_value"], pa.array(stray_days, pa.int32())))
-            if not by_header:
-                batch = _read_batch(spark, spec, odd, created=False)
-            batch = batch.where(F.col(writes.SOURCE_DAY).isin(*stray_days))
+            batch = _read_batch(spark, spec, odd, names, known).where(F.col(writes.SOURCE_DAY).isin(*stray_days))
             writes.quarantine(batch.where(~own_day), spec, added=how == "append")
     return seen
 
@@ -313,58 +353,29 @@ def _clear_emptied(spark: SparkSession, spec: LoadSpec, days: set[int]) -> None:
 
 
 def _read_batch(
-    spark: SparkSession, spec: LoadSpec, files: pa.Table, created: bool
-) -> DataFrame:
-    """The files' rows in the table's column order (the header's, if it is new).
-
-    Columns are matched by name against the first file's header; a file with
-    another header than that fails the read. Each row also has its file's name and
-    day, and the text of a malformed row; the day of files of one day is a literal.
-    """
-    paths, days = files["path"].to_pylist(), pc.unique(files["file_value"])
-    header = header_of(spark, literal(min(paths)), spec.options)
-    known = header if created else spark.table(spec.table).columns
-    day = F.lit(days[0].as_py()) if len(days) == 1 else file_key(SOURCE_FILE)
-    return _read_alike(spark, spec, paths, header, known).withColumn(writes.SOURCE_DAY, day)
-
-
-def _read_alike(
-    spark: SparkSession, spec: LoadSpec, paths: list[str], header: list[str], known: list[str]
+    spark: SparkSession,
+    spec: LoadSpec,
+    files: pa.Table,
+    names: dict[str | None, list[str]],
+    known: list[str],
 ) -> DataFrame:
-    """Files of one header, in the order of the ``known`` columns."""
-    paths = [literal(p) for p in paths]
-    batch = read_days(
-        spark, paths, spec.day_column, header, SOURCE_FILE, MALFORMED, spec.options
-    )
-    columns = [c for c in known if c != DAY]
-    return writes.align(batch, [*columns, SOURCE_FILE, MALFORMED, DAY])
-
-
-def _by_header(
-    spark: SparkSession, spec: LoadSpec, files: pa.Table, created: bool, how: str
-) -> tuple[pa.Table, DataFrame, set[str]]:
-    """The files read by groups of equal headers, after a read found that they differ.
+    """The files' rows with the ``known`` columns, matched by name.
 
-    Files with other columns than the table, or than the first file, are left out, unless
-    they belong to a day that is to be replaced.
+    Files of equal headers are one scan, which checks each file's header again. Each row also
+    has its file's name and day, and the text of a malformed row; the day of files of one day
+    is a literal.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in sorted(files["path"].to_pylist()):
-        groups.setdefault(tuple(header_of(spark, literal(path), spec.options)), []).append(path)
-    known = list(next(iter(groups))) if created else spark.table(spec.table).columns
-    batch, odd = None, []
-    for header, paths in groups.items():
-        try:
-            rows = _read_alike(spark, spec, paths, list(header), known)
-        except writes.SchemaMismatchError:
-            if how == "replace":
-                raise
-            odd += paths
-            continue
+    batch = None
+    for header in sorted(pc.unique(files["header"]).to_pylist()):
+        paths = files.filter(pc.equal(files["header"], header))["path"].to_pylist()
+        rows = read_days(
+            spark, [literal(p) for p in paths], spec.day_column, names[header], SOURCE_FILE, MALFORMED, spec.options
+        )
+        rows = writes.align(rows, [*known, SOURCE_FILE, MALFORMED, DAY])
         batch = rows if batch is None else batch.union(rows)
-    left = pc.invert(pc.is_in(files["path"], pa.array(odd, pa.string())))
-    names = set(files.filter(pc.invert(left))["file_name"].to_pylist())
-    return files.filter(left), batch.withColumn(writes.SOURCE_DAY, file_key(SOURCE_FILE)), names
+    days = pc.unique(files["file_value"])
+    day = F.lit(days[0].as_py()) if len(days) == 1 else file_key(SOURCE_FILE)
+    return batch.withColumn(writes.SOURCE_DAY, day)
 
 
 def _on_day(files: DataFrame, day: DataFrame) -> DataFrame:

@@ -31,6 +31,8 @@ class LoadSpec:
                 ``{"multiLine": "true"}`` for line breaks in quoted fields
     archive     folder a stream moves staged files to; searched, with all that is
                 below it, when a day has to be loaded anew
+    columns     names of the data columns, in the table's order, for a first load. If None,
+                those that most of its files have, in the order of the earliest such file
     days_per_load  load this many days at a time, each with its own lines in the
                 ledger, so that a failure costs one group; all at once if None
     """
@@ -47,6 +49,7 @@ class LoadSpec:
     rebalance: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
     archive: str | None = None
+    columns: Sequence[str] | None = None
     days_per_load: int | None = None
 
     def __post_init__(self) -> None:

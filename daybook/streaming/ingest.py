@@ -64,7 +64,7 @@ def _load_stream(
         session = files.sparkSession
         if table_exists(session, spec.table):
             loaded = ledger.loaded_files(session, spec)
-            ledger.refuse_changed(files, loaded)
+            ledger.refuse_changed(session, spec, files, loaded)
             files = ledger.without_loaded(files, loaded)
         results.append(load_files(session, spec, files, origin))
 

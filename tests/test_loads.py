@@ -1,6 +1,7 @@
 """The load job on small landing folders, one test per rule."""
 
 import shutil
+from dataclasses import replace
 
 import pytest
 from conftest import INVOICE_COLUMNS, invoice
@@ -14,9 +15,11 @@ from daybook.plans import (
     IncompleteDayError,
     InterruptedLoadError,
     SchemaMismatchError,
+    ledger,
     settle,
 )
-from daybook.sources import MissingFolderError, list_files, partition_keys
+from daybook.settings import setting
+from daybook.sources import MissingFolderError, content_digests, list_files, partition_keys
 
 
 def inbound(spark, spec, *names):
@@ -303,9 +306,9 @@ def test_only_files_with_strays_are_read_again(spark, shop, monkeypatch):
 
     read, original = [], loads._read_batch
 
-    def noting(session, spec, files, created):
+    def noting(session, spec, files, *more):
         read.append(files["file_name"].to_pylist())
-        return original(session, spec, files, created)
+        return original(session, spec, files, *more)
 
     monkeypatch.setattr(loads, "_read_batch", noting)
     shop.day("2010-12-01", 3)
@@ -359,32 +362,86 @@ def test_reordered_header_is_aligned_by_name(spark, shop, mode):
     assert (row["InvoiceNo"], row["Country"]) == ("7", "United Kingdom")
 
 
-def test_other_columns_are_refused(spark, shop):
+OTHER_COLUMNS = [*INVOICE_COLUMNS[:-1], "Land"]
+
+
+def test_other_columns_are_refused_and_noted_once(spark, shop):
     shop.day("2010-12-01", 1)
-    run(spark, shop.spec())
-    other = [*INVOICE_COLUMNS[:-1], "Land"]
-    shop.file("2010-12-02.csv", [invoice(7, "2010-12-02 08:00:00")], columns=other)
-    with pytest.raises(SchemaMismatchError, match="Country.*Land"):
-        run(spark, shop.spec())
+    spec = shop.spec()
+    run(spark, spec)
+    shop.file("2010-12-02.csv", [invoice(7, "2010-12-02 08:00:00")], columns=OTHER_COLUMNS)
+    for _ in range(2):
+        done = run(spark, spec)
+        assert (done.status, done.refused) == ("already_loaded", ("2010-12-02.csv",))
+    assert [r["file_name"] for r in ledger.refused_files(spark, spec).collect()] == ["2010-12-02.csv"]
     assert shop.counts() == {20101201: 1}
+    shop.day("2010-12-02", 3)  # put right under its name
+    done = run(spark, spec)
+    assert (done.rows, done.refused) == (3, ())
+    assert shop.counts() == {20101201: 1, 20101202: 3}
+
+
+@pytest.mark.parametrize("odd", ["2010-12-02.csv", "2010-12-03.csv", "2010-12-04.csv"])
+@pytest.mark.parametrize("mode", ["append", "replace"])
+def test_an_odd_file_holds_up_only_itself(spark, shop, odd, mode):
+    shop.day("2010-12-01", 1)
+    spec = shop.spec(mode=mode)
+    run(spark, spec)
+    expected = {20101201: 1}
+    for k, name in enumerate(["2010-12-02.csv", "2010-12-03.csv", "2010-12-04.csv"]):
+        day = name[:10]
+        if name == odd:
+            shop.file(name, [invoice(8, f"{day} 08:00:00")], columns=OTHER_COLUMNS)
+        else:
+            shop.file(name, [invoice(k, f"{day} 08:00:00")[::-1]], columns=INVOICE_COLUMNS[::-1])
+            expected[int(day.replace("-", ""))] = 1
+    done = run(spark, spec)
+    assert (done.rows, done.refused) == (2, (odd,))
+    assert shop.counts() == expected
+    assert {r["Country"] for r in shop.rows().collect()} == {"United Kingdom"}
+
+
+def test_columns_of_a_first_load(spark, shop):
+    """Those most files have, wherever the odd ones sort; no table if that is undecided."""
+    shop.file("2010-12-01.csv", [invoice(1, "2010-12-01 08:00:00")], columns=OTHER_COLUMNS)
+    shop.day("2010-12-02", 2)
+    spec = shop.spec()
+    with pytest.raises(SchemaMismatchError, match="LoadSpec.columns"):
+        run(spark, spec)
+    assert not spark.catalog.tableExists(spec.table)
+    named = replace(spec, columns=INVOICE_COLUMNS[::-1])
+    assert run(spark, replace(spec, columns=["a", "b"])).status == "no_files"
+    done = run(spark, named)
+    assert (done.status, done.rows, done.refused) == ("created", 2, ("2010-12-01.csv",))
+    assert shop.rows().columns == [*INVOICE_COLUMNS[::-1], "datestr"]
+    spark.sql(f"DROP TABLE {spec.table}")
+    shop.day("2010-12-03", 3)
+    done = run(spark, spec)
+    assert (done.status, done.rows, done.refused) == ("created", 5, ("2010-12-01.csv",))
+    assert shop.rows().columns == [*INVOICE_COLUMNS, "datestr"]
+    assert [r["file_name"] for r in ledger.refused_files(spark, spec).collect()] == ["2010-12-01.csv"]
+
+
+def test_an_odd_file_of_a_replaced_day_is_an_error(spark, shop):
+    shop.day("2010-12-01", 2)
+    run(spark, shop.spec())
+    shop.file("2010-12-01.b.csv", [invoice(7, "2010-12-01 08:00:00")], columns=OTHER_COLUMNS)
+    with pytest.raises(SchemaMismatchError, match="Land"):
+        load_files(spark, shop.spec(), inbound(spark, shop.spec(), "2010-12-01.csv"))
+    assert shop.counts() == {20101201: 2}
 
 
-def test_odd_headers_among_several_files(spark, shop):
+def test_a_requested_load_passes_odd_days(spark, shop):
     shop.day("2010-12-01", 1)
     run(spark, shop.spec())
-    shop.day("2010-12-02", 1)
-    turned = [invoice(7, "2010-12-03 08:00:00")[::-1]]
-    shop.file("2010-12-03.csv", turned, columns=INVOICE_COLUMNS[::-1])
-    other = [*INVOICE_COLUMNS[:-1], "Land"]
-    shop.file("2010-12-04.csv", [invoice(8, "2010-12-04 08:00:00")], columns=other)
-    done = run(spark, shop.spec())
-    assert (done.rows, done.refused) == (2, ("2010-12-04.csv",))
-    assert shop.counts() == {20101201: 1, 20101202: 1, 20101203: 1}
-    row = shop.rows().where("datestr = 20101203").first()
-    assert (row["InvoiceNo"], row["Country"]) == ("7", "United Kingdom")
-    with pytest.raises(SchemaMismatchError, match="Country.*Land"):
-        run(spark, shop.spec())
-    assert shop.counts() == {20101201: 1, 20101202: 1, 20101203: 1}
+    for day in ("02", "03"):
+        rows = [invoice(8, f"2010-12-{day} 08:00:00")]
+        shop.file(f"2010-12-{day}.csv", rows, folder="staging", columns=OTHER_COLUMNS)
+    shop.day("2010-12-04", 3, folder="staging")
+    done = run(spark, shop.spec(), request_load=True)
+    assert (done.rows, done.refused) == (3, ("2010-12-02.csv", "2010-12-03.csv"))
+    done = run(spark, shop.spec(), request_load=True)
+    assert (done.status, done.refused) == ("nothing_staged", ("2010-12-02.csv", "2010-12-03.csv"))
 
 
 def test_status_ahead_of_the_write(spark, shop):
@@ -572,6 +629,44 @@ def test_changed_files_are_refused_and_moved_ones_are_known(spark, shop):
     assert shop.counts() == {20101201: 5, 20101202: 2}
 
 
+def test_files_of_one_name_and_length_elsewhere(spark, shop):
+    """Lines tell them apart; a copy is known, and looked at once only."""
+    spec = shop.spec(inbound=[str(shop.root / "inbound"), str(shop.root / "staging")], staging=None)
+    shop.day("2010-12-01", 3)
+    run(spark, spec)
+    shop.day("2010-12-01", 3, folder="staging")
+    assert run(spark, spec).status == "already_loaded"
+    noted = spark.read.parquet(spec.ledger_path).where("path LIKE '%staging%'").collect()
+    assert len(noted) == 1 and noted[0]["state"] == "finished"
+    assert run(spark, spec).status == "already_loaded"
+    assert spark.read.parquet(spec.ledger_path).where("path LIKE '%staging%'").count() == 1
+    other = shop.root / "staging" / "2010-12-01.csv"
+    size = other.stat().st_size
+    shop.day("2010-12-01", 3, folder="staging", first=5)
+    assert other.stat().st_size == size
+    with pytest.raises(ChangedFileError, match="staging/2010-12-01.csv"):
+        run(spark, spec)
+    assert shop.counts() == {20101201: 3}
+
+
+def test_digests(spark, tmp_path):
+    """The order of lines and how a file is split are no matter; each line and its repeats are."""
+    texts = {
+        "a.csv": "h\n1\n2\n", "b.csv": "h\n2\n1\n", "c.csv": "h\n1\n2\n2\n", "d%20 [x].csv": "h\n1\n3\n",
+        "e.csv": "\n\nh,x\n", "f.csv": "\n", "g.csv": "h\n" + "\n".join(map(str, range(5000))),
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    paths = [f"file:{tmp_path}/{name}" for name in texts]
+    found = dict(zip(texts, content_digests(spark, paths).values(), strict=True))
+    assert [found[n][0] for n in texts] == ["h", "h", "h", "h", "h,x", None, "h"]
+    assert found["a.csv"] == found["b.csv"]
+    assert len({found[n][1] for n in texts}) == 6
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "1000"):
+        assert list(content_digests(spark, paths).values()) == list(found.values())
+    assert content_digests(spark, []) == {}
+
+
 def test_odd_names_are_read_once_each(spark, shop):
     names = ["p1", "p[1]", "p{1,2}", "p*", "p?", "p 1", "p%20", "p$", "p^1"]
     for k, name in enumerate(names):

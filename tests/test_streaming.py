@@ -1,6 +1,9 @@
 import pytest
 
+from conftest import INVOICE_COLUMNS, invoice
+
 from daybook import run
+from daybook.plans import ledger
 from daybook.sources import list_files
 from daybook.streaming import drain_staged, ingest_new
 
@@ -100,3 +103,23 @@ def test_files_of_sub_folders_are_not_streamed(spark, shop):
         shop.day("2010-11-30", 2, folder=f"inbound/{name}")
     ingest_new(spark, shop.spec(), str(shop.root / "ckpt"))
     assert shop.counts() == expected
+
+
+@pytest.mark.parametrize("drain", [False, True])
+def test_a_stream_gets_past_an_odd_file(spark, shop, drain):
+    shop.day("2010-12-01", 1)
+    spec, folder = shop.spec(), "staging" if drain else "inbound"
+    run(spark, spec)
+
+    def go():
+        if drain:
+            return drain_staged(spark, spec, str(shop.root / "ckpt"), str(shop.root / "archive"))
+        return ingest_new(spark, spec, str(shop.root / "ckpt"))
+
+    columns = [*INVOICE_COLUMNS[:-1], "Land"]
+    shop.file("2010-12-02.csv", [invoice(1, "2010-12-02 08:00:00")], folder=folder, columns=columns)
+    assert [x for r in go() for x in r.refused] == ["2010-12-02.csv"]
+    shop.day("2010-12-03", 2, folder=folder)
+    assert sum(r.rows for r in go()) == 2
+    assert shop.counts() == {20101201: 1, 20101203: 2}
+    assert [r["file_name"] for r in ledger.refused_files(spark, spec).collect()] == ["2010-12-02.csv"]
