@@ -79,6 +79,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides the digest also ``text``, what is left; a character that was cut through is
+    U+FFFD there."""
     cut = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
     return cut.select(
         "doc_id",
@@ -86,6 +88,7 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("runs").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.expr("make_valid_utf8(CAST(kept AS STRING))").alias("text"),
     )
 
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import given, saved
@@ -37,6 +37,8 @@ SYMBOLS_PER_ARRAY = 1 << 17
 """A suffix array holds the segments of as many grams as fit, or of one."""
 BROADCAST_ROWS = 1_000_000
 """Rows of up to three longs that are broadcast at most; more are joined by a shuffle."""
+SLICE_BITS = 16
+"""Spans that start in the same 64 KiB of a text are joined first."""
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -416,8 +418,8 @@ def repeats_by_window(parts: DataFrame, length: int) -> DataFrame:
 def repeated_spans(
     rows: DataFrame, length: int = LENGTH, most: int = MOST_SEGMENTS, symbols: int = SYMBOLS_PER_ARRAY
 ) -> DataFrame:
-    """``(k0, k1, spans)``: for each text with repeated bytes the array of their ``low`` and
-    ``high``, which may overlap, from ``rows (k0, k1, bytes)``."""
+    """``(k0, k1, spans)``: for each text with repeated bytes the array of the ``low`` and
+    ``high`` of their maximal runs, from ``rows (k0, k1, bytes)``."""
     found = saved(all_segments(rows, length), "segments")
     often = saved(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "grams")
     found = saved(found.join(small(often), "h", "left_semi"), "repeated")
@@ -440,7 +442,20 @@ def repeated_spans(
     whole = saved(kinds.where("n > 1").select(*MARK), "whole")
     whole = found.join(small(whole), MARK, "left_semi")
     spans = spans.union(whole.select(*KEY, "low", (F.col("high") + length).alias("high")))
-    return spans.distinct().groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = spans.withColumn("_slice", F.shiftright("low", SLICE_BITS))
+    whole = merged_spans(merged_spans(spans, [*KEY, "_slice"]).drop("_slice"), KEY)
+    return whole.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+
+
+def merged_spans(spans: DataFrame, by: list[str]) -> DataFrame:
+    """Spans of the same ``by`` that touch or overlap joined, by a sort and no array, as a text
+    may have a span per byte."""
+    order = Window.partitionBy(*by).orderBy("low", "high")
+    before = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = spans.withColumn("_apart", F.when(F.col("low") <= before, 0).otherwise(1))
+    number = F.sum("_apart").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    islands = apart.withColumn("_number", number).groupBy(*by, "_number")
+    return islands.agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("_number")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

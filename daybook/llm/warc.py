@@ -134,7 +134,7 @@ class Bytes:
         self.source = source
         first = source.read(2)
         self.gzip = first == b"\x1f\x8b"
-        self.inflater = zlib.decompressobj(31)
+        self.inflater, self.inside = zlib.decompressobj(31), False
         self.raw, self.held = (first, b"") if self.gzip else (b"", first)
 
     def more(self) -> bool:
@@ -144,30 +144,41 @@ class Bytes:
                 data = self.source.read(CHUNK)
                 self.held += data
                 return bool(data)
-            if self.inflater.eof:
-                self.raw, self.inflater = self.inflater.unused_data or self.raw, zlib.decompressobj(31)
             if not self.raw:
                 self.raw = self.source.read(CHUNK)
                 if not self.raw:
+                    if self.inside:
+                        raise EOFError("the archive ends inside a gzip member")
                     return False
+            self.inside = True
             data = self.inflater.decompress(self.raw, CHUNK)
             self.raw = self.inflater.unconsumed_tail
             if self.inflater.eof:
-                self.raw, self.inflater = self.inflater.unused_data, zlib.decompressobj(31)
+                self.raw, self.inflater, self.inside = self.inflater.unused_data, zlib.decompressobj(31), False
             if data:
                 self.held += data
                 return True
 
-    def until(self, mark: bytes) -> bytes | None:
-        """Up to and without ``mark``; None if the archive ends first."""
+    def until(self, mark: bytes, within: int | None = None) -> bytes | None:
+        """Up to and without ``mark``; None, and nothing is passed over, if it does not end in
+        the next ``within`` bytes, or the archive ends first."""
         start = 0
-        while (at := self.held.find(mark, start)) < 0:
+        while (at := self.held.find(mark, start, within)) < 0:
             start = max(0, len(self.held) - len(mark) + 1)
-            if not self.more():
+            if within is not None and len(self.held) >= within or not self.more():
                 return None
         found, self.held = self.held[:at], self.held[at + len(mark) :]
         return found
 
+    def at_end(self) -> bool:
+        """Passes over line ends; whether nothing follows."""
+        while True:
+            self.held = self.held.lstrip(b"\r\n")
+            if self.held:
+                return False
+            if not self.more():
+                return True
+
     def take(self, size: int) -> bytes:
         parts, got = [], 0
         while got < size:
@@ -181,6 +192,8 @@ class Bytes:
     def skip(self, size: int) -> None:
         while size:
             if not self.held and not self.gzip:
+                if self.source.tell() + size > self.source.size():
+                    raise EOFError("the archive ends inside a record")
                 self.source.seek(self.source.tell() + size)
                 return
             if not self.held and not self.more():
@@ -195,33 +208,34 @@ def records(
 ) -> Iterator[dict]:
     """The records whose headers are among ``wanted``, the values of some columns, where None
     stands for any that is there. Without
-    ``payloads`` their payload is None, without ``lengths`` their block is passed over."""
+    ``payloads`` their payload is None, without ``lengths`` their block is passed over.
+
+    A block that says it is HTTP but has no end of a head is all payload. An archive that ends
+    inside a record is an error.
+    """
     data = Bytes(source)
-    while (head := data.until(b"\r\n\r\n")) is not None:
-        headers = parsed_headers(head.lstrip(b"\r\n"))
+    while not data.at_end():
+        head = data.until(b"\r\n\r\n")
+        if head is None:
+            raise EOFError("the archive ends inside a record's headers")
+        headers = parsed_headers(head)
         row: dict = header_row(headers)
-        size = int(headers.get("content-length", "0"))
+        rest = size = int(headers.get("content-length", "0"))
         if any(row[c] is None or values and row[c] not in values for c, values in wanted.items()):
             data.skip(size)
-        elif not payloads and not lengths:
-            data.skip(size)
-            yield row
-        else:
+            continue
+        if payloads or lengths:
+            row["payload_length"] = size
             http = headers.get("content-type", "").startswith("application/http")
-            rest = size
-            if http and (http_head := data.until(b"\r\n\r\n")) is not None:
+            if http and (http_head := data.until(b"\r\n\r\n", size)) is not None:
                 told = parsed_headers(http_head).get("content-length", "")
                 rest = size - len(http_head) - 4
                 row["payload_length"] = int(told) if told.isdigit() else rest
-            else:
-                row["payload_length"] = size
-            if payloads and row["record_type"] != "revisit":
-                row["payload"] = data.take(rest)
-            else:
-                data.skip(rest)
-            yield row
-        if data.until(b"\r\n\r\n") is None:
-            return
+        if payloads and row["record_type"] != "revisit":
+            row["payload"] = data.take(rest)
+        else:
+            data.skip(rest)
+        yield row
 
 
 # --- data source --------------------------------------------------------------

@@ -25,6 +25,7 @@ COLUMNS = {
     "op6_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
     "op7_repeats": {
         "doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string",
+        "text": "string",
     },
     "op8_shards": {
         "doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint",

@@ -100,6 +100,15 @@ def test_odd_documents_whole(odd):
     assert {r.k0 for r in got} == {2} if "k0" in got[0] else True
 
 
+def test_a_long_text_of_one_byte(spark):
+    """A span per byte, which are one run before they are an array."""
+    rows = spark.createDataFrame([(1, "a" * 300_000), (2, "b" * 399)], "doc_id long, text string")
+    spans = repeated_spans(keyed(rows, "text"), 400).collect()
+    assert [[tuple(s) for s in r["spans"]] for r in spans] == [[(0, 300_000)]]
+    kept = {r["doc_id"]: bytes(r["kept"]) for r in without_repeats(rows, 400).collect()}
+    assert kept == {1: b"", 2: b"b" * 399}
+
+
 def test_empty_table(no_documents):
     assert without_repeats(no_documents).collect() == []
     assert cut_texts(keyed(no_documents, "text")).collect() == []

@@ -95,6 +95,43 @@ def test_a_cut_archive_is_an_error():
         list(records(pa.BufferReader(data[:700]), {}, True, True))
 
 
+def http_record(number, block):
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <{number}>\r\nContent-Type: application/http\r\n"
+    return head.encode() + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_an_http_head_ends_in_its_own_record(packed):
+    """A head without an end is all payload and takes nothing of the records after it."""
+    blocks = [b"HTTP/1.1 200 OK\r\nA: b", b"", b"HTTP/1.1 200 OK\r\n\r\nhello", b"x" * 400_000 + b"\r\n\r", b"HTTP/1.1 200 OK\r\n\r\n"]
+    wanted = [blocks[0], b"", b"hello", blocks[3], b""]
+    parts = [http_record(k, b) for k, b in enumerate(blocks)]
+    data = b"".join(gzip.compress(p) for p in parts) if packed else b"".join(parts)
+    found = list(records(pa.BufferReader(data), {}, True, True))
+    assert [(r["record_id"], r["payload"], r["payload_length"]) for r in found] == [
+        (str(k), w, len(w)) for k, w in enumerate(wanted)
+    ]
+    assert [r["payload_length"] for r in records(pa.BufferReader(data), {}, False, True)] == [len(w) for w in wanted]
+    assert len(list(records(pa.BufferReader(data), {}, False, False))) == len(blocks)
+
+
+def test_archives_cut_anywhere_are_errors():
+    parts = [http_record(k, b"HTTP/1.1 200 OK\r\n\r\n" + bytes([65 + k]) * 3000) for k in range(2)]
+    packed = [gzip.compress(p) for p in parts]
+    for cut in (30, len(packed[1]) - 9):
+        data = packed[0] + packed[1][:cut]
+        for payloads in (True, False):
+            with pytest.raises(EOFError, match="gzip member|record"):
+                list(records(pa.BufferReader(data), {}, payloads, payloads))
+    for cut in (10, 200, 2000):
+        data = parts[0] + parts[1][:cut]
+        for payloads in (True, False):
+            with pytest.raises(EOFError, match="inside a record"):
+                list(records(pa.BufferReader(data), {}, payloads, payloads))
+    close = parts[0].rstrip(b"\r\n") + parts[1].rstrip(b"\r\n")  # no line ends between records
+    assert len(list(records(pa.BufferReader(close), {}, True, True))) == 2
+
+
 def test_empty_tables_and_folders(spark, tmp_path):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     path = str(tmp_path / "none")
