@@ -42,6 +42,39 @@ def test_matrix_has_the_margins(spark):
         before = [a + b for a, b in zip(before, r.takes, strict=True)]
 
 
+def test_a_matrix_of_many_partitions_has_the_margins(spark):
+    """More partitions than one exchange of the tree holds, most of them empty or uneven."""
+    counts = [(k * k) % 23 if k % 3 else 0 for k in range(256)]
+    rows = spark.createDataFrame([(k, n) for k, n in enumerate(counts) if n], "part long, n long")
+    lines = communication_matrix(rows, 256, sum(counts), 5, 1).collect()
+    matrix = {r.part: r.takes for r in lines}
+    assert len(lines) == 256 and [sum(matrix[k]) for k in range(256)] == counts
+    sizes = [sum(m[j] for m in matrix.values()) for j in range(5)]
+    assert sum(sizes) == sum(counts) and max(sizes) - min(sizes) <= 1
+    assert all(min(m) >= 0 for m in matrix.values())
+    before = [0] * 5
+    for r in sorted(lines, key=lambda r: r.part):
+        assert r.before == before
+        before = [a + b for a, b in zip(before, r.takes, strict=True)]
+
+
+def test_rows_are_dealt_by_the_matrix_and_exchanged(spark):
+    rows = spark.range(0, 3001, 1, 7).withColumn("origin", F.spark_partition_id())
+    counts = rows.groupBy(F.col("origin").cast("long").alias("part")).agg(F.count("*").alias("n"))
+    got = shuffled_into_shards(rows, 4, seed=3, rows_per_piece=300).withColumn("now", F.spark_partition_id())
+    found = check(got, 4)
+    matrix = {r.part: r.takes for r in communication_matrix(counts, 8, 3001, 4, 3).collect()}
+    sent = Counter((r.origin, r.shard) for r in found)
+    assert all(sent[part, shard] == n for part, line in matrix.items() for shard, n in enumerate(line))
+    # a partition now holds one range of slots of one shard, in order
+    pieces = {}
+    for r in found:
+        pieces.setdefault(r.now, []).append((r.shard, r.slot))
+    assert len(pieces) == 12 and all(len(p) <= 300 for p in pieces.values())
+    for held in pieces.values():
+        assert held == [(held[0][0], held[0][1] + k) for k in range(len(held))]
+
+
 def check(rows, shards):
     found = rows.collect()
     sizes = Counter(r.shard for r in found)
