@@ -488,6 +488,17 @@ def report_on_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_load_report(result_of(spark, spec), days=done.days)
 
 
+def report_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on the whole table after a second load, taken from the profiles kept by the
+    report after the first one and from the days that the second one loaded."""
+    root = landing(spark, sf_dir)
+    spec = event_spec(spark, root)
+    run(spark, spec, report="incremental")
+    report = run(spark, replace(spec, inbound=both_folders(root)), report="incremental").report
+    result_of(spark, spec)  # the report reads the kept profiles only
+    return report
+
+
 def mixed_days_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a week each, whose rows go to the partitions of their own days."""
     root = scratch_folder(spark, "landing")
@@ -575,6 +586,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landing_files_nested": landing_files_nested,
         "pending_by_ledger": pending_by_ledger,
         "report_on_days": report_on_days,
+        "report_by_changes": report_by_changes,
         "stream_ingest": stream_ingest,
         "stage_and_archive": stage_and_archive,
         **LLM_QUERIES,
@@ -713,6 +725,11 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'total', NULL, count(*) FROM events WHERE {_STAGED}
             UNION ALL SELECT 'unique', NULL, count(*)
             FROM (SELECT DISTINCT * FROM events WHERE {_STAGED})""",
+        "report_by_changes": f"""
+            SELECT 'rows' AS metric, {_DS} AS datestr, count(*) AS value
+            FROM events GROUP BY 2
+            UNION ALL SELECT 'total', NULL, count(*) FROM events
+            UNION ALL SELECT 'unique', NULL, count(*) FROM (SELECT DISTINCT * FROM events)""",
         "stream_ingest": _ALL_COUNTS,
         "stage_and_archive": _ALL_COUNTS,
         **LLM_SQL,

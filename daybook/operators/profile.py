@@ -58,20 +58,21 @@ def post_load_report(
     """
     if days is not None:
         df = df.where(F.col(DAY).isin(*days))
-    rolled = (
-        day_profile(df, columns)
-        .rollup(DAY)
-        .agg(
-            F.sum("row_count").alias("row_count"),
-            F.sum("unique_rows").alias("unique_rows"),
-            F.grouping(DAY).alias("overall"),
-        )
+    return report_of(day_profile(df, columns))
+
+
+def report_of(profile: DataFrame) -> DataFrame:
+    """The report's lines of a ``day_profile``."""
+    rolled = profile.rollup(DAY).agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("unique_rows").alias("unique_rows"),
+        F.grouping(DAY).alias("overall"),
     )
     totals = _lines(("total", F.col("row_count")), ("unique", F.col("unique_rows")))
     per_day = _lines(("rows", F.col("row_count")))
     report = rolled.select(F.inline(F.when(F.col("overall") == 1, totals).otherwise(per_day)))
     nothing = F.lit(0).cast("long")
-    zeros = df.sparkSession.range(1).select(
+    zeros = profile.sparkSession.range(1).select(
         F.inline(_lines(("total", nothing), ("unique", nothing), day=F.lit(None).cast("int")))
     )
     return report.union(zeros).groupBy("metric", DAY).agg(F.sum("value").alias("value"))

@@ -2,6 +2,7 @@
 
 from daybook.plans.ledger import ChangedFileError, InterruptedLoadError, settle
 from daybook.plans.loads import IncompleteDayError, LoadResult, load_files, run
+from daybook.plans.report import incremental_report
 from daybook.plans.spec import LoadSpec
 from daybook.plans.writes import SchemaMismatchError
 
@@ -12,6 +13,7 @@ __all__ = [
     "LoadResult",
     "LoadSpec",
     "SchemaMismatchError",
+    "incremental_report",
     "load_files",
     "run",
     "settle",

@@ -13,6 +13,7 @@ from daybook.functions import file_key
 from daybook.operators import high_water_mark, partition_counts, post_load_report
 from daybook.operators.files import keyed
 from daybook.plans import ledger, writes
+from daybook.plans.report import incremental_report
 from daybook.plans.spec import LoadSpec
 from daybook.settings import files_in_few_tasks, listing_in_few_tasks
 from daybook.sources.catalogue import with_headers
@@ -74,10 +75,14 @@ def run(
 
     If nothing is, ``request_load`` takes the next staged day instead. The flag
     has no effect as long as an inbound file is pending. ``report`` is about the
-    whole table, or, if it is ``"loaded"``, about the days this run loaded.
+    whole table, or, if it is ``"loaded"``, about the days this run loaded; with
+    ``"incremental"`` it is about the whole table and reads only the days whose files
+    changed since the last such report.
     """
     done = _run(spark, spec, request_load, pre_status)
-    if done.status == "already_loaded" or (report and table_exists(spark, spec.table)):
+    if report == "incremental" and table_exists(spark, spec.table):
+        done = replace(done, report=incremental_report(spark, spec))
+    elif done.status == "already_loaded" or (report and table_exists(spark, spec.table)):
         days = list(done.days) if report == "loaded" else None
         done = replace(done, report=post_load_report(spark.table(spec.table), days=days))
     return done

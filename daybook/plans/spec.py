@@ -71,6 +71,10 @@ class LoadSpec:
     def ledger_path(self) -> str:
         return f"{self.location.rstrip('/')}_ledger"
 
+    @property
+    def profile_path(self) -> str:
+        return f"{self.location.rstrip('/')}_profile"
+
     @property
     def quarantine_path(self) -> str:
         return f"{self.location.rstrip('/')}_quarantine"

@@ -12,8 +12,8 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def partition_keys(spark: SparkSession, table: str) -> DataFrame:
-    """Distinct non-NULL ``datestr`` of a table.
+def partition_keys(spark: SparkSession, table: str, with_null: bool = False) -> DataFrame:
+    """Distinct ``datestr`` of a table; NULL, for rows without a day, only ``with_null``.
 
     Comes from the catalog, which costs the number of partitions and not the
     number of rows. A table that is not partitioned by day is scanned instead.
@@ -25,4 +25,4 @@ def partition_keys(spark: SparkSession, table: str) -> DataFrame:
         keys = listed.select(key.try_cast("int").alias(DAY))
     else:
         keys = spark.table(table).select(DAY)
-    return keys.where(F.col(DAY).isNotNull()).distinct()
+    return (keys if with_null else keys.where(F.col(DAY).isNotNull())).distinct()

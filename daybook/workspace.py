@@ -48,6 +48,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def complete_folders(spark: SparkSession, root: str) -> list[str]:
+    """The folders in ``root`` whose write has ended, by name."""
+    context = spark.sparkContext
+    ended = context._jvm.org.apache.hadoop.fs.Path(f"{root}/*/_SUCCESS")
+    found = ended.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(ended)
+    return sorted(f.getPath().getParent().toString() for f in found or [])
+
+
 def delete_paths(spark: SparkSession, paths: list[str], within: str | None = None) -> None:
     """Delete files or folders that are there, if the folder ``within`` is."""
     if within is not None and not path_exists(spark, within):
@@ -66,7 +74,7 @@ def clear_scratch(spark: SparkSession) -> None:
     """
     application = spark.sparkContext.applicationId
     for path in _made.pop(application, []):
-        delete_paths(spark, [path, f"{path}_ledger", f"{path}_quarantine"])
+        delete_paths(spark, [path, f"{path}_ledger", f"{path}_quarantine", f"{path}_profile"])
     root = _own_roots.pop(application, None)
     if root:
         shutil.rmtree(root, ignore_errors=True)

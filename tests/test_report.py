@@ -1,0 +1,83 @@
+import pytest
+from conftest import invoice
+from pyspark.sql import functions as F
+
+from daybook import run
+from daybook.operators import post_load_report
+from daybook.plans import incremental_report, report
+from daybook.plans.report import day_digests
+from daybook.workspace import complete_folders
+
+
+def lines(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture
+def asked(monkeypatch):
+    """The days whose rows are read, one list per report."""
+    seen = []
+    plain = report.day_profile
+
+    def noted(df):
+        seen.append(sorted((r[0] for r in df.select("datestr").distinct().collect()), key=str))
+        scan = [p for p in df._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in p]
+        # of no day, no scan is left in the plan
+        assert bool(scan) == bool(seen[-1]) and all("PartitionFilters: []" not in p for p in scan)
+        return plain(df)
+
+    monkeypatch.setattr(report, "day_profile", noted)
+    return seen
+
+
+def test_only_changed_days_are_read(spark, shop, asked):
+    for day, n in (("2010-12-01", 3), ("2010-12-02", 4), ("2010-12-03", 2)):
+        shop.day(day, n)
+    spec = shop.spec()
+    first = run(spark, spec, report="incremental").report
+    assert asked == [[20101201, 20101202, 20101203]]
+    assert lines(first) == lines(post_load_report(shop.rows()))
+    # nothing changed: the table is not read, nothing is written
+    kept = complete_folders(spark, spec.profile_path)
+    again = run(spark, spec, report="incremental")
+    assert again.status == "already_loaded" and lines(again.report) == lines(first)
+    assert len(asked) == 1 and complete_folders(spark, spec.profile_path) == kept
+    assert all("_profile/" in f for f in again.report.inputFiles())
+    # a new day, and a late file with repeated rows of a day that is there
+    shop.day("2010-12-04", 1)
+    shop.day("2010-12-02", 5, suffix=".1.csv")
+    done = run(spark, spec, report="incremental")
+    assert asked[1:] == [[20101202, 20101204]]
+    assert lines(done.report) == lines(post_load_report(shop.rows()))
+    assert ("rows", 20101202, 9) in lines(done.report) and ("unique", None, 11) in lines(done.report)
+
+
+def test_days_that_go_rows_of_others_and_few_snapshots(spark, shop, asked):
+    for day in ("2010-12-01", "2010-12-02"):
+        shop.day(day, 2)
+    spec = shop.spec()
+    run(spark, spec)
+    incremental_report(spark, spec)
+    # rows written past the load job are seen as well
+    more = shop.rows().where("datestr = 20101201").withColumn("datestr", F.lit(20101203))
+    more.write.insertInto(shop.table)
+    assert lines(incremental_report(spark, spec)) == lines(post_load_report(shop.rows()))
+    assert asked[1] == [20101203]
+    # a day that leaves the catalog leaves the report, though an external table's files stay
+    spark.sql(f"ALTER TABLE {shop.table} DROP PARTITION (datestr = 20101202)")
+    left = incremental_report(spark, spec)
+    assert lines(left) == lines(post_load_report(shop.rows()))
+    assert len(asked) == 3 and asked[2] == []
+    assert len(complete_folders(spark, spec.profile_path)) == 2
+
+
+def test_rows_without_a_day_and_an_empty_table(spark, shop, asked):
+    shop.file("2010-12-01.csv", [invoice(1, "2010-12-01 08:00:00"), invoice(2, "never"), invoice(2, "never")])
+    spec = shop.spec(mode="append")
+    found = run(spark, spec, report="incremental").report
+    assert lines(found) == lines(post_load_report(shop.rows()))
+    assert asked == [[20101201, None]]
+    assert {r["datestr"] for r in day_digests(spark, spec).collect()} == {20101201, None}
+    spark.sql(f"ALTER TABLE {shop.table} DROP PARTITION (datestr = 20101201)")
+    spark.sql(f"ALTER TABLE {shop.table} DROP PARTITION (datestr = null)")
+    assert lines(incremental_report(spark, spec)) == lines(post_load_report(shop.rows()))
