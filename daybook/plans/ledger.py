@@ -6,6 +6,10 @@ that was started but not finished are pending, and what it may have written is
 known: in ``replace`` mode their days are loaded anew as a whole; in ``append`` mode
 nobody can tell whether the rows are there, so the next load refuses until
 ``settle`` says it.
+
+Lines are appended as small files. When there are more than ``TAIL_FILES`` of them, a load
+that ends folds all lines into a snapshot, so that reading the ledger costs a snapshot and a
+short tail however many loads there have been.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from daybook.plans.spec import LoadSpec
 from daybook.sources import partition_keys
 from daybook.sources.catalogue import content_digests
 from daybook.sources.landing import DAY, file_frame, read_if_there
+from daybook.workspace import complete_folders, delete_paths
 
 SCHEMA = (
     "file_name string, file_value int, origin string, path string, length long, "
@@ -37,6 +42,11 @@ STARTED = "started"
 FINISHED = "finished"
 ENDED = "ended"
 REFUSED = "refused"  # a file with other columns, left out of its load
+COVERED = "covered"  # in a snapshot: a file of the tail whose lines it holds
+
+TAIL_FILES = 64
+#: Below the ledger's folder; a scan of that folder passes over names like this one.
+SNAPSHOTS = "_snapshots"
 
 
 class InterruptedLoadError(RuntimeError):
@@ -47,7 +57,8 @@ class ChangedFileError(RuntimeError):
     """A file that was loaded has other content now, or another file has its name."""
 
 
-def _written(spark: SparkSession, spec: LoadSpec) -> DataFrame | None:
+def _tail(spark: SparkSession, spec: LoadSpec) -> DataFrame | None:
+    """The lines in files of their own, also those that a snapshot holds."""
     lines = read_if_there(spark.read.schema(SCHEMA), spec.ledger_path)
     if lines is None:
         return None
@@ -55,6 +66,59 @@ def _written(spark: SparkSession, spec: LoadSpec) -> DataFrame | None:
     return lines.withColumn("state", F.coalesce("state", F.lit(FINISHED)))
 
 
+def _with_snapshot(spark: SparkSession, spec: LoadSpec, tail: DataFrame) -> DataFrame:
+    """All lines: the last whole snapshot's, and those of the tail's files that it does not hold."""
+    snapshots = complete_folders(spark, f"{spec.ledger_path}/{SNAPSHOTS}")
+    if not snapshots:
+        return tail
+    snapshot = spark.read.schema(SCHEMA).parquet(snapshots[-1])
+    held = snapshot.where(F.col("state") == COVERED).select(F.col("file_name").alias("_file"))
+    fresh = tail.withColumn("_file", F.col("_metadata.file_name")).join(held, "_file", "left_anti")
+    return snapshot.where(F.col("state") != COVERED).union(fresh.select(*tail.columns))
+
+
+def _written(spark: SparkSession, spec: LoadSpec) -> DataFrame | None:
+    tail = _tail(spark, spec)
+    return None if tail is None else _with_snapshot(spark, spec, tail)
+
+
+def _folded(lines: DataFrame) -> DataFrame:
+    """What later loads ask of the lines: open loads, and each loaded or refused file once.
+
+    A file that was loaded several times as it is has the days all of those fed.
+    """
+    over = lines.where(F.col("state").isin(FINISHED, ENDED)).select("load_id")
+    begun = lines.where(F.col("state") == STARTED).join(over, "load_id", "left_anti")
+    file = [c for c in lines.columns if c not in ("load_id", "fed", "at")]
+    kept = lines.where(F.col("state").isin(FINISHED, REFUSED)).groupBy(*file).agg(
+        F.max_by("load_id", "at").alias("load_id"),
+        F.array_distinct(F.flatten(F.collect_list("fed"))).alias("fed"),
+        F.max("at").alias("at"),
+    )
+    return kept.select(*lines.columns).union(begun.select(*lines.columns))
+
+
+def compact(spark: SparkSession, spec: LoadSpec, tail_files: int = TAIL_FILES) -> bool:
+    """Fold the ledger into a snapshot if its tail has more than ``tail_files`` files.
+
+    The snapshot names the files it holds and counts from the moment its write has ended;
+    only then they are deleted, and a file that is left over by a failure is passed over.
+    """
+    tail = _tail(spark, spec)
+    files = [] if tail is None else tail.inputFiles()
+    if len(files) <= tail_files:
+        return False
+    root = f"{spec.ledger_path}/{SNAPSHOTS}"
+    before = complete_folders(spark, root)
+    number = int(before[-1].rsplit("/", 1)[1]) + 1 if before else 1
+    names = pa.table({"file_name": [f.rsplit("/", 1)[1] for f in files]})
+    lines = _folded(_with_snapshot(spark, spec, tail))
+    lines = lines.union(_line(file_frame(spark, names), state=COVERED))
+    lines.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{number:010d}")
+    delete_paths(spark, [*files, *before])
+    return True
+
+
 def _day_lines(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     """A line per day of a table that has no ledger."""
     return _line(

@@ -225,6 +225,7 @@ def _load_files(
     fed = {(x["file"], x["day"]) for line in seen for x in line["foreign"]}
     ledger.finish(spark, spec, _with_days(files, fed), origin, load_id)
     ledger.end(spark, spec, begun)
+    ledger.compact(spark, spec)
     status = "created" if created else {"append": "appended", "replace": "replaced"}[spec.mode]
     lows = [line["min_datestr"] for line in seen if line["min_datestr"] is not None]
     highs = [line["max_datestr"] for line in seen if line["max_datestr"] is not None]
