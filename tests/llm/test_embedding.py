@@ -90,3 +90,36 @@ def test_tables_keep_the_miss_low():
         bits, tables = table_plan(n)
         meet = (1 - math.acos(0.95) / math.pi) ** bits
         assert (1 - meet) ** tables <= 1e-4
+
+
+def test_a_sketch_of_some_tables_only(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "SKETCH_BITS", 64)
+    monkeypatch.setattr(embedding.block_tasks, "__defaults__", (7,))
+    rows = vectors(5, 200, 6) + [(2000 + i, [1.0, float(np.float32(0.01 * i))]) for i in range(40)]
+    assert got(spark, rows) == brute(rows, 0.95)
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(7)
+    for n in (1_000, 10**6):
+        bits, tables = table_plan(n)
+        held = min(embedding.SKETCH_BITS, bits * tables)
+        most = embedding.most_differences(held)
+        a = rng.standard_normal((4_000, 40))
+        b = rng.standard_normal((4_000, 40))
+        a, b = embedding.unit_rows(a), embedding.unit_rows(b)
+        b = embedding.unit_rows(b - np.einsum("ij,ij->i", a, b)[:, None] * a)
+        near = 0.95 * a + math.sqrt(1 - 0.95**2) * b
+        signs = [v @ embedding.directions(40, bits, tables)[:, :held] > 0 for v in (a, near, b)]
+        assert (signs[0] != signs[1]).sum(axis=1).max() <= most
+        assert np.median((signs[0] != signs[2]).sum(axis=1)) > 1.3 * most
+
+
+def test_signs_are_the_signatures(spark):
+    rows = [(i, 1, [float(x) for x in np.random.default_rng(i).standard_normal(5)]) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, copies long, vector array<double>")
+    got_rows = embedding.with_signatures(df, 9, 11).collect()
+    signs = np.frombuffer(b"".join(r.signs for r in got_rows), np.uint8).reshape(20, -1)
+    assert signs.shape[1] % 8 == 0
+    assert embedding.marks_of(signs, 9, 11).tolist() == [r.marks for r in got_rows]
+    assert embedding.marks_of(signs, 9, 0).shape == (20, 0)
