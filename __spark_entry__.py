@@ -479,6 +479,21 @@ def pending_by_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending.select("file_name", "file_value")
 
 
+def compacted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded files by a ledger that is folded after each of three loads, the last of which
+    loads the second one's files again, as staged ones: a line for each file and origin."""
+    root = landing(spark, sf_dir)
+    spec = event_spec(spark, root)
+    run(spark, spec)
+    ledger.compact(spark, spec, 0)
+    run(spark, replace(spec, inbound=both_folders(root)))
+    ledger.compact(spark, spec, 0)
+    load_files(spark, spec, list_files(spark, spec.staging), ledger.STAGING)
+    ledger.compact(spark, spec, 0)
+    result_of(spark, spec)
+    return ledger.loaded_files(spark, spec).groupBy("file_name", "file_value").agg(F.count("*").alias("places"))
+
+
 def report_on_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report on the days that the last run loaded."""
     root = landing(spark, sf_dir)
@@ -585,6 +600,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "same_name_load": same_name_load,
         "landing_files_nested": landing_files_nested,
         "pending_by_ledger": pending_by_ledger,
+        "compacted_ledger": compacted_ledger,
         "report_on_days": report_on_days,
         "report_by_changes": report_by_changes,
         "stream_ingest": stream_ingest,
@@ -719,6 +735,9 @@ def oracle_sql() -> dict[str, str]:
         "pending_by_ledger": f"""
             SELECT DISTINCT {_FN} AS file_name, {_DS} AS file_value
             FROM events WHERE {_STAGED}""",
+        "compacted_ledger": f"""
+            SELECT DISTINCT {_FN} AS file_name, {_DS} AS file_value, 1 + ({_STAGED})::INT::BIGINT AS places
+            FROM events""",
         "report_on_days": f"""
             SELECT 'rows' AS metric, {_DS} AS datestr, count(*) AS value
             FROM events WHERE {_STAGED} GROUP BY 2

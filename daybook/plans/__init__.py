@@ -1,5 +1,6 @@
 """What to load, where to, and the load itself."""
 
+from daybook.plans.claim import ConcurrentLoadError
 from daybook.plans.ledger import ChangedFileError, InterruptedLoadError, settle
 from daybook.plans.loads import IncompleteDayError, LoadResult, load_files, run
 from daybook.plans.report import incremental_report
@@ -8,6 +9,7 @@ from daybook.plans.writes import SchemaMismatchError
 
 __all__ = [
     "ChangedFileError",
+    "ConcurrentLoadError",
     "IncompleteDayError",
     "InterruptedLoadError",
     "LoadResult",

@@ -13,6 +13,7 @@ from daybook.functions import file_key
 from daybook.operators import high_water_mark, partition_counts, post_load_report
 from daybook.operators.files import keyed
 from daybook.plans import ledger, writes
+from daybook.plans.claim import claimed
 from daybook.plans.report import incremental_report
 from daybook.plans.spec import LoadSpec
 from daybook.settings import files_in_few_tasks, listing_in_few_tasks
@@ -79,7 +80,8 @@ def run(
     ``"incremental"`` it is about the whole table and reads only the days whose files
     changed since the last such report.
     """
-    done = _run(spark, spec, request_load, pre_status)
+    with claimed(spark, spec):
+        done = _run(spark, spec, request_load, pre_status)
     if report == "incremental" and table_exists(spark, spec.table):
         done = replace(done, report=incremental_report(spark, spec))
     elif done.status == "already_loaded" or (report and table_exists(spark, spec.table)):
@@ -139,9 +141,10 @@ def load_files(
     mode the rows of new files are added, too, and the days of files that were loaded
     before, or that an interrupted load had begun, are replaced, each from all its files.
     Counts are observed on the write itself; a file is read once, and once
-    more only if some of its rows have to be quarantined.
+    more only if some of its rows have to be quarantined. Raises ``ConcurrentLoadError`` while
+    another load of the table runs.
     """
-    with listing_in_few_tasks(spark):
+    with claimed(spark, spec), listing_in_few_tasks(spark):
         chosen = _snapshot(files)
         if spec.days_per_load is None or not chosen.num_rows:
             return _load_files(spark, spec, chosen, origin, pre_status)

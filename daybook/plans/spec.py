@@ -34,7 +34,9 @@ class LoadSpec:
     columns     names of the data columns, in the table's order, for a first load. If None,
                 those that most of its files have, in the order of the earliest such file
     days_per_load  load this many days at a time, each with its own lines in the
-                ledger, so that a failure costs one group; all at once if None
+                ledger, so that a failure costs one group; all at once if None. Groups
+                go by day, so with 1 days are loaded in the order of their files' names
+    claim_minutes  after how long the claim of a load that died counts for nothing
     """
 
     table: str
@@ -51,6 +53,7 @@ class LoadSpec:
     archive: str | None = None
     columns: Sequence[str] | None = None
     days_per_load: int | None = None
+    claim_minutes: float = 10
 
     def __post_init__(self) -> None:
         if not self.table or not self.location:
@@ -61,6 +64,8 @@ class LoadSpec:
             raise ValueError(f"unknown check {self.check!r}")
         if self.days_per_load is not None and self.days_per_load < 1:
             raise ValueError("days_per_load must be at least 1")
+        if self.claim_minutes <= 0:
+            raise ValueError("claim_minutes must be more than 0")
 
     @classmethod
     def classic(cls, **settings) -> LoadSpec:
@@ -71,6 +76,10 @@ class LoadSpec:
     def ledger_path(self) -> str:
         return f"{self.location.rstrip('/')}_ledger"
 
+    @property
+    def claim_path(self) -> str:
+        return f"{self.location.rstrip('/')}_claim"
+
     @property
     def profile_path(self) -> str:
         return f"{self.location.rstrip('/')}_profile"

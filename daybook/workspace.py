@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
@@ -66,6 +68,68 @@ def delete_paths(spark: SparkSession, paths: list[str], within: str | None = Non
         where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def _located(spark: SparkSession, path: str) -> tuple:
+    """A path's file system, and the path as that takes it."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(context._jsc.hadoopConfiguration()), where
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file; False if there is one."""
+    files, where = _located(spark, path)
+    try:
+        out = files.create(where, False)
+    except Py4JJavaError:
+        if files.exists(where):
+            return False
+        raise
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """What a small file holds, or None if it is not there."""
+    files, where = _located(spark, path)
+    try:
+        stream = files.open(where)
+    except Py4JJavaError:
+        if files.exists(where):
+            raise
+        return None
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def file_age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file's time, or None if it is not there."""
+    files, where = _located(spark, path)
+    found = files.globStatus(where)
+    return time.time() - found[0].getModificationTime() / 1000 if found else None
+
+
+def touch_file(spark: SparkSession, path: str) -> None:
+    """Set a file's time to now."""
+    files, where = _located(spark, path)
+    files.setTimes(where, int(time.time() * 1000), -1)
+
+
+def move_file(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a file; False if it is not there (any more)."""
+    files, where = _located(spark, path)
+    try:
+        return files.rename(where, _located(spark, to)[1])
+    except Py4JJavaError:
+        if files.exists(where):
+            raise
+        return False
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders of this application, and what lies beside them.
 
