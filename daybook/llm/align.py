@@ -27,6 +27,8 @@ KEY = ["k0", "k1"]
 BROADCAST_PAIRS = 2_000_000
 """Pairs of ids, three numbers each, that are broadcast at most; more are joined by a shuffle."""
 ROWS_AT_ONCE = 512
+BYTES_AT_ONCE = 1 << 20
+"""Texts that are aligned together, which takes some hundred bytes for each of theirs."""
 LARGE_GROUP = 4096
 """Links of a group from which on its tokens are counted before they meet."""
 MARK = "▁"
@@ -59,6 +61,7 @@ class Pair:
         if any(MARK in self.b.id_to_piece(k).lstrip(MARK) for k in range(self.b.get_piece_size())):
             raise ValueError(f"{b} has pieces that reach across words")
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.names = pa.array([str(k) for k in range(max(len(self.a_bytes), len(self.b_bytes)))])
 
     def piece_bytes(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
@@ -119,8 +122,7 @@ class Aligned:
         self.n_groups = np.bincount(unit_of, minlength=len(units))
         links = lengths[0] * lengths[1]
         self.n_links = np.bincount(unit_of, links, len(units)).astype(np.int64)
-        names = pa.array([str(k) for k in range(max(len(pair.a_bytes), len(pair.b_bytes)))])
-        groups = [joined_texts(names.take(pa.array(i)), u, ",") for i, u in zip(ids, upto, strict=True)]
+        groups = [joined_texts(pair.names.take(pa.array(i)), u, ",") for i, u in zip(ids, upto, strict=True)]
         groups = pc.binary_join_element_wise(*groups, "|")
         self.groups = joined_texts(groups, np.cumsum(self.n_groups), ";")
         # each token of A with each of B, and in large groups each different one
@@ -191,7 +193,7 @@ def aligned_texts(texts: DataFrame, a: str, b: str) -> DataFrame:
         pair = loaded_once(f"{a} {b}", lambda: Pair(a, b))
         stores = [UnitIds(pair.ids_of_a, pair.a_sizes, " "), UnitIds(pair.ids_of_b, pair.b_sizes, "")]
         for batch in batches:
-            for low, high in slices(batch.column(2)):
+            for low, high in slices(batch.column(2), BYTES_AT_ONCE):
                 part = batch.slice(low, high - low)
                 words, chosen, ends = cut_units(part.column(2))
                 units = Aligned(words, *stores, pair)
