@@ -7,9 +7,8 @@ through; a pseudorandom permutation of the source's block numbers, another one f
 pass over the source, says which block a slot takes, and one of the shard's slots where in
 the shard it lies. The blocks are pieces of documents, ranges of their words.
 
-The stage of the pipeline needs documents, not blocks, and takes the same words of each
-source: as many whole passes as the target holds, and of the next pass the documents at the
-start of the stream, the last of them cut where the target is met.
+The stage of the pipeline needs documents, not blocks: a document comes as often as its words
+in the drawn blocks fill it, what is left over being evened out among a source's documents.
 """
 
 from __future__ import annotations
@@ -32,8 +31,8 @@ SLOTS_PER_ROW = 10_000
 SLOTS_PER_TASK = 100_000
 NEAR_BLOCKS = 4
 NEAR_SHARE = 0.05
-"""How far a source may be from its target, the larger of so many blocks and such a share of
-it, so that its last document stays whole; where that is not enough, the document is cut."""
+"""How far a source may be from its draw, the larger of so many blocks and such a share of its
+target, so that documents stay whole; where that is not enough, a longer document is cut."""
 
 
 def word_count(text: str) -> Column:
@@ -207,6 +206,16 @@ def drawn_pieces(
     return pieces.select("shard", "slot", "number", "start", "first", "words")
 
 
+def with_taken(streams: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Adds the words that the drawn ``pieces`` hold of a document, and how often its first."""
+    taken = pieces.groupBy(F.col("number").alias("_number"), F.col("start").alias("_start")).agg(
+        F.sum("words").alias("taken"), F.count_if(F.col("first") == 0).alias("copies")
+    )
+    same = [F.col("number") == F.col("_number"), F.col("start") == F.col("_start"), F.col("size") > 0]
+    found = streams.join(taken, same, "left").drop("_number", "_start")
+    return found.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("taken", "copies")})
+
+
 def mixed_blocks(
     documents: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -257,61 +266,70 @@ def mixed(
     repeat count each; other columns play no part.
     """
     rows, targets = streams_and_targets(documents, weights, passes, seed)
-    taken = (
-        drawn_pieces(rows, targets, block_words, shards, seed, passes)
-        .groupBy("number", "start")
-        .agg(F.sum("words").alias("taken"), F.count_if(F.col("first") == 0).alias("copies"))
-    )
-    taken = taken.select(
-        F.col("number").alias("_number"), F.col("start").alias("_start"), "taken", "copies"
-    )
-    same = [
-        F.col("number") == F.col("_number"),
-        F.col("start") == F.col("_start"),
-        F.col("size") > 0,
-    ]
-    return rows.join(taken, same, "left").select(
-        "doc_id", "source", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-        F.coalesce("copies", F.lit(0)).cast("long").alias("copies"),
-    )
+    taken = with_taken(rows, drawn_pieces(rows, targets, block_words, shards, seed, passes))
+    return taken.select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
 
 
-def last_taken(streams: DataFrame, targets: DataFrame, block_words: int) -> DataFrame:
-    """``(source, whole, last_order, last, extra, cut)``, a row per source: its ``whole``
-    passes, and the document at whose end or inside which the next pass ends.
+def rounded(rows: DataFrame) -> DataFrame:
+    """Adds ``once``, 0 or 1 for each of ``rows (doc_id, number, size, order, rest)``.
 
-    Documents before it are taken once more. ``extra`` says how often it is, more than once
-    only if rows alike in everything stand for it, and ``cut`` of how many words a last piece
-    is, 0 for none.
+    Of the documents of a source, in the order of their sizes, those are 1 at which the running
+    sum of ``rest / size``, kept in whole 2^-32ths, passes the next whole number and a half. So
+    it is 1 with the chance ``rest / size``, and by the order the words of a source's ones differ
+    from its rests by no more than the size of its largest document here.
+    """
+    rows = rows.withColumn("part", F.expr("shiftleft(rest, 32) div size"))
+    sums = saved(rows.groupBy("number", "size").agg(F.sum("part").alias("part"), F.count("*").alias("n")), "sizes")
+    smaller = Window.partitionBy("number").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("part").over(smaller), F.lit(0)) + F.lit(1 << 31)
+    bases = saved(sums.select(F.col("number").alias("_number"), F.col("size").alias("_size"), base.alias("base")), "bases")
+    bits = slice_bits(sums.agg(F.max("n")).first()[0] or 0)
+    rows = with_running_total(rows, ["number", "size"], "order", ["doc_id"], F.col("part"), bits, "inside")
+    rows = rows.join(if_small(bases), (F.col("number") == F.col("_number")) & (F.col("size") == F.col("_size")))
+    upto = F.col("base") + F.col("inside")
+    once = F.shiftright(upto + F.col("part"), 32) - F.shiftright(upto, 32)
+    return rows.withColumn("once", once).drop("part", "inside", "base", "_number", "_size")
+
+
+def drawn_documents(taken: DataFrame, block_words: int) -> DataFrame:
+    """``(doc_id, rows, copies, cut)``: what the blocks that were drawn make of the documents,
+    from ``taken``, the streams with the words that the mix takes of each row.
+
+    Rows alike in everything stand together, ``rows`` of them. They come whole as often as their
+    words in the drawn blocks fill them. What is left over of a document, its rest, makes it come
+    once more or not, by ``rounded``, if the document is not longer than what a source may be off.
+    Of the longer ones those come whole or not that add up, from the nearest on, to no more than
+    that; the others come once more with ``cut`` words, as many as their rest.
     """
-    whole = F.floor(F.col("target") / F.col("source_size") + 1e-9)
-    turns = targets.where("source_size > 0").select("source", "number", "source_size", "target", whole.alias("whole"))
-    rest = F.round((F.col("target") - F.col("whole") * F.col("source_size")) / block_words) * block_words
-    turns = turns.withColumn("upto", F.least(rest.cast("long"), F.col("source_size")))
-    turns = turns.select("source", F.col("number").alias("of"), F.col("target").alias("wanted"), "whole", "upto")
-    ends = streams.drop("source").join(turns, F.col("number") == F.col("of"))
-    ends = ends.where("size > 0 AND start < upto AND upto <= start + size")
-    part, left = F.col("upto") - F.col("start"), F.col("start") + F.col("size") - F.col("upto")
-    near = F.greatest(F.lit(float(NEAR_BLOCKS * block_words)), F.col("wanted") * NEAR_SHARE)
-    rounds = (left == 0) | (F.least(part, left) <= near)
-    ends = ends.select(
-        F.col("of").alias("_of"),
-        F.col("order").alias("last_order"),
-        F.col("doc_id").alias("last"),
-        F.col("start").alias("last_start"),
-        F.when(rounds & (left <= part), 1).otherwise(0).alias("once"),
-        F.when(rounds, 0).otherwise(part).alias("cut"),
+    kinds = taken.where("taken > 0").groupBy("doc_id", "number", "order", "size", "target").agg(
+        F.sum("taken").alias("taken"), F.count("*").alias("rows")
+    )
+    near = F.greatest(F.lit(float(NEAR_BLOCKS * block_words)), F.col("target") * NEAR_SHARE)
+    kinds = kinds.withColumns(
+        {"whole": F.expr("taken div size"), "rest": F.col("taken") % F.col("size"), "near": near}
     )
-    ends = saved(ends, "ends")
-    alike = streams.join(if_small(ends), (F.col("number") == F.col("_of")) & (F.col("doc_id") == F.col("last")))
-    alike = alike.groupBy(F.col("number").alias("_number")).agg(
-        F.count_if(F.col("start") < F.col("last_start")).alias("before")
+    kinds = saved(kinds, "kinds")
+    some, short = F.col("rest") > 0, F.col("size") <= F.col("near")
+    names = ["doc_id", "rows", "copies", "cut"]
+    none = F.lit(0).cast("long")
+    full = kinds.where(~some).select("doc_id", "rows", F.col("whole").alias("copies"), none.alias("cut"))
+    parts = rounded(kinds.where(some & short))
+    parts = parts.select("doc_id", "rows", (F.col("whole") + F.col("once")).alias("copies"), none.alias("cut"))
+    left = F.col("size") - F.col("rest")
+    off = F.least("rest", left)
+    nearest = Window.partitionBy("number").orderBy(off, "order", "doc_id")
+    long_ones = kinds.where(some & ~short).withColumn(
+        "stays", F.sum(off).over(nearest.rowsBetween(Window.unboundedPreceding, Window.currentRow)) > F.col("near")
     )
-    out = turns.join(ends, F.col("of") == F.col("_of"), "left").join(alike, F.col("of") == F.col("_number"), "left")
-    extra = F.coalesce(F.col("once") + F.col("before"), F.lit(0))
-    out = out.select("source", "whole", "last_order", "last", extra.alias("extra"), F.coalesce("cut", F.lit(0)).alias("cut"))
-    return saved(out, "turns")
+    once = F.when(F.col("stays") | (left > F.col("rest")), 0).otherwise(1)
+    long_ones = long_ones.select(
+        "doc_id",
+        "rows",
+        (F.col("whole") + once).alias("copies"),
+        F.when(F.col("stays"), F.col("rest")).otherwise(0).alias("cut"),
+    )
+    out = full.select(names).union(parts.select(names)).union(long_ones.select(names))
+    return saved(out.where("copies > 0 OR cut > 0"), "copies")
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -325,39 +343,38 @@ def mixed_documents(
     weights: tuple[float, ...] = WEIGHTS,
     passes: int = MOST_PASSES,
     block_words: int = BLOCK_WORDS,
+    shards: int = SHARDS,
     seed: int = 10,
 ) -> DataFrame:
-    """``documents`` as the mix takes them, from none to ``passes`` times each, so that the
-    words of each source meet its target.
+    """``documents`` as the mix takes them, from none to ``passes`` times each.
 
-    At most one document of a source is cut, at a block bound, its other columns unchanged, and
-    only if the source would else miss its target by more than ``NEAR_BLOCKS`` blocks and
-    ``NEAR_SHARE`` of it. A text without words is in no block and goes. Which documents are
-    taken follows from one row per source, so texts stay where they are.
+    The blocks are drawn as for ``mixed``, and a document comes as often as its words in them
+    fill it. Documents stay whole where a source comes as near its draw by that as
+    ``NEAR_BLOCKS`` blocks or ``NEAR_SHARE`` of its target; a longer one may come with its first
+    words only, as many as were drawn of it, its other columns unchanged. A text without words is
+    in no block and goes.
     """
     first, second = row_hashes(documents)
     row = F.struct(first.alias("a"), second.alias("b"))
     rows = given(documents, doc_id=row, source=F.col("source"), text=F.col("text"))
     streams, targets = streams_and_targets(rows, weights, passes, seed)
-    turns = last_taken(streams, targets, block_words)
-    named = turns.withColumnRenamed("source", "_source")
-    rows = rows.where(F.col("text").rlike(WORD)).select("given", "doc_id", "source")
-    rows = rows.withColumn("order", F.xxhash64(F.lit(seed), "doc_id"))
-    # streams run by the order's bits, without a sign
-    place = lambda order, key: F.struct(F.col(order).bitwiseXOR(F.lit(-(1 << 63))), key)
-    before = F.coalesce(place("order", "doc_id") < place("last_order", "last"), F.lit(False))
-    before = before & F.col("last_order").isNotNull()
-    out = rows.join(if_small(named), F.col("source").eqNullSafe(F.col("_source")))
-    out = out.select("given", (F.col("whole") + before.cast("long")).alias("copies")).where("copies > 0")
-    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    out = out.select("given", times.alias("time")).select("given.*")
-    lasts = named.where("extra > 0 OR cut > 0")
-    if lasts.limit(1).count():
-        same = (F.col("doc_id") == F.col("last")) & F.col("source").eqNullSafe(F.col("_source"))
-        found = rows.join(if_small(lasts), same).dropDuplicates(["doc_id"])
-        part = F.col("given").withField("text", first_words(F.col("given.text"), F.col("cut")))
+    taken = with_taken(streams, drawn_pieces(streams, targets, block_words, shards, seed, passes))
+    drawn = drawn_documents(taken, block_words).withColumnRenamed("doc_id", "of")
+    found = rows.select("given", "doc_id").join(if_small(drawn), F.col("doc_id") == F.col("of"))
+    part = F.col("given").withField("text", first_words(F.col("given.text"), F.col("cut")))
+    none = F.expr("CAST(array() AS array<bigint>)")
+    times = F.when(F.col("copies") >= F.col("rows"), F.expr("sequence(1L, copies div rows)")).otherwise(none)
+    cuts = F.when((F.col("rows") == 1) & (F.col("cut") > 0), F.expr("array(0L)")).otherwise(none)
+    out = found.select("given", "cut", F.explode(F.concat(times, cuts)).alias("time"))
+    out = out.select(F.when(F.col("time") == 0, part).otherwise(F.col("given")).alias("given")).select("given.*")
+    # of rows alike, one stands for what does not go evenly into them
+    alike = drawn.where("rows > 1 AND (copies % rows > 0 OR cut > 0)")
+    if alike.limit(1).count():
+        of_one = rows.select("given", "doc_id").join(if_small(alike), F.col("doc_id") == F.col("of"))
+        of_one = of_one.dropDuplicates(["doc_id"])
         copies = F.concat(
-            F.array_repeat("given", F.col("extra").cast("int")), F.when(F.col("cut") > 0, F.array(part)).otherwise(F.array())
+            F.array_repeat("given", F.expr("CAST(copies % rows AS INT)")),
+            F.when(F.col("cut") > 0, F.array(part)).otherwise(F.array()),
         )
-        out = out.union(found.select(F.explode(copies).alias("given")).select("given.*"))
+        out = out.union(of_one.select(F.explode(copies).alias("given")).select("given.*"))
     return out

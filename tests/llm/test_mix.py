@@ -5,6 +5,7 @@ from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from daybook.llm import mix
+from daybook.llm.common import row_hashes
 from daybook.llm.mix import mixed, mixed_blocks, mixed_documents, packed, slots, source_targets
 
 
@@ -165,3 +166,37 @@ def test_blocks_hold_the_words_that_are_taken(spark):
         sizes[r.source] += len(texts[r.doc_id])
     for source, target in filled(sizes).items():
         assert abs(total[source] - target) < 0.1 * target + 150
+
+
+def test_documents_are_those_whose_blocks_are_drawn(spark):
+    """Undrawn documents do not come, full ones come whole, others by their words or evened out."""
+    rows = [(i, " ".join(f"w{i}" for _ in range(1 + i * 7 % 90)), "abcde"[min(4, i % 9)]) for i in range(900)]
+    rows += [(1000 + i, " ".join(f"x{i}_{k}" for k in range(2_500)), "ef"[i % 2]) for i in range(16)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first, second = row_hashes(rows)
+    key = F.struct(first.alias("a"), second.alias("b"))
+    names = {tuple(r.key): r.doc_id for r in rows.select("doc_id", key.alias("key")).collect()}
+    drawn = {names[tuple(r.doc_id)]: r for r in mixed(rows.select(key.alias("doc_id"), "source", "text")).collect()}
+    docs = mixed_documents(rows)
+    whole, cut = Counter(), {}
+    for r in docs.collect():
+        words = len(r.text.split())
+        if words == drawn[r.doc_id].size:
+            whole[r.doc_id] += 1
+        else:
+            assert r.doc_id not in cut
+            cut[r.doc_id] = words
+    off, largest = Counter(), Counter()
+    for k, r in drawn.items():
+        full, rest = divmod(r.taken, r.size)
+        assert whole[k] in ((full, full + 1) if rest and k not in cut else (full,)), (k, r, whole[k])
+        if k in cut:
+            assert r.size > max(128, 0.05 * r.target) and cut[k] == rest
+        off[r.source] += whole[k] * r.size + cut.get(k, 0) - r.taken
+        if r.size <= 128:
+            largest[r.source] = max(largest[r.source], r.size)
+    near = {r.source: max(128, 0.05 * r.target) for r in drawn.values()}
+    assert all(abs(n) <= near[s] + largest[s] for s, n in off.items()), (off, near)
+    assert cut and len(set(whole.values())) > 1 and any(not whole[k] and r.size for k, r in drawn.items())
+    again = mixed_documents(rows.repartition(7))
+    assert Counter(docs.collect()) == Counter(again.collect())
