@@ -87,7 +87,7 @@ def with_token_ids(
     Strings of special tokens in a text become their ids unless ``special`` is false; no other
     special token is added. A null text is an empty one. Each row is its own document, also if
     ids or texts repeat, and stays where it is; other columns are passed on, an own column
-    ``ids`` is replaced. A text is cut into units, each different one of which is encoded once.
+    ``ids`` is replaced. A text is cut into units, the ids of which a worker keeps.
     """
     rows = given(documents, ["ids"], _text=F.coalesce(F.col(text).cast("string"), F.lit("")))
     whole = rows.schema["given"].dataType.simpleString()
@@ -101,7 +101,8 @@ def with_token_ids(
         def encoded(texts: list[str]) -> list[list[int]]:
             return [e.ids for e in made.encode_batch_fast(texts, add_special_tokens=False)]
 
-        inner = UnitIds(encoded, id_bytes, " ")
+        # a worker keeps its units from task to task
+        inner = loaded_once(f"{tokenizer} {special} units", lambda: UnitIds(encoded, id_bytes, " "))
         end = np.array([] if end_id is None else [end_id], np.int32)
         for batch in batches:
             for low, high in slices(batch.column(1)):

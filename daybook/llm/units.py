@@ -18,10 +18,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 8 << 20
 """Texts that are cut together; a longer one by itself."""
 REMEMBERED = 1 << 18
-"""Units whose ids a task keeps, give or take a batch; then it forgets them all and starts anew."""
+"""Units whose ids are kept, give or take a batch; then those that were not met again go, or all
+if they are few."""
 LONGEST_REMEMBERED = 128
 """Bytes of a unit that is looked up again."""
 JOINED = 2048
@@ -85,18 +86,35 @@ class UnitIds:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat, self.ends = [], [np.zeros(1, np.int64)]
+        self.flat, self.ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
         self.count = self.total = 0
+        self.again = np.zeros(0, bool)
+
+    def forget_rare(self) -> None:
+        """Keeps the units that were met again, if they are at most half of what may be kept."""
+        kept = [(unit, k) for unit, k in self.known.items() if self.again[k]]
+        flat, ends = self.flat[0], self.ends[0]
+        self.forget()
+        if kept and len(kept) <= REMEMBERED // 2:
+            numbers = np.array([k for _, k in kept])
+            sizes = np.diff(ends)
+            self.known = {unit: k for k, (unit, _) in enumerate(kept)}
+            self.flat = [flat[gathered(ends[:-1], sizes, numbers)]]
+            self.ends = [np.r_[0, np.cumsum(sizes[numbers])]]
+            self.count, self.total = len(kept), len(self.flat[0])
+            self.again = np.zeros(self.count, bool)
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(flat, starts, sizes)``: where the ids of each of ``words`` lie."""
         if self.count > REMEMBERED:
-            self.forget()
+            self.forget_rare()
         index = np.fromiter(map(self.known.get, words.to_pylist(), repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(index < 0)
+        self.again[index[index >= 0]] = True
         if len(new):
             index[new] = np.arange(self.count, self.count + len(new))
             self.add(words.take(pa.array(new)))
+            self.again = np.r_[self.again, np.zeros(len(new), bool)]
         self.flat, self.ends = [np.concatenate(self.flat)], [np.concatenate(self.ends)]
         starts = self.ends[0][index]
         return self.flat[0], starts, self.ends[0][index + 1] - starts

@@ -3,6 +3,7 @@
 import json
 import random
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -64,6 +65,30 @@ def test_unit_ids_are_looked_up_forgotten_and_told_apart(monkeypatch):
     assert [flat[s : s + n].tolist() for s, n in zip(starts, sizes, strict=True)] == [[3], [2]]
 
 
+def test_units_that_are_met_again_are_kept(monkeypatch):
+    """When there are too many, only units met once are encoded anew; ids stay right."""
+    monkeypatch.setattr("daybook.llm.units.REMEMBERED", 6)
+    asked = Counter()
+
+    def letters(texts):
+        asked.update(w for t in texts for w in t.split())
+        return [[ord(c) for c in t] for t in texts]
+
+    held = UnitIds(letters, np.ones(128, np.int64), " ")
+    for turn in range(12):
+        words = ["the", f"a{turn}", "of", f"b{turn}", "once" if turn in (0, 11) else f"c{turn}", "x" * 200]
+        flat, starts, sizes = held.of(pa.array(words))
+        assert ["".join(map(chr, flat[s : s + n])) for s, n in zip(starts, sizes, strict=True)] == [" " + w for w in words]
+        assert held.count <= 12
+    assert asked["the"] == asked["of"] == 1 and asked["once"] == 2 and asked["x" * 200] == 12
+    many = UnitIds(letters, np.ones(128, np.int64), " ")
+    for _ in range(3):  # more that are met again than may be kept
+        for words in ([f"m{k}" for k in range(5)], [f"n{k}" for k in range(5)]):
+            flat, starts, sizes = many.of(pa.array(words))
+            assert ["".join(map(chr, flat[s : s + n])) for s, n in zip(starts, sizes, strict=True)] == [" " + w for w in words]
+            assert many.count <= 12
+
+
 def expected(rows):
     """In order of key, then as read: place, number and ids of every text."""
     made = Tokenizer.from_file(PATH)
