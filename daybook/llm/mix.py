@@ -32,7 +32,7 @@ SLOTS_PER_TASK = 100_000
 NEAR_BLOCKS = 4
 NEAR_SHARE = 0.05
 """How far a source may be from its draw, the larger of so many blocks and such a share of its
-target, so that documents stay whole; where that is not enough, a longer document is cut."""
+target, so that documents stay whole; where that is not enough, one document is cut."""
 
 
 def word_count(text: str) -> Column:
@@ -296,40 +296,33 @@ def drawn_documents(taken: DataFrame, block_words: int) -> DataFrame:
     from ``taken``, the streams with the words that the mix takes of each row.
 
     Rows alike in everything stand together, ``rows`` of them. They come whole as often as their
-    words in the drawn blocks fill them. What is left over of a document, its rest, makes it come
-    once more or not, by ``rounded``, if the document is not longer than what a source may be off.
-    Of the longer ones those come whole or not that add up, from the nearest on, to no more than
-    that; the others come once more with ``cut`` words, as many as their rest.
+    words in the drawn blocks fill them, and what is left over of a document, its rest, makes it
+    come once more or not, by ``rounded``. Where the words of a source are then further from its
+    draw than it may be, one document makes up for it: the largest of those that come once more
+    comes with the first ``cut`` words instead, or the largest of those that do not with ``cut``.
+    It is never shorter than that, by the order of the sizes.
     """
     kinds = taken.where("taken > 0").groupBy("doc_id", "number", "order", "size", "target").agg(
         F.sum("taken").alias("taken"), F.count("*").alias("rows")
     )
     near = F.greatest(F.lit(float(NEAR_BLOCKS * block_words)), F.col("target") * NEAR_SHARE)
-    kinds = kinds.withColumns(
-        {"whole": F.expr("taken div size"), "rest": F.col("taken") % F.col("size"), "near": near}
-    )
+    kinds = kinds.withColumns({"whole": F.expr("taken div size"), "rest": F.col("taken") % F.col("size"), "near": near})
     kinds = saved(kinds, "kinds")
-    some, short = F.col("rest") > 0, F.col("size") <= F.col("near")
-    names = ["doc_id", "rows", "copies", "cut"]
-    none = F.lit(0).cast("long")
-    full = kinds.where(~some).select("doc_id", "rows", F.col("whole").alias("copies"), none.alias("cut"))
-    parts = rounded(kinds.where(some & short))
-    parts = parts.select("doc_id", "rows", (F.col("whole") + F.col("once")).alias("copies"), none.alias("cut"))
-    left = F.col("size") - F.col("rest")
-    off = F.least("rest", left)
-    nearest = Window.partitionBy("number").orderBy(off, "order", "doc_id")
-    long_ones = kinds.where(some & ~short).withColumn(
-        "stays", F.sum(off).over(nearest.rowsBetween(Window.unboundedPreceding, Window.currentRow)) > F.col("near")
-    )
-    once = F.when(F.col("stays") | (left > F.col("rest")), 0).otherwise(1)
-    long_ones = long_ones.select(
-        "doc_id",
-        "rows",
-        (F.col("whole") + once).alias("copies"),
-        F.when(F.col("stays"), F.col("rest")).otherwise(0).alias("cut"),
-    )
-    out = full.select(names).union(parts.select(names)).union(long_ones.select(names))
-    return saved(out.where("copies > 0 OR cut > 0"), "copies")
+    full = kinds.where("rest = 0").select("doc_id", "rows", F.col("whole").alias("copies"), F.lit(0).cast("long").alias("cut"))
+    parts = saved(rounded(kinds.where("rest > 0")), "parts")
+    off = F.sum(F.col("once") * F.col("size") - F.col("rest")).alias("off")
+    off = parts.groupBy(F.col("number").alias("_number")).agg(off, F.max("near").alias("_near"))
+    off = saved(off.where("abs(off) > _near"), "off")
+    others = parts.join(if_small(off), F.col("number") == F.col("_number"))
+    others = others.where((F.col("once") == 1) == (F.col("off") > 0))
+    last = F.max_by("doc_id", F.struct("size", "order", "doc_id")).alias("last")
+    ends = saved(others.groupBy("_number").agg(last, F.max("off").alias("off")).drop("_number"), "ends")
+    parts = parts.join(if_small(ends), F.col("doc_id") == F.col("last"), "left")
+    once = F.when(F.col("off").isNull(), F.col("once")).otherwise(0)
+    cut = F.when(F.col("off") > 0, F.greatest(F.col("size") - F.col("off"), F.lit(0)))
+    cut = cut.when(F.col("off") < 0, F.least(-F.col("off"), "size")).otherwise(0)
+    parts = parts.select("doc_id", "rows", (F.col("whole") + once).alias("copies"), cut.cast("long").alias("cut"))
+    return saved(full.union(parts).where("copies > 0 OR cut > 0"), "copies")
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -349,10 +342,10 @@ def mixed_documents(
     """``documents`` as the mix takes them, from none to ``passes`` times each.
 
     The blocks are drawn as for ``mixed``, and a document comes as often as its words in them
-    fill it. Documents stay whole where a source comes as near its draw by that as
-    ``NEAR_BLOCKS`` blocks or ``NEAR_SHARE`` of its target; a longer one may come with its first
-    words only, as many as were drawn of it, its other columns unchanged. A text without words is
-    in no block and goes.
+    fill it, what is left over being evened out among the documents of a source. At most one of
+    a source comes cut, with its first words and its other columns unchanged, and only if the
+    source would else be further from its draw than ``NEAR_BLOCKS`` blocks and ``NEAR_SHARE`` of
+    its target. A text without words is in no block and goes.
     """
     first, second = row_hashes(documents)
     row = F.struct(first.alias("a"), second.alias("b"))

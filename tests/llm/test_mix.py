@@ -186,17 +186,15 @@ def test_documents_are_those_whose_blocks_are_drawn(spark):
         else:
             assert r.doc_id not in cut
             cut[r.doc_id] = words
-    off, largest = Counter(), Counter()
+    off = Counter()
     for k, r in drawn.items():
         full, rest = divmod(r.taken, r.size)
         assert whole[k] in ((full, full + 1) if rest and k not in cut else (full,)), (k, r, whole[k])
-        if k in cut:
-            assert r.size > max(128, 0.05 * r.target) and cut[k] == rest
+        assert k not in cut or rest and 0 < cut[k] < r.size
         off[r.source] += whole[k] * r.size + cut.get(k, 0) - r.taken
-        if r.size <= 128:
-            largest[r.source] = max(largest[r.source], r.size)
+    assert max(Counter(drawn[k].source for k in cut).values()) == 1
     near = {r.source: max(128, 0.05 * r.target) for r in drawn.values()}
-    assert all(abs(n) <= near[s] + largest[s] for s, n in off.items()), (off, near)
-    assert cut and len(set(whole.values())) > 1 and any(not whole[k] and r.size for k, r in drawn.items())
+    assert all(abs(n) <= near[s] for s, n in off.items()), (off, near)
+    assert len(set(whole.values())) > 1 and any(not whole[k] and r.size for k, r in drawn.items())
     again = mixed_documents(rows.repartition(7))
     assert Counter(docs.collect()) == Counter(again.collect())
