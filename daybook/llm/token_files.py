@@ -40,7 +40,8 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from daybook.llm.common import given
-from daybook.llm.units import UnitIds, cut_units, gathered, loaded_once, slices
+from daybook.llm.pieces import BYTES_AT_ONCE, PieceIds, added_strings, cut_pieces
+from daybook.llm.units import gathered, loaded_once, slices
 
 SCHEMA = "key long, start long, n_tokens long, ids array<int>, id_bytes binary"
 MANIFEST = "_manifest.json"
@@ -87,7 +88,7 @@ def with_token_ids(
     Strings of special tokens in a text become their ids unless ``special`` is false; no other
     special token is added. A null text is an empty one. Each row is its own document, also if
     ids or texts repeat, and stays where it is; other columns are passed on, an own column
-    ``ids`` is replaced. A text is cut into units, the ids of which a worker keeps.
+    ``ids`` is replaced. A text is cut into pieces, the ids of which a worker keeps.
     """
     rows = given(documents, ["ids"], _text=F.coalesce(F.col(text).cast("string"), F.lit("")))
     whole = rows.schema["given"].dataType.simpleString()
@@ -101,25 +102,20 @@ def with_token_ids(
         def encoded(texts: list[str]) -> list[list[int]]:
             return [e.ids for e in made.encode_batch_fast(texts, add_special_tokens=False)]
 
-        # a worker keeps its units from task to task
-        inner = loaded_once(f"{tokenizer} {special} units", lambda: UnitIds(encoded, id_bytes, " "))
+        added = loaded_once(f"{tokenizer} {special} added", lambda: added_strings(made))
+        # a worker keeps its pieces from task to task
+        inner = loaded_once(f"{tokenizer} {special} pieces", lambda: PieceIds(encoded, id_bytes, added is not None))
         end = np.array([] if end_id is None else [end_id], np.int32)
         for batch in batches:
-            for low, high in slices(batch.column(1)):
+            for low, high in slices(batch.column(1), BYTES_AT_ONCE):
                 part = batch.slice(low, high - low)
-                words, units, ends = cut_units(part.column(1))
+                words, pieces, ends = cut_pieces(part.column(1), added)
                 flat, starts, sizes = inner.of(words)
-                # at the start of a text a unit has no space before it; after the last comes the end
-                first = np.r_[0, ends[:-1]]
-                heads = encoded(words.take(pa.array(units[first])).to_pylist())
-                heads = [np.array([*h], np.int32) for h in heads] + [end]
-                more = np.array([len(h) for h in heads])
-                starts = np.r_[starts, len(flat) + np.cumsum(more) - more]
-                sizes, flat = np.r_[sizes, more], np.concatenate([flat, *heads])
-                units[first] = len(words) + np.arange(len(first))
-                units = np.insert(units, ends, len(sizes) - 1)
-                flat = flat[gathered(starts, sizes, units)]
-                upto = np.cumsum(sizes[units])[ends + np.arange(len(ends))]
+                # after the last piece of a text comes the end
+                starts, sizes, flat = np.r_[starts, len(flat)], np.r_[sizes, len(end)], np.r_[flat, end]
+                pieces = np.insert(pieces, ends, len(words))
+                flat = flat[gathered(starts, sizes, pieces)]
+                upto = np.cumsum(sizes[pieces])[ends + np.arange(len(ends))]
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, upto], pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["given", "ids"])
 

@@ -12,7 +12,8 @@ import pytest
 from llm_words import no_documents, odd  # noqa: F401
 from pyspark.sql import functions as F
 
-from daybook.llm.token_files import TokenSource, manifest_of, read_tokens, with_token_ids, write_tokens
+from daybook.llm.pieces import PieceIds, added_strings, cut_pieces
+from daybook.llm.token_files import TokenSource, byte_sizes, manifest_of, read_tokens, with_token_ids, write_tokens
 from daybook.llm.units import UnitIds, cut_units
 from daybook.settings import setting
 
@@ -89,6 +90,73 @@ def test_units_that_are_met_again_are_kept(monkeypatch):
             assert many.count <= 12
 
 
+MORE = ["A", "ßÀ", "×", "ª", "²", "'", "'ll", "d", "7", "&&", "-", " ", " ", "\n", "\r\n", "\x0b", "я", "–", "½", "\x00",
+        "\u2028", "\u00a0", "\u1680", "٣", "ﬁ", "\ufeff", "₂", "»", "\U0001d7d8", "E", "\x7f"]
+
+
+def in_pieces(made, texts, asked=None):
+    """The ids of ``texts`` by pieces, several texts at a time."""
+
+    def encoded(parts):
+        if asked is not None:
+            asked.extend(parts)
+        return [e.ids for e in made.encode_batch_fast(parts, add_special_tokens=False)]
+
+    added, out = added_strings(made), []
+    held = PieceIds(encoded, byte_sizes(made), added is not None)
+    for low in range(0, len(texts), 500):
+        words, pieces, ends = cut_pieces(pa.array(texts).slice(low, 500), added)
+        assert len(set(words.to_pylist())) == len(words)
+        flat, starts, sizes = held.of(words)
+        for first, last in zip([0, *ends[:-1]], ends, strict=True):
+            out.append([i for p in pieces[first:last] for i in flat[starts[p] : starts[p] + sizes[p]].tolist()])
+    return out, held
+
+
+@pytest.mark.parametrize("special", [True, False])
+@pytest.mark.parametrize("remembered", [1 << 19, 60])
+def test_pieces_have_the_ids_of_the_text(monkeypatch, special, remembered):
+    monkeypatch.setattr("daybook.llm.pieces.REMEMBERED", remembered)
+    made = Tokenizer.from_file(PATH)
+    made.encode_special_tokens = not special
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(PIECES + MORE) for _ in range(rng.randint(0, 16))) for _ in range(20_000)]
+    texts += ["", "x" * 300, "\n", " ", "'", "don't we'll", "\nA", "A\n", "A\n\nB", "the.\nNext"]
+    found, held = in_pieces(made, texts)
+    assert found == [e.ids for e in made.encode_batch(texts, add_special_tokens=False)]
+    assert len(held.words) <= remembered
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_words_are_encoded_once_whatever_follows_them(special):
+    """A word with a mark or line end after it is no new one, but in texts with special tokens."""
+    made = Tokenizer.from_file(PATH)
+    made.encode_special_tokens = not special
+    words = [f"{a}{b}" for a in ("lich", "thé", "Qu") for b in ("on", "ß", "ly", "er")]
+    texts = [f"so {w}{m}{v}" for w in words for m in (".", ",", "&&&", ".\n", "\n", "; ", " ", "12") for v in words]
+    texts.append("so lich<|endoftext|>.on")
+    asked = []
+    found, _ = in_pieces(made, texts, asked)
+    assert found == [e.ids for e in made.encode_batch(texts, add_special_tokens=False)]
+    assert sum(map(len, asked)) < 20 * len(words)
+
+
+def test_other_tokenizers_get_whole_texts():
+    """Where the pattern is not the usual one, nothing is cut; an added token is found where it
+    would be cut."""
+    from tokenizers import pre_tokenizers
+
+    texts = ["the end.\nOf <the> end", "", " a  b's", "the <the>the"]
+    made = Tokenizer.from_file(PATH)
+    made.encode_special_tokens = True
+    made.add_tokens(["<the>"])
+    found, held = in_pieces(made, texts)
+    assert found == [e.ids for e in made.encode_batch(texts, add_special_tokens=False)] and held.joined
+    made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    found, held = in_pieces(made, texts)
+    assert found == [e.ids for e in made.encode_batch(texts, add_special_tokens=False)] and not held.joined
+
+
 def expected(rows):
     """In order of key, then as read: place, number and ids of every text."""
     made = Tokenizer.from_file(PATH)
